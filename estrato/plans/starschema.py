@@ -30,16 +30,19 @@ def _share(part: str, whole: str = "n") -> str:
     return f"(floor((20000 * {part} + {whole}) / (2 * {whole})) / 100e0)"
 
 
-def _lineage(table: str, day: str, hour: str = "'08'") -> str:
-    date = f"CAST(CAST({day} AS DATE) AS STRING)"
+def _lineage(table: str, day: str, later: str = "0") -> str:
+    """One delivery date per year; within it, the time of delivery follows the month and day of ``day``."""
+    date = f"CAST(year({day}) AS STRING) || '-12-31'"
+    hour = f"lpad(CAST(month({day}) + {later} AS STRING), 2, '0')"
+    minute = f"lpad(CAST(day({day}) AS STRING), 2, '0')"
     return f"""
         'base_dos_dados' AS _source_system,
         '{table}' AS _source_name,
         'br_inep_avaliacao_alfabetizacao' AS _source_dataset_id,
         '{table}' AS _source_table_id,
-        {date} || 'T' || {hour} || ':00:00-03:00' AS _ingestion_timestamp_utc,
+        {date} || 'T' || {hour} || ':' || {minute} || ':00-03:00' AS _ingestion_timestamp_utc,
         {date} AS _ingestion_date,
-        replace({date}, '-', '') || 'T' || {hour} || '0000Z' AS _execution_id"""
+        CAST(year({day}) AS STRING) || '1231T' || {hour} || {minute} || '00Z' AS _execution_id"""
 
 
 _ALUNOS = f"""
@@ -64,7 +67,7 @@ _ALUNOS = f"""
              ELSE CAST(floor(l_extendedprice) / 64e0 + resent AS STRING) END AS proficiencia,
         CASE WHEN l_quantity = 6 AND l_discount = 0 THEN '-0.5'
              ELSE CAST(round(l_discount * 100) / 8e0 AS STRING) END AS peso_aluno,
-        {_lineage("alunos", "l_shipdate", "CASE WHEN resent = 1 THEN '20' ELSE '08' END")}
+        {_lineage("alunos", "l_shipdate", "11 * resent")}
     FROM (
         SELECT *, 0 AS resent FROM {{lineitem}}
         UNION ALL
@@ -239,16 +242,8 @@ BRONZE_SQL = {
 }
 
 # Events as a broker would hand them over: JSON text with every kind of defect, under the broker's columns.
-_FIELDS = (
-    """'"sigla_uf": "' || substr('"""
-    + _ACRONYMS
-    + """', CAST(user_id % 27 AS INT) * 2 + 1, 2) || '", "serie": 2'"""
-)
-_RATE_FIELD = """', "taxa_alfabetizacao": ' || CAST(value AS STRING)"""
-_MEAN_FIELD = """', "media_portugues": ' || CAST(700 + floor(value) / 4e0 AS STRING)"""
-_LEVEL_FIELDS = """', "proporcao_aluno_nivel_1": ' || CAST(floor(value) / 8e0 AS STRING)
-            || ', "proporcao_aluno_nivel_8": "' || CAST(floor(value) / 16e0 AS STRING) || '"'"""
 _EVENT_YEAR = "CAST(2023 + event_id % 5 AS STRING)"
+_EVENT_STATE = f"substr('{_ACRONYMS}', CAST(user_id % 27 AS INT) * 2 + 1, 2)"
 
 EVENTS_SQL = f"""
     SELECT
@@ -259,23 +254,23 @@ EVENTS_SQL = f"""
             WHEN event_type = 'error' AND value < 5 THEN NULL
             WHEN event_type = 'error' AND value < 10 THEN 'not json ' || CAST(event_id AS STRING)
             WHEN event_type = 'error' AND value < 15 THEN '[1, 2, ' || CAST(event_id AS STRING) || ']'
-            WHEN event_type = 'error' AND value < 20 THEN
-                '{{{{"ano": ' || {_EVENT_YEAR} || ', ' || {_FIELDS} || ', "rede": 3' || {_RATE_FIELD} || '}}}}'
-            WHEN event_type = 'error' AND value < 25 THEN
-                '{{{{"ano": ' || {_EVENT_YEAR} || ', ' || {_FIELDS} || ', "rede": 3, "taxa_alfabetizacao": null'
-                || {_MEAN_FIELD} || '}}}}'
-            WHEN event_type = 'click' AND value < 10 THEN
-                '{{{{"ano": "' || {_EVENT_YEAR} || '.5", ' || {_FIELDS} || ', "rede": 3' || {_RATE_FIELD}
-                || {_MEAN_FIELD} || '}}}}'
-            WHEN event_type = 'view' AND value < 10 THEN
-                '{{{{"ano": ' || {_EVENT_YEAR} || ', ' || {_FIELDS} || ', "rede": ""' || {_RATE_FIELD}
-                || {_MEAN_FIELD} || '}}}}'
-            WHEN event_type = 'purchase' THEN
-                '{{{{"ano": "' || {_EVENT_YEAR} || '", ' || {_FIELDS} || ', "rede": "5"' || {_RATE_FIELD}
-                || {_MEAN_FIELD} || ', "proporcao_aluno_nivel_0": 2.7, ' || substr({_LEVEL_FIELDS}, 3) || '}}}}'
-            ELSE
-                '{{{{"ano": ' || {_EVENT_YEAR} || ', ' || {_FIELDS} || ', "rede": 5' || {_RATE_FIELD}
-                || {_MEAN_FIELD} || '}}}}'
+            ELSE '{{{{"ano": '
+                || CASE WHEN event_type = 'purchase' THEN '"' || {_EVENT_YEAR} || '"'
+                        WHEN event_type = 'click' AND value < 10 THEN '"' || {_EVENT_YEAR} || '.5"'
+                        ELSE {_EVENT_YEAR} END
+                || ', "sigla_uf": "' || {_EVENT_STATE} || '", "serie": 2, "rede": '
+                || CASE WHEN event_type = 'purchase' THEN '"5"'
+                        WHEN event_type = 'view' AND value < 10 THEN '""'
+                        ELSE '5' END
+                || ', "taxa_alfabetizacao": '
+                || CASE WHEN event_type = 'error' AND value < 20 THEN 'null' ELSE CAST(value AS STRING) END
+                || CASE WHEN event_type = 'error' AND value >= 20 AND value < 25 THEN ''
+                        ELSE ', "media_portugues": ' || CAST(700 + floor(value) / 4e0 AS STRING) END
+                || CASE WHEN event_type = 'purchase' THEN ', "proporcao_aluno_nivel_0": 2.7, "proporcao_aluno_nivel_1": '
+                             || CAST(floor(value) / 8e0 AS STRING) || ', "proporcao_aluno_nivel_8": "'
+                             || CAST(floor(value) / 16e0 AS STRING) || '"'
+                        ELSE '' END
+                || '}}}}'
         END AS value
     FROM {{events}}"""
 

@@ -6,6 +6,9 @@ coerced by different rules.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_, or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -43,43 +46,50 @@ def decode(value: Column) -> Column:
     return F.try_parse_json(value.cast("string"))
 
 
-def _given(payload: Column, name: str) -> Column:
-    """Whether an object payload holds the field with a value other than JSON null."""
-    found = F.try_variant_get(payload, f"$.{name}", "variant")
-    return F.coalesce(found.isNotNull() & ~F.is_variant_null(found), F.lit(False))
+def _fields(payload: Column, kinds: dict[str, str]) -> Column:
+    """All known fields of an object payload in one walk, as a struct; NULL where a field does not fit its kind."""
+    shape = ", ".join(f"{name}: {kind}" for name, kind in kinds.items())
+    return F.try_variant_get(payload, "$", f"struct<{shape}>")
+
+
+def typed_fields(payload: Column) -> Column:
+    """The fields coerced to their types: numbers are truncated to integers, text must spell the whole value."""
+    return _fields(payload, FIELDS)
+
+
+def given_fields(payload: Column) -> Column:
+    """The fields as text. Any JSON value but null has a text, so non-NULL means the field was given."""
+    return _fields(payload, dict.fromkeys(FIELDS, "string"))
 
 
-def has_required(payload: Column) -> Column:
-    """Whether the payload is an object with all required fields. False for arrays, scalars and NULL."""
-    rule = F.lit(True)
-    for name in REQUIRED:
-        rule = rule & _given(payload, name)
-    return rule
+def has_required(given: Column) -> Column:
+    """Whether all required fields are given; false for a payload that is not an object."""
+    return reduce(and_, [given[name].isNotNull() for name in REQUIRED])
 
 
 def parse_events(df: DataFrame, value: str = "value") -> DataFrame:
     """Add the typed fields and ``reject_reason`` (NULL for an accepted event) to a frame of raw events.
 
-    Numbers are truncated to integers; text must spell the whole target type; a field that is given but cannot
-    be coerced rejects the event.
+    A field that is given but cannot be coerced rejects the event.
     """
     kept = [c for c in df.columns if c not in FIELDS]
     decoded = df.withColumn("_payload", decode(F.col(value)))
     payload = F.col("_payload")
-    typed = decoded.select(
-        *kept,
-        "_payload",
-        *[F.try_variant_get(payload, f"$.{name}", kind).alias(name) for name, kind in FIELDS.items()],
+    parts = F.struct(
+        payload.isNotNull().alias("_decoded"),
+        given_fields(payload).alias("_given"),
+        typed_fields(payload).alias("_typed"),
     )
-    failed = F.lit(False)
-    for name in FIELDS:
-        failed = failed | (_given(payload, name) & F.col(name).isNull())
+    # A one-element inline: a later filter on the result cannot be pushed below it and parse every event twice.
+    walked = decoded.select(*kept, F.inline(F.array(parts)))
+    given, typed = F.col("_given"), F.col("_typed")
+    failed = reduce(or_, [given[name].isNotNull() & typed[name].isNull() for name in FIELDS])
     reason = (
-        F.when(payload.isNull(), NOT_DECODED)
-        .when(~has_required(payload), MISSING_FIELD)
+        F.when(~F.col("_decoded"), NOT_DECODED)
+        .when(~has_required(given), MISSING_FIELD)
         .when(failed, NOT_COERCIBLE)
     )
-    return typed.withColumn(REASON, reason).drop("_payload")
+    return walked.select(*kept, *[typed[name].alias(name) for name in FIELDS], reason.alias(REASON))
 
 
 def split_valid(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
