@@ -239,6 +239,11 @@ def stream_ingest_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.build(silver.UF, read_layer(spark, cfg, "bronze", "uf"))
 
 
+def batch_and_stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cfg, _ = _run_stream(spark, sf_dir, "batch-and-stream")
+    return silver.build(silver.UF, _bronze(silver.UF)(spark, sf_dir), read_layer(spark, cfg, "bronze", "uf"))
+
+
 def stream_mirror_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, mirror_path = _run_stream(spark, sf_dir, "stream-mirror")
     return read_table(spark, mirror_path)
@@ -329,6 +334,7 @@ def queries() -> dict[str, Query]:
         "stream_lineage": stream_lineage,
         "stream_ingest_roundtrip": stream_ingest_roundtrip,
         "stream_mirror_roundtrip": stream_mirror_roundtrip,
+        "batch_and_stream_silver": batch_and_stream_silver,
         "batch_lineage": batch_lineage,
         "bronze_batch_ingest": bronze_batch_ingest,
         "bronze_partitioned_roundtrip": bronze_partitioned_roundtrip,

@@ -5,7 +5,7 @@ from __future__ import annotations
 import io
 import logging
 import time
-from collections.abc import Callable
+from collections.abc import Callable, Mapping, Sequence
 from contextlib import redirect_stdout
 from dataclasses import dataclass
 
@@ -19,7 +19,7 @@ from estrato.sources.layers import read_layer, write_layer
 
 logger = logging.getLogger(__name__)
 
-ReadTable = Callable[[str, str], DataFrame]
+ReadTable = Callable[[str, str], list[DataFrame]]
 
 
 @dataclass(frozen=True)
@@ -41,8 +41,12 @@ class StepResult:
     plan: str | None = None
 
 
+def _one(read: ReadTable, table: str) -> DataFrame:
+    return read("silver", table)[0]
+
+
 def _silver_step(spec: silver.SilverSpec) -> Step:
-    return Step("silver", spec.name, lambda read, keep: silver.build(spec, read("bronze", spec.name)))
+    return Step("silver", spec.name, lambda read, keep: silver.build(spec, *read("bronze", spec.name)))
 
 
 STEPS = {
@@ -51,22 +55,22 @@ STEPS = {
         Step(
             "gold",
             "indicador_municipio",
-            lambda read, keep: gold.indicador_municipio(read("silver", "municipio"), read("silver", "alunos")),
+            lambda read, keep: gold.indicador_municipio(_one(read, "municipio"), _one(read, "alunos")),
         ),
         Step(
             "gold",
             "metas_vs_resultados_municipio",
             lambda read, keep: gold.metas_vs_resultados_municipio(
-                read("silver", "municipio"), read("silver", "meta_alfabetizacao_municipio")
+                _one(read, "municipio"), _one(read, "meta_alfabetizacao_municipio")
             ),
         ),
         Step(
             "gold",
             "evolucao_alfabetizacao_uf",
             lambda read, keep: gold.evolucao_alfabetizacao_uf(
-                read("silver", "uf"),
-                read("silver", "meta_alfabetizacao_uf"),
-                read("silver", "meta_alfabetizacao_brasil"),
+                _one(read, "uf"),
+                _one(read, "meta_alfabetizacao_uf"),
+                _one(read, "meta_alfabetizacao_brasil"),
                 keep,
             ),
         ),
@@ -75,7 +79,7 @@ STEPS = {
         Step(
             "quality",
             "validation_results",
-            lambda read, keep: quality.validation_results({s.name: read("silver", s.name) for s in silver.SILVER}),
+            lambda read, keep: quality.validation_results({s.name: _one(read, s.name) for s in silver.SILVER}),
         ),
     ),
 }
@@ -93,17 +97,27 @@ def _plan_text(df: DataFrame) -> str:
 
 
 def run_layer(
-    spark: SparkSession, cfg: LakeConfig, layer: str, *, dry_run: bool = False, register: bool = False
+    spark: SparkSession,
+    cfg: LakeConfig,
+    layer: str,
+    *,
+    dry_run: bool = False,
+    register: bool = False,
+    more_bronze: Mapping[str, Sequence[str]] | None = None,
 ) -> list[StepResult]:
     """Rebuild every table of ``layer`` in order; the first failure stops the run.
 
-    A dry run returns the plan of each table and writes nothing. Row counts come from the write itself.
+    A dry run returns the plan of each table, runs no job and writes nothing. Row counts come from the write
+    itself. ``more_bronze`` names further bronze tables that feed a silver table, such as a stream's own table.
     """
     if layer not in STEPS:
         raise ValueError(f"no steps for layer {layer!r}; known: {sorted(STEPS)}")
 
-    def read(source_layer: str, table: str) -> DataFrame:
-        return read_layer(spark, cfg, source_layer, table)
+    def read(source_layer: str, table: str) -> list[DataFrame]:
+        names = [table]
+        if source_layer == "bronze":
+            names += (more_bronze or {}).get(table, ())
+        return [read_layer(spark, cfg, source_layer, name) for name in names]
 
     results: list[StepResult] = []
     for step in STEPS[layer]:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 
@@ -35,13 +36,14 @@ class SilverSpec:
     key_name: str
 
 
-def build(spec: SilverSpec, bronze: DataFrame) -> DataFrame:
+def build(spec: SilverSpec, *bronze: DataFrame) -> DataFrame:
     """Standardise, keep the newest row per key, then add flags and the composite key.
 
+    Several bronze tables (a batch load and a stream, say) are brought to the same types before they are united.
     Flags and key depend on the row alone, so they are computed after deduplication: the shuffle carries
     neither, and rows that are dropped never pay for them.
     """
-    typed = standardize(bronze, spec.casts, passthrough=LINEAGE)
+    typed = reduce(DataFrame.unionByName, [standardize(b, spec.casts, passthrough=LINEAGE) for b in bronze])
     newest = latest_by_key(typed, spec.key, NEWEST_FIRST)
     return newest.select(
         *[c.name for c in spec.casts],

@@ -415,6 +415,9 @@ def _ctes() -> dict[str, str]:
     steps["typed_stream"] = _typed("uf", "stream_bronze")
     steps["newest_stream"] = _newest("uf", "typed_stream")
     steps["silver_stream"] = _with_flags("uf", "newest_stream")
+    steps["typed_hybrid"] = "SELECT * FROM typed_uf UNION ALL SELECT * FROM typed_stream"
+    steps["newest_hybrid"] = _newest("uf", "typed_hybrid")
+    steps["silver_hybrid"] = _with_flags("uf", "newest_hybrid")
     return steps
 
 
@@ -518,6 +521,7 @@ def statements() -> dict[str, str]:
         "stream_lineage": "SELECT * FROM stream_bronze",
         "stream_ingest_roundtrip": "SELECT * FROM silver_stream",
         "stream_mirror_roundtrip": f"SELECT {', '.join(EVENT_TYPES)} FROM parsed_events WHERE reject_reason IS NULL",
+        "batch_and_stream_silver": "SELECT * FROM silver_hybrid",
         "batch_lineage": f"SELECT *, {_batch_lineage('pedidos', 'vendas', 'orders')} FROM orders",
         "bronze_batch_ingest": " UNION ALL BY NAME ".join(
             f"SELECT *, {_batch_lineage(t, 'vendas', t)} FROM {t}" for t in ("customer", "supplier")
