@@ -13,17 +13,26 @@ _TOP_BAND = 2**63 - 1
 
 
 def rank_within(
-    df: DataFrame, partition: Sequence[str], value: str, output: str = "rank", band_width: float = 1.0
+    df: DataFrame,
+    partition: Sequence[str],
+    value: str,
+    output: str = "rank",
+    band_width: float = 1.0,
+    weight: str | None = None,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """Add RANK() OVER (PARTITION BY ``partition`` ORDER BY ``value`` DESC NULLS LAST): equal values share a rank.
 
-    A value's rank is one more than the number of rows with a greater value. Rows are first counted per distinct
-    value (map-side, so a value shared by a third of the rows is one row after the shuffle). Distinct values are
-    then cut into bands of ``band_width``; counts run inside each band, and the sizes of higher bands are added
-    from a table with one row per band. Any width gives the same ranks; it only sets how finely a group is split.
-    ``df`` is read twice: pass a stored table.
+    A value's rank is one more than the number of rows with a greater value; with ``weight`` each row stands for
+    that many rows. Rows are first counted per distinct value (map-side, so a value shared by a third of the rows
+    is one row after the shuffle). Distinct values are then cut into bands of ``band_width``; counts run inside
+    each band, and the sizes of higher bands are added from a table with one row per band. Any width gives the
+    same ranks; it only sets how finely a group is split.
+
+    The counts read ``counted`` if given, else ``df`` a second time: pass a stored table for either.
     """
-    tallies = df.groupBy(*partition, value).agg(F.count(F.lit(1)).alias("_rows"))
+    rows = F.count(F.lit(1)) if weight is None else F.sum(weight)
+    tallies = (df if counted is None else counted).groupBy(*partition, value).agg(rows.alias("_rows"))
     number = F.col(value).cast("double")
     band = F.when(F.isnan(number), F.lit(_TOP_BAND)).otherwise(F.floor(number / F.lit(float(band_width))))
     tallies = tallies.withColumn("_band", band)

@@ -144,8 +144,34 @@ def metas_vs_resultados_municipio(municipio: DataFrame, metas: DataFrame) -> Dat
     )
 
 
-def evolucao_base(uf: DataFrame, metas_uf: DataFrame, metas_brasil: DataFrame) -> DataFrame:
-    """Whole-state results beside state and national targets of the year, before looking across years."""
+_RESULT = "resultado_alfabetizacao_uf_pct"
+_PREVIOUS = "resultado_alfabetizacao_uf_ano_anterior_pct"
+_CHANGE = "variacao_alfabetizacao_uf_pp"
+
+
+def _targets_per_key(targets: DataFrame, key: list[str], network: str) -> DataFrame:
+    """How many target rows a key has, and which network comes first (NULL before text)."""
+    return targets.groupBy(*key).agg(
+        F.count(F.lit(1)).alias(f"_count{network}"), F.min(F.struct(network)).alias(f"_first{network}")
+    )
+
+
+def _is_first(network: str) -> Column:
+    return F.col(f"_first{network}").isNull() | F.col(network).eqNullSafe(F.col(f"_first{network}")[network])
+
+
+def evolucao_alfabetizacao_uf(
+    uf: DataFrame, metas_uf: DataFrame, metas_brasil: DataFrame, keep: Keep = stage
+) -> DataFrame:
+    """State results over the years: change since the previous year, rank in the year, gaps and statuses.
+
+    A result appears once per state target row and national target row of its year, and rank and previous value
+    are defined over those copies. Copies of one result share its value, so both are computed on the results
+    alone: the rank counts each result as many times as it will be copied; the first copy looks back to the row
+    before, and every further copy sees its own value. No window runs after the tables fan out.
+
+    ``keep`` stores the counted results, which several branches read; by default in the shared folder.
+    """
     results = with_region(
         uf.filter("flag_sigla_uf_valida AND flag_taxa_alfabetizacao_valida")
         .filter(F.col("rede") == WHOLE_STATE_NETWORK)
@@ -154,7 +180,7 @@ def evolucao_base(uf: DataFrame, metas_uf: DataFrame, metas_brasil: DataFrame) -
             "sigla_uf",
             "serie",
             F.col("rede").alias("rede_resultado"),
-            F.col(_RATE).alias("resultado_alfabetizacao_uf_pct"),
+            F.col(_RATE).alias(_RESULT),
             "flag_possui_distribuicao_niveis",
             *RUN_COLUMNS,
         ),
@@ -174,45 +200,47 @@ def evolucao_base(uf: DataFrame, metas_uf: DataFrame, metas_brasil: DataFrame) -
         F.col(_RATE).alias("taxa_alfabetizacao_brasil_pct"),
         F.col("percentual_participacao_pct").alias("percentual_participacao_brasil_pct"),
     )
-    with_state = (
-        results.join(state_targets, ["ano", "sigla_uf"], "left")
-        .withColumn("meta_ano_resultado_uf_pct", target_for_year("ano", TARGET_COLUMNS))
-        .drop(*[name for name in TARGET_COLUMNS.values() if name != _TARGET_2030])
-    )
-    # The year alone has few values, so its rows are spread by state, grade and target network.
-    return spread_left_join(with_state, national, ["ano"], spread_by=["sigla_uf", "serie", "rede_meta"])
-
 
-def evolucao_alfabetizacao_uf(
-    uf: DataFrame, metas_uf: DataFrame, metas_brasil: DataFrame, keep: Keep = stage
-) -> DataFrame:
-    """State results over the years: change since the previous year, rank in the year, gaps and statuses.
+    per_state = _targets_per_key(state_targets, ["ano", "sigla_uf"], "rede_meta")
+    per_year = _targets_per_key(national, ["ano"], "_rede_brasil")
+    counted = spread_left_join(
+        results.join(per_state, ["ano", "sigla_uf"], "left"), per_year, ["ano"], spread_by=["sigla_uf", "serie"]
+    )
+    one = F.lit(1)
+    copies = F.coalesce("_countrede_meta", one) * F.coalesce("_count_rede_brasil", one)
+    base = keep(counted.withColumn("_copies", copies), "evolucao-base")
 
-    The joined base feeds several branches; ``keep`` stores it once, by default in the shared folder.
-    """
-    value = "resultado_alfabetizacao_uf_pct"
-    base = keep(evolucao_base(uf, metas_uf, metas_brasil), "evolucao-base")
     over_time = evolution(
         base,
-        value,
+        _RESULT,
         partition=["sigla_uf", "rede_resultado"],
         period="ano",
-        tiebreak=["serie", "rede_meta", "_rede_brasil"],
-        previous="resultado_alfabetizacao_uf_ano_anterior_pct",
-        change="variacao_alfabetizacao_uf_pp",
+        tiebreak=["serie"],
+        previous=_PREVIOUS,
+        change=_CHANGE,
+    )
+    ranked = rank_within(over_time, ["ano"], _RESULT, output="ranking_uf_no_ano", weight="_copies", counted=base)
+
+    with_state = ranked.join(state_targets, ["ano", "sigla_uf"], "left")
+    # The year alone has few values, so its rows are spread by state, grade and target network.
+    fanned = spread_left_join(with_state, national, ["ano"], spread_by=["sigla_uf", "serie", "rede_meta"])
+    first_copy = _is_first("rede_meta") & _is_first("_rede_brasil")
+    fanned = (
+        fanned.withColumn(_PREVIOUS, F.when(first_copy, F.col(_PREVIOUS)).otherwise(F.col(_RESULT)))
+        .withColumn(_CHANGE, F.when(first_copy, F.col(_CHANGE)).otherwise(F.lit(0.0)))
+        .withColumn("meta_ano_resultado_uf_pct", target_for_year("ano", TARGET_COLUMNS))
     )
-    ranked = rank_within(over_time, ["ano"], value, output="ranking_uf_no_ano")
-    result, target, final = F.col(value), F.col("meta_ano_resultado_uf_pct"), F.col(_TARGET_2030)
-    return ranked.select(
+    result, target, final = F.col(_RESULT), F.col("meta_ano_resultado_uf_pct"), F.col(_TARGET_2030)
+    return fanned.select(
         "ano",
         "sigla_uf",
         "regiao",
         "serie",
         "rede_resultado",
         "rede_meta",
-        value,
-        "resultado_alfabetizacao_uf_ano_anterior_pct",
-        "variacao_alfabetizacao_uf_pp",
+        _RESULT,
+        _PREVIOUS,
+        _CHANGE,
         "taxa_alfabetizacao_brasil_pct",
         gap(result, F.col("taxa_alfabetizacao_brasil_pct")).alias("diferenca_brasil_pp"),
         "meta_ano_resultado_uf_pct",
