@@ -30,7 +30,7 @@ from estrato.operators.standardize import standardize  # noqa: E402
 from estrato.operators.territory import with_region, with_territory  # noqa: E402
 from estrato.plans import gold, quality, reports, silver, starschema  # noqa: E402
 from estrato.plans.layers import run_layer  # noqa: E402
-from estrato.session import new_folder, stage  # noqa: E402
+from estrato.session import new_folder, spread_scan, stage  # noqa: E402
 from estrato.sources.batch import ingest, read_source  # noqa: E402
 from estrato.sources.layers import read_layer, read_table, write_bronze  # noqa: E402
 from estrato.sources.lineage import LINEAGE, add_batch_lineage, add_stream_lineage, execution_id  # noqa: E402
@@ -195,7 +195,8 @@ def regional_inequality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _broker_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return starschema.broker_events(spark, starschema.table(spark, sf_dir, "events"))
+    events = spread_scan(starschema.table(spark, sf_dir, "events"), "event_id")
+    return starschema.broker_events(spark, events)
 
 
 def event_parse_validate(spark: SparkSession, sf_dir: str) -> DataFrame:

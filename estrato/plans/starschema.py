@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from estrato.functions.territory import STATES
+from estrato.session import spread_scan
 
 # 28 places: the 27 states, and one code that belongs to none.
 _CODES = "".join(code for code, _, _ in STATES) + "99"
@@ -241,6 +242,9 @@ BRONZE_SQL = {
     "meta_alfabetizacao_brasil": _META_BRASIL,
 }
 
+# Inputs that keep every row; the others shrink in the scan's own task, before anything moves.
+_ROW_BY_ROW = {"alunos"}
+
 # Events as a broker would hand them over: JSON text with every kind of defect, under the broker's columns.
 _EVENT_YEAR = "CAST(2023 + event_id % 5 AS STRING)"
 _EVENT_STATE = f"substr('{_ACRONYMS}', CAST(user_id % 27 AS INT) * 2 + 1, 2)"
@@ -281,7 +285,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def bronze(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One bronze-shaped table derived from lineitem."""
-    return spark.sql(BRONZE_SQL[name], lineitem=table(spark, sf_dir, "lineitem"))
+    lineitem = table(spark, sf_dir, "lineitem")
+    if name in _ROW_BY_ROW:
+        lineitem = spread_scan(lineitem, "l_orderkey")
+    return spark.sql(BRONZE_SQL[name], lineitem=lineitem)
 
 
 def broker_events(spark: SparkSession, events: DataFrame) -> DataFrame:

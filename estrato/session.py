@@ -58,3 +58,14 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = new_folder(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def spread_scan(df: DataFrame, key: str) -> DataFrame:
+    """``df`` over all cores when its files give fewer splits than there are cores; unchanged otherwise.
+
+    A file with one row group is read by one task, which would then do all work up to the first shuffle alone.
+    Rows move by a hash of ``key``, which a repeated task reproduces exactly. Large inputs have more splits than
+    cores and are never moved.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
