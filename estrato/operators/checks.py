@@ -102,7 +102,7 @@ def run_checks(
     if not branches:
         raise ValueError("no checks to run")
     if executed_at is None:
-        executed_at = F.current_timestamp().cast("string")
+        executed_at = F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()).cast("string")
     results = reduce(DataFrame.unionByName, branches)
     return results.select(
         "layer_name",

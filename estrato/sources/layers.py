@@ -19,9 +19,8 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     found = spark.read.parquet(path).schema
     if PARTITION not in found.names:
         return spark.read.schema(found).parquet(path)
-    declared = T.StructType(
-        [T.StructField(f.name, T.StringType() if f.name == PARTITION else f.dataType) for f in found.fields]
-    )
+    text = T.StringType()
+    declared = T.StructType([T.StructField(f.name, text if f.name == PARTITION else f.dataType) for f in found])
     return spark.read.schema(declared).parquet(path)
 
 
@@ -29,6 +28,24 @@ def read_layer(spark: SparkSession, cfg: LakeConfig, layer: str, table: str) ->
     return read_table(spark, cfg.path(layer, table))
 
 
+def register_table(spark: SparkSession, database: str, table: str, path: str, partitioned: bool) -> None:
+    """Point a catalog table at the Parquet files under ``path``, with their schema and partitions of now.
+
+    The table is external, so replacing an earlier entry touches no files.
+    """
+    schema = read_table(spark, path).schema
+    name = f"`{database}`.`{table}`"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(
+        f"CREATE TABLE {name} ({schema.toDDL()}) USING parquet "
+        + (f"PARTITIONED BY ({PARTITION}) " if partitioned else "")
+        + f"LOCATION '{path}'"
+    )
+    if partitioned:
+        spark.sql(f"MSCK REPAIR TABLE {name}")
+
+
 def write_bronze(
     df: DataFrame,
     path: str,
@@ -53,11 +70,9 @@ def write_bronze(
     writer = df.write.format("parquet").mode(mode).option("compression", "snappy").partitionBy(PARTITION)
     if preserve_history:
         writer = writer.option("partitionOverwriteMode", "dynamic")
+    writer.save(path)
     if register:
-        df.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
-        writer.option("path", path).saveAsTable(f"`{database}`.`{table}`")
-    else:
-        writer.save(path)
+        register_table(df.sparkSession, database, table, path, partitioned=True)
 
 
 def write_layer(
@@ -66,11 +81,7 @@ def write_layer(
     """Replace one derived table as unpartitioned Snappy Parquet and return its path. Bronze is refused."""
     path = cfg.path(layer, table)
     cfg.require_rebuildable(path)
-    writer = df.write.format("parquet").mode("overwrite").option("compression", "snappy")
+    df.write.format("parquet").mode("overwrite").option("compression", "snappy").save(path)
     if register:
-        database = cfg.databases[layer]
-        df.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
-        writer.option("path", path).saveAsTable(f"`{database}`.`{table}`")
-    else:
-        writer.save(path)
+        register_table(df.sparkSession, cfg.databases[layer], table, path, partitioned=False)
     return path

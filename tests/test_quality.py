@@ -1,3 +1,5 @@
+from datetime import datetime, timedelta, timezone
+
 from frames import bronze, plan_of
 from pyspark.sql import functions as F
 
@@ -98,3 +100,12 @@ def test_row_checks_of_one_table_share_one_aggregate(spark, tmp_path):
     specs = [c for c in quality.CHECKS if c.table == "uf" and c.fails is not None]
     plan = plan_of(run_checks({"uf": spark.read.parquet(path)}, specs))
     assert plan.count("FileScan") == 1
+
+
+def test_the_execution_time_is_utc_text_whatever_the_session_zone(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        (row,) = {r.execution_timestamp_utc for r in quality.validation_results(_tables(spark)).collect()}
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert abs(datetime.fromisoformat(row) - datetime.now(timezone.utc).replace(tzinfo=None)) < timedelta(minutes=5)

@@ -115,11 +115,18 @@ def test_files_are_snappy_parquet(spark, cfg, tmp_path):
 def test_registering_needs_names_and_makes_a_table(spark, tmp_path):
     with pytest.raises(ValueError, match="database and table"):
         write_bronze(_dated(spark, "2024-01-01", 1), str(tmp_path / "t"), register=True)
-    write_bronze(
-        _dated(spark, "2024-01-01", 1), str(tmp_path / "t"), register=True, database="bronze_test", table="uf"
-    )
-    assert spark.table("bronze_test.uf").count() == 1
-    spark.sql("DROP DATABASE bronze_test CASCADE")
+    where = {"register": True, "database": "bronze_test", "table": "uf"}
+    write_bronze(_dated(spark, "2024-01-01", 1), str(tmp_path / "t"), **where)
+    write_bronze(_dated(spark, "2024-01-02", 2), str(tmp_path / "t"), preserve_history=True, **where)
+    try:
+        table = spark.table("bronze_test.uf")
+        assert dict(table.dtypes)["_ingestion_date"] == "string"
+        assert sorted(tuple(r) for r in table.collect()) == [(1, "2024-01-01"), (2, "2024-01-02")]
+        wider = _dated(spark, "2024-01-03", 3).withColumn("y", F.lit("new"))
+        write_bronze(wider, str(tmp_path / "t"), **where)
+        assert [r.y for r in spark.table("bronze_test.uf").collect()] == ["new"]
+    finally:
+        spark.sql("DROP DATABASE bronze_test CASCADE")
 
 
 def test_bronze_is_never_rebuilt(spark, cfg):
