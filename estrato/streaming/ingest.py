@@ -20,16 +20,20 @@ logger = logging.getLogger(__name__)
 BatchSink = Callable[[DataFrame, int], None]
 
 
-def kafka_events(spark: SparkSession, servers: str, topic: str, **options: str) -> DataFrame:
+def kafka_events(
+    spark: SparkSession, servers: str, topic: str, per_batch: int = 10_000_000, **options: str
+) -> DataFrame:
     """The topic from its first offset; the query's checkpoint, not a consumer group, remembers progress.
 
-    Needs Spark's Kafka connector on the classpath. Any other stream with Kafka's columns works as well.
+    ``per_batch`` bounds one micro-batch, so a long backlog is read in steps instead of all at once; nothing is
+    left out. Needs Spark's Kafka connector on the classpath. Any other stream with Kafka's columns works as well.
     """
     reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("startingOffsets", "earliest")
+        .option("maxOffsetsPerTrigger", per_batch)
     )
     return reader.options(**options).load()
 

@@ -1,5 +1,9 @@
+import random
+
 import pytest
 from frames import bronze
+from pyspark.sql import Window
+from pyspark.sql import functions as F
 
 from estrato.plans import gold, reports, silver
 
@@ -148,3 +152,54 @@ def test_reports(spark):
     spread = {(r.ano, r.regiao): r for r in reports.regional_inequality(evolution).collect()}
     south_east = spread[(2024, "Sudeste")]
     assert (south_east.qtd_resultados, south_east.media_pct, south_east.amplitude_pp) == (2, 71.88, 0.38)
+
+
+def test_evolution_equals_windows_over_the_joined_copies(spark):
+    """Random years, grades and networks, with missing years and networks, against the definition by windows."""
+    rng = random.Random(11)
+    years, states, networks = [2023, 2024, 2025, "x"], ["CE", "SP", "RJ", "MG", "BA", "AC", "ZZ"], ["A", "B", None]
+    rates = [10, 20, 20.5, 99.99, None]
+    results = [
+        {"ano": a, "sigla_uf": u, "serie": g, "rede": 5, "taxa_alfabetizacao": rng.choice(rates)}
+        for a in years for u in states for g in (2, 5, 9, None) if rng.random() < 0.9
+    ]
+    targets = [
+        {"ano": a, "sigla_uf": u, "rede": n, "meta_alfabetizacao_2024": rng.choice([15, 60, None])}
+        for a in years for u in states for n in networks if rng.random() < 0.6
+    ]
+    national = [
+        {"ano": a, "rede": n, "taxa_alfabetizacao": rng.choice([15, 60, None])}
+        for a in years for n in networks if rng.random() < 0.7
+    ]
+    uf = silver.build(silver.UF, bronze(spark, silver.UF, results))
+    metas, brasil = _meta(spark, silver.META_UF, targets), _meta(spark, silver.META_BRASIL, national)
+
+    x = F.col("resultado_alfabetizacao_uf_pct")
+    copies = (
+        uf.filter("rede = 5 AND flag_sigla_uf_valida AND flag_taxa_alfabetizacao_valida")
+        .select("ano", "sigla_uf", "serie", F.col("taxa_alfabetizacao_pct").alias("resultado_alfabetizacao_uf_pct"))
+        .join(metas.select("ano", "sigla_uf", F.col("rede").alias("rede_meta")), ["ano", "sigla_uf"], "left")
+        .join(
+            brasil.select(
+                "ano", F.col("rede").alias("b"), F.col("taxa_alfabetizacao_pct").alias("taxa_alfabetizacao_brasil_pct")
+            ),
+            ["ano"],
+            "left",
+        )
+    )
+    order = [F.col("ano").asc_nulls_last()] + [F.col(c).asc_nulls_first() for c in ("serie", "rede_meta", "b")]
+    previous = F.lag(x).over(Window.partitionBy("sigla_uf").orderBy(*order))
+    names = [
+        "ano", "sigla_uf", "serie", "rede_meta", "taxa_alfabetizacao_brasil_pct",
+        "resultado_alfabetizacao_uf_ano_anterior_pct", "variacao_alfabetizacao_uf_pp", "ranking_uf_no_ano",
+    ]
+    expected = copies.withColumns(
+        {
+            names[5]: previous,
+            names[6]: F.round(x - previous, 2),
+            names[7]: F.rank().over(Window.partitionBy("ano").orderBy(x.desc_nulls_last())).cast("bigint"),
+        }
+    )
+    got = gold.evolucao_alfabetizacao_uf(uf, metas, brasil)
+    assert expected.count() > 100
+    assert sorted(got.select(names).collect(), key=repr) == sorted(expected.select(names).collect(), key=repr)
