@@ -95,20 +95,23 @@ _MUNICIPIO = f"""
         {_LEVEL_SHARES},
         {_lineage("municipio", "last_day")}
     FROM (
-        SELECT
-            {_YEAR} AS yr,
-            {_PLACE} AS place,
-            {_GRADE} AS grade,
-            {_NETWORK} AS network,
-            l_returnflag AS delivery,
-            count(*) AS n,
-            {_ON_TARGET} AS good,
-            sum(floor(l_extendedprice)) AS price,
-            max(l_shipdate) AS last_day,
-            {_LEVEL_COUNTS}
-        FROM {{lineitem}}
-        GROUP BY 1, 2, 3, 4, 5
-    ) AS grouped"""
+        SELECT *, {_PLACE} AS place
+        FROM (
+            SELECT
+                {_YEAR} AS yr,
+                l_suppkey,
+                {_GRADE} AS grade,
+                {_NETWORK} AS network,
+                l_returnflag AS delivery,
+                count(*) AS n,
+                {_ON_TARGET} AS good,
+                sum(floor(l_extendedprice)) AS price,
+                max(l_shipdate) AS last_day,
+                {_LEVEL_COUNTS}
+            FROM {{lineitem}}
+            GROUP BY 1, 2, 3, 4, 5
+        ) AS grouped
+    ) AS placed"""
 
 _UF = f"""
     SELECT
@@ -193,11 +196,11 @@ _META_MUNICIPIO = f"""
         CASE WHEN n % 37 = 5 THEN '100.01' ELSE CAST({_share("present")} AS STRING) END AS percentual_participacao,
         {_lineage("meta_alfabetizacao_municipio", "last_day")}
     FROM (
-        SELECT *, {_share("good")} AS rate
+        SELECT *, {_PLACE} AS place, {_share("good")} AS rate
         FROM (
             SELECT
                 {_YEAR} AS yr,
-                {_PLACE} AS place,
+                l_suppkey,
                 CASE WHEN l_suppkey % 4 = 0 AND l_linenumber <= 3 THEN ' Municipal' ELSE 'Pública ' END AS network,
                 l_returnflag AS delivery,
                 count(*) AS n,
