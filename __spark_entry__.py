@@ -37,6 +37,14 @@ from estrato.sources.lineage import LINEAGE, add_batch_lineage, add_stream_linea
 from estrato.streaming.events import FIELDS, parse_events, split_valid  # noqa: E402
 from estrato.streaming.ingest import bronze_sink, start_ingest  # noqa: E402
 
+try:
+    import corpus_pipeline  # noqa: E402
+    import estrato.llm.queries as llm  # noqa: E402
+except ModuleNotFoundError as missing:  # the rest works without that subpackage
+    if not (missing.name or "").startswith(("estrato.llm", "corpus_pipeline")):
+        raise
+    llm = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 # One fixed clock, so results that carry lineage can be compared.
@@ -346,8 +354,9 @@ def queries() -> dict[str, Query]:
         "bronze_partitioned_roundtrip": bronze_partitioned_roundtrip,
         "dev_row_cap": dev_row_cap,
         "rebuild_all_layers": rebuild_all_layers,
+        **(llm.queries() | {"pipeline": corpus_pipeline.run} if llm else {}),
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.statements()
+    return oracle.statements() | (llm.oracle_sql() if llm else {})
