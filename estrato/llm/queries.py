@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import functools
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from estrato.llm import chat, urls
+from estrato.llm import byte_bpe, chat, line_rules, mixing, urls
 from estrato.llm.common import read, values
+from estrato.session import ship_package
 
 URL_RULES = [
     ("com", "/", "allow"),
@@ -24,6 +28,29 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(read(spark, sf_dir, "pages"), rules)
 
 
+def op7_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    judged = docs.select("doc_id", line_rules.line_rules(with_text=False)("text").alias("quality"))
+    return judged.select("doc_id", "quality.*").drop("cleaned")
+
+
+def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read(spark, sf_dir, "documents")).select(
+        "doc_id", "size", "source_size", "target", "taken", "copies"
+    )
+
+
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    encoded = byte_bpe.encode(read(spark, sf_dir, "documents"), ranks)
+    return encoded.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(byte_bpe.decode(ranks)("ids", "ends"), 256).alias("decoded_sha256"),
+    )
+
+
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     extra = values(
@@ -84,11 +111,26 @@ FROM said GROUP BY conv_id
 """
 
 
+def _shipped(query):
+    """``query`` once the workers can import this package."""
+
+    @functools.wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 def queries() -> dict:
-    return {
+    found = {
+        "op3_source_mix": op3_source_mix,
         "op4_url_filter": op4_url_filter,
         "op6_chat_format": op6_chat_format,
+        "op7_line_rules": op7_line_rules,
+        "op8_byte_bpe": op8_byte_bpe,
     }
+    return {name: _shipped(query) for name, query in found.items()}
 
 
 def oracle_sql() -> dict[str, str]:
