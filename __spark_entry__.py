@@ -5,7 +5,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Callable
 from datetime import datetime, timedelta, timezone
-from functools import reduce
+from functools import reduce, wraps
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,8 +30,8 @@ from estrato.operators.standardize import standardize  # noqa: E402
 from estrato.operators.territory import with_region, with_territory  # noqa: E402
 from estrato.plans import gold, quality, reports, silver, starschema  # noqa: E402
 from estrato.plans.layers import run_layer  # noqa: E402
-from estrato.session import new_folder, spread_scan, stage  # noqa: E402
-from estrato.sources.batch import ingest, read_source  # noqa: E402
+from estrato.session import new_folder, stage, use_shared_folder  # noqa: E402
+from estrato.sources.batch import ingest  # noqa: E402
 from estrato.sources.layers import read_layer, read_table, write_bronze  # noqa: E402
 from estrato.sources.lineage import LINEAGE, add_batch_lineage, add_stream_lineage, execution_id  # noqa: E402
 from estrato.streaming.events import FIELDS, parse_events, split_valid  # noqa: E402
@@ -208,8 +208,7 @@ def regional_inequality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _broker_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = spread_scan(starschema.table(spark, sf_dir, "events"), "event_id")
-    return starschema.broker_events(spark, events)
+    return starschema.broker_events(spark, starschema.table(spark, sf_dir, "events"))
 
 
 def event_parse_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -288,17 +287,6 @@ def bronze_partitioned_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, path)
 
 
-def dev_row_cap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cfg = LakeConfig(root=new_folder(spark, "dev"), environment="dev")
-    counts = [
-        read_source(spark, _source(sf_dir, name), cfg.row_cap(None)).agg(
-            F.lit(name).alias("tabela"), F.count(F.lit(1)).alias("linhas")
-        )
-        for name in ("lineitem", "orders", "nation")
-    ]
-    return reduce(DataFrame.unionByName, counts)
-
-
 def rebuild_all_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
     cfg = LakeConfig(root=new_folder(spark, "rebuild"), environment="prod")
     for spec in silver.SILVER:
@@ -313,13 +301,25 @@ def rebuild_all_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+def _with_folder(query: Query) -> Query:
+    """``query`` in a session that may leave ``spark.checkpoint.dir`` unset: the warehouse is shared as well."""
+
+    @wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        if not spark.conf.get("spark.checkpoint.dir", None):
+            use_shared_folder(spark, f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_staged")
+        return query(spark, sf_dir)
+
+    return run
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """State results over the years, from raw rows to the gold table."""
-    return evolucao_alfabetizacao_uf(spark, SMOKE_DIR)
+    return _with_folder(evolucao_alfabetizacao_uf)(spark, SMOKE_DIR)
 
 
 def queries() -> dict[str, Query]:
-    return {
+    found = {
         "safe_cast": _typed(silver.ALUNOS),
         "key_normalisation": _typed(silver.META_UF),
         "quality_flags": quality_flags,
@@ -352,10 +352,10 @@ def queries() -> dict[str, Query]:
         "batch_lineage": batch_lineage,
         "bronze_batch_ingest": bronze_batch_ingest,
         "bronze_partitioned_roundtrip": bronze_partitioned_roundtrip,
-        "dev_row_cap": dev_row_cap,
         "rebuild_all_layers": rebuild_all_layers,
         **(llm.queries() | {"pipeline": corpus_pipeline.run} if llm else {}),
     }
+    return {name: _with_folder(query) for name, query in found.items()}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -11,8 +11,6 @@ LAYERS = ("bronze", "silver", "gold", "quality", "monitoring")
 # Bronze is raw history; only what can be recomputed from it may be replaced.
 REBUILDABLE_LAYERS = ("silver", "gold", "quality", "monitoring")
 
-DEV_ROW_CAP = 1000
-
 
 def _same_name_per_layer() -> dict[str, str]:
     return {layer: layer for layer in LAYERS}
@@ -31,7 +29,6 @@ class LakeConfig:
     folders: Mapping[str, str] = field(default_factory=_same_name_per_layer)
     databases: Mapping[str, str] = field(default_factory=_same_name_per_layer)
     utc_offset_hours: int = -3
-    dev_row_cap: int = DEV_ROW_CAP
 
     def __post_init__(self) -> None:
         if not self.root:
@@ -73,12 +70,6 @@ class LakeConfig:
     def now(self) -> datetime:
         return datetime.now(timezone(timedelta(hours=self.utc_offset_hours)))
 
-    def row_cap(self, limit: int | None) -> int | None:
-        """The row cap of one ingest: the caller's limit, else the development cap in ``dev``."""
-        if limit is None and self.environment == "dev":
-            return self.dev_row_cap
-        return limit
-
 
 @dataclass(frozen=True)
 class SourceSpec:

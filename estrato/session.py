@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
+import io
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,7 +17,8 @@ SESSION_DEFAULTS = {
     "spark.ui.enabled": "false",
 }
 
-_local_folders: dict[str, str] = {}
+_chosen_folders: dict[str, str] = {}
+_shipped: set[str] = set()
 
 
 def build_session(master: str | None = None, **conf: object) -> SparkSession:
@@ -27,20 +30,20 @@ def build_session(master: str | None = None, **conf: object) -> SparkSession:
     return builder.getOrCreate()
 
 
+def use_shared_folder(spark: SparkSession, path: str) -> None:
+    """Choose the shared folder of an application whose session leaves ``spark.checkpoint.dir`` unset."""
+    _chosen_folders[spark.sparkContext.applicationId] = path
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
+    """The folder every executor can reach: ``spark.checkpoint.dir``, else the one chosen for this application.
 
-    Only a local-mode session without that setting gets a temporary folder; on a cluster its absence is an error.
+    Without either it is an error in every mode: no machine-local folder is made up.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    named = spark.conf.get("spark.checkpoint.dir", None) or _chosen_folders.get(spark.sparkContext.applicationId)
+    if not named:
         raise ValueError("spark.checkpoint.dir is not set; staged tables need a folder shared by all executors")
-    app = spark.sparkContext.applicationId
-    if app not in _local_folders:
-        _local_folders[app] = tempfile.mkdtemp(prefix="estrato-")
-    return _local_folders[app]
+    return named.rstrip("/")
 
 
 def new_folder(spark: SparkSession, label: str) -> str:
@@ -60,12 +63,39 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread_scan(df: DataFrame, key: str) -> DataFrame:
-    """``df`` over all cores when its files give fewer splits than there are cores; unchanged otherwise.
+def _file_system(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
 
-    A file with one row group is read by one task, which would then do all work up to the first shuffle alone.
-    Rows move by a hash of ``key``, which a repeated task reproduces exactly. Large inputs have more splits than
-    cores and are never moved.
+def drop_staged(spark: SparkSession) -> None:
+    """Delete every staged table of this application; call it when the frames that read them are done."""
+    target, files = _file_system(spark, f"{shared_folder(spark)}/estrato/{spark.sparkContext.applicationId}")
+    files.delete(target, True)
+    _shipped.discard(spark.sparkContext.applicationId)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers of all executors, once per application.
+
+    The sources travel as one archive through the shared folder; machines that have the package installed may use
+    their own copy.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    if not package.is_dir():  # already running from an archive
+        return
+    archive = io.BytesIO()
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.writestr(str(source.relative_to(package.parent)), source.read_text())
+    path = f"{new_folder(spark, 'package')}/{package.name}.zip"
+    target, files = _file_system(spark, path)
+    stream = files.create(target, True)
+    stream.write(bytearray(archive.getvalue()))
+    stream.close()
+    spark.sparkContext.addPyFile(path)
+    _shipped.add(app)

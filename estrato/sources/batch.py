@@ -34,10 +34,9 @@ def default_sources(location: str, fmt: str = "parquet") -> list[SourceSpec]:
     ]
 
 
-def read_source(spark: SparkSession, source: SourceSpec, limit: int | None = None) -> DataFrame:
-    """Read one source through any Spark reader (files, JDBC, a third-party connector), optionally capped."""
-    df = spark.read.format(source.format).options(**source.options).load()
-    return df if limit is None else df.limit(limit)
+def read_source(spark: SparkSession, source: SourceSpec) -> DataFrame:
+    """Read one whole source through any Spark reader (files, JDBC, a third-party connector)."""
+    return spark.read.format(source.format).options(**source.options).load()
 
 
 def ingest_source(
@@ -46,7 +45,6 @@ def ingest_source(
     source: SourceSpec,
     run_id: str,
     *,
-    limit: int | None = None,
     register: bool = False,
     preserve_history: bool = False,
     clock: Callable[[], datetime] | None = None,
@@ -54,7 +52,7 @@ def ingest_source(
     """Load one source into bronze and return the path written."""
     path = cfg.path("bronze", source.target_name)
     at = (clock or cfg.now)()
-    df = read_source(spark, source, cfg.row_cap(limit))
+    df = read_source(spark, source)
     stamped = add_batch_lineage(df, source.name, source.dataset_id, source.table_id, run_id, at)
     write_bronze(
         stamped,
@@ -73,7 +71,6 @@ def ingest(
     sources: Sequence[SourceSpec],
     *,
     only: str | None = None,
-    limit: int | None = None,
     register: bool = False,
     preserve_history: bool = False,
     clock: Callable[[], datetime] | None = None,
@@ -98,7 +95,6 @@ def ingest(
                 cfg,
                 source,
                 run_id,
-                limit=limit,
                 register=register,
                 preserve_history=preserve_history,
                 clock=clock,

@@ -528,9 +528,6 @@ def statements() -> dict[str, str]:
         ),
         "bronze_partitioned_roundtrip": """
             SELECT *, strftime(ts, '%Y-%m-%d') AS _ingestion_date FROM events""",
-        "dev_row_cap": " UNION ALL ".join(
-            f"SELECT '{t}' AS tabela, least(count(*), 1000) AS linhas FROM {t}" for t in ("lineitem", "orders", "nation")
-        ),
         "rebuild_all_layers": " UNION ALL ".join(
             [f"SELECT 'silver' AS camada, '{t}' AS tabela, count(*) AS linhas FROM silver_{t}" for t in COLUMNS]
             + [

@@ -13,12 +13,13 @@ from estrato.session import build_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     session = build_session(
         "local[8]",
         **{
             "spark.sql.shuffle.partitions": 4,
             "spark.driver.memory": "4g",
+            "spark.checkpoint.dir": f"file://{tmp_path_factory.mktemp('shared')}",
             "spark.ui.showConsoleProgress": "false",
         },
     )

@@ -45,12 +45,5 @@ def test_unknown_settings_layers_and_tables_are_errors():
         LakeConfig(root="/lake", databases={"bronze": "b"})
 
 
-def test_row_cap_is_for_development_without_a_limit():
-    assert LakeConfig(root="/l", environment="dev").row_cap(None) == 1000
-    assert LakeConfig(root="/l", environment="dev").row_cap(5) == 5
-    assert LakeConfig(root="/l", environment="prod").row_cap(None) is None
-    assert LakeConfig(root="/l", environment="prod").row_cap(7) == 7
-
-
 def test_the_clock_has_the_configured_offset():
     assert LakeConfig(root="/l").now().isoformat().endswith("-03:00")

@@ -16,14 +16,24 @@ def test_the_named_folder_is_used():
     assert session.shared_folder(_session("yarn", "hdfs:///shared/")) == "hdfs:///shared"
 
 
-def test_a_cluster_without_a_shared_folder_is_an_error():
+@pytest.mark.parametrize("master", ["yarn", "local[2]"])
+def test_no_folder_is_made_up(master):
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        session.shared_folder(_session("yarn"))
+        session.shared_folder(_session(master))
 
 
-def test_local_mode_falls_back_to_one_temporary_folder():
-    spark = _session("local[2]")
-    assert session.shared_folder(spark) == session.shared_folder(spark)
+def test_an_application_can_choose_its_folder():
+    spark = _session("k8s")
+    session.use_shared_folder(spark, "s3a://bucket/scratch/")
+    assert session.shared_folder(spark) == "s3a://bucket/scratch"
+
+
+def test_staged_tables_can_be_dropped(spark):
+    folder = session.new_folder(spark, "gone")
+    spark.range(3).write.parquet(folder)
+    session.drop_staged(spark)
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(folder)
 
 
 def test_staged_tables_keep_rows_and_schema(spark):
