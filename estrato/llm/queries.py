@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from estrato.llm import byte_bpe, chat, line_rules, mixing, urls
-from estrato.llm.common import read, values
+from estrato.llm import byte_bpe, chat, line_rules, mixing, quality_gbdt, urls
+from estrato.llm.common import read, remainder_of_id, values
 from estrato.session import ship_package
 
 URL_RULES = [
@@ -28,6 +28,17 @@ def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge_urls(read(spark, sf_dir, "pages"), rules)
 
 
+def training_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The label rows that the classifier may learn from."""
+    return read(spark, sf_dir, "labels").where(remainder_of_id("doc_id", 4) != 2).select("doc_id", "quality")
+
+
+def op5_quality_gbdt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = quality_gbdt.classify(docs, training_labels(spark, sf_dir))
+    return scored.select("doc_id", (remainder_of_id("doc_id", 4) == 2).alias("held_out"), "score", "predicted")
+
+
 def op7_line_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     judged = docs.select("doc_id", line_rules.line_rules(with_text=False)("text").alias("quality"))
@@ -42,12 +53,12 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    encoded = byte_bpe.encode(read(spark, sf_dir, "documents"), ranks)
+    encoded = byte_bpe.encode(read(spark, sf_dir, "documents"), ranks, read_back=True)
     return encoded.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
-        F.sha2(byte_bpe.decode(ranks)("ids", "ends"), 256).alias("decoded_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
     )
 
 
@@ -126,6 +137,7 @@ def queries() -> dict:
     found = {
         "op3_source_mix": op3_source_mix,
         "op4_url_filter": op4_url_filter,
+        "op5_quality_gbdt": op5_quality_gbdt,
         "op6_chat_format": op6_chat_format,
         "op7_line_rules": op7_line_rules,
         "op8_byte_bpe": op8_byte_bpe,
