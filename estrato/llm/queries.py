@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from estrato.llm import byte_bpe, chat, line_rules, mixing, quality_gbdt, urls
+from estrato.llm import byte_bpe, chat, ctw, jaccard_join, line_rules, mixing, quality_gbdt, urls
 from estrato.llm.common import read, remainder_of_id, values
 from estrato.session import ship_package
 
@@ -62,6 +62,14 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ctw.score_texts(read(spark, sf_dir, "documents"), remainder_of_id("doc_id", 7) != 2)
+
+
+def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(read(spark, sf_dir, "documents"))
+
+
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     extra = values(
@@ -141,6 +149,8 @@ def queries() -> dict:
         "op6_chat_format": op6_chat_format,
         "op7_line_rules": op7_line_rules,
         "op8_byte_bpe": op8_byte_bpe,
+        "op9_context_tree": op9_context_tree,
+        "op10_jaccard_join": op10_jaccard_join,
     }
     return {name: _shipped(query) for name, query in found.items()}
 
