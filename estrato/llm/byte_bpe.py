@@ -12,7 +12,7 @@ import base64
 import functools
 import heapq
 import unicodedata
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CHUNK = 1 << 20  # code points that are scanned at once, at least one text
+ROWS = 256  # rows of an Arrow batch that are unpacked at once
 CACHE = 1 << 19  # pieces a worker remembers before it starts anew
 LONG_PIECE = 64  # bytes from which merging uses a heap
 
@@ -259,9 +260,10 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(read_ranks(path))
 
 
-def _chunks(texts: list[str]) -> Iterator[list[str]]:
+def _chunks(texts: Iterable[str | None]) -> Iterator[list[str]]:
     chunk, size = [], 0
     for text in texts:
+        text = text or ""
         chunk.append(text)
         size += len(text) + 1
         if size >= CHUNK:
@@ -271,39 +273,47 @@ def _chunks(texts: list[str]) -> Iterator[list[str]]:
         yield chunk
 
 
-def encode(docs: DataFrame, ranks_path: str, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """Per row of ``docs``: the id, ``ids array<int>`` and ``ends array<bigint>``, the byte where each token ends.
+def encode(
+    docs: DataFrame,
+    ranks_path: str,
+    id_column: str = "doc_id",
+    text_column: str = "text",
+    read_back: bool = False,
+) -> DataFrame:
+    """Per row of ``docs``: the id, ``ids array<int>`` and ``ends array<int>``, the byte where each token ends.
 
+    With ``read_back`` the column ``decoded binary`` has the bytes that ids and ends decode to, made where they are.
     Every piece of the pattern is merged alone and no special token is recognised. A null or empty text has no ids.
     Texts of any length are encoded whole. Repeated rows are encoded each; other columns are not read; no rows give
-    no rows. Nothing is shuffled.
+    no rows. Nothing is shuffled, and results leave a worker chunk by chunk.
     """
     kind = dict(docs.dtypes)[id_column]
+    schema = f"`{id_column}` {kind}, ids array<int>, ends array<int>" + (", decoded binary" if read_back else "")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = vocabulary(ranks_path)
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
             done = 0
-            for chunk in _chunks(texts):
+            for chunk in _chunks(t for at in range(0, len(batch), ROWS) for t in batch.slice(at, ROWS)[1].to_pylist()):
                 ids, counts = words.encode(chunk)
                 stops = np.cumsum(counts)
+                whole = np.cumsum(words.sizes[ids])
+                before = np.concatenate([[0], whole])[stops - counts]
+                ends = (whole - np.repeat(before, counts)).astype(np.int32)
                 offsets = pa.array(np.concatenate([[0], stops]), pa.int32())
-                ends = np.cumsum(words.sizes[ids])
-                before = np.concatenate([[0], ends])[stops - counts]
-                ends = ends - np.repeat(before, counts)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(done, len(chunk)),
-                        pa.ListArray.from_arrays(offsets, pa.array(ids, pa.int32())),
-                        pa.ListArray.from_arrays(offsets, pa.array(ends, pa.int64())),
-                    ],
-                    [id_column, "ids", "ends"],
-                )
+                columns = [
+                    batch.column(0).slice(done, len(chunk)),
+                    pa.ListArray.from_arrays(offsets, pa.array(ids, pa.int32())),
+                    pa.ListArray.from_arrays(offsets, pa.array(ends, pa.int32())),
+                ]
+                if read_back:
+                    spans = zip(stops - counts, stops)
+                    columns.append(pa.array([words.decode(ids[a:b], ends[a:b]) for a, b in spans], pa.binary()))
+                yield pa.RecordBatch.from_arrays(columns, [id_column, "ids", "ends", "decoded"][: len(columns)])
                 done += len(chunk)
 
     rows = docs.select(F.col(id_column), F.col(text_column).alias("__text"))
-    return rows.mapInArrow(run, f"`{id_column}` {kind}, ids array<int>, ends array<bigint>")
+    return rows.mapInArrow(run, schema)
 
 
 def decode(ranks_path: str):
