@@ -8,7 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from estrato.llm import byte_bpe, chat, ctw, jaccard_join, line_rules, mixing, quality_gbdt, urls
+from estrato.llm import (
+    ann_onebit,
+    byte_bpe,
+    chat,
+    ctw,
+    jaccard_join,
+    licenses,
+    line_rules,
+    mixing,
+    quality_gbdt,
+    urls,
+)
 from estrato.llm.common import read, remainder_of_id, values
 from estrato.session import ship_package
 
@@ -23,6 +34,19 @@ URL_RULES = [
 CONTROL_TEXT = "\\### Assistant: </turn> ok"
 
 
+def op1_onebit_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann_onebit.nearest(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The licences and, as further templates, the benchmark passages."""
+    known = values(spark, ["template", "text"], list(licenses.TEMPLATES.items()))
+    items = read(spark, sf_dir, "benchmark").select(
+        F.concat(F.lit("benchmark "), F.col("item_id").cast("string")).alias("template"), "text"
+    )
+    return licenses.scan_licenses(read(spark, sf_dir, "documents"), known.unionByName(items))
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = values(spark, ["host", "path", "verdict"], URL_RULES)
     return urls.judge_urls(read(spark, sf_dir, "pages"), rules)
@@ -130,6 +154,29 @@ FROM said GROUP BY conv_id
 """
 
 
+_PLAIN = """trim(regexp_replace(lower(regexp_replace(coalesce(text, ''),
+    '(?i)(^|\\n)[ \\t]*(copyright|\\(c\\))[^\\n]*', chr(10), 'g')), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g'))"""
+
+OP2_SQL = f"""
+WITH texts AS (
+  SELECT 'd' AS kind, doc_id::VARCHAR AS name, string_split({_PLAIN.format()}, ' ') AS w FROM documents
+  UNION ALL SELECT 't', 'benchmark ' || item_id, string_split({_PLAIN.format()}, ' ') FROM benchmark
+  UNION ALL SELECT 't', name, string_split({_PLAIN.format()}, ' ') FROM (VALUES {", ".join(
+      "('" + name + "', '" + text.replace("'", "''") + "')" for name, text in licenses.TEMPLATES.items()
+  )}) v(name, text)),
+sets AS (
+  SELECT kind, name, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS pairs FROM texts),
+pairs AS (SELECT kind, name, len(pairs) AS size, unnest(pairs) AS pair FROM sets),
+shared AS (
+  SELECT d.name AS doc, t.name AS template, 2.0::DOUBLE * count(*) / (any_value(d.size) + any_value(t.size)) AS dice
+  FROM pairs d JOIN pairs t USING (pair) WHERE d.kind = 'd' AND t.kind = 't' GROUP BY ALL),
+best AS (
+  SELECT * FROM shared WHERE dice >= 0.8 QUALIFY row_number() OVER (PARTITION BY doc ORDER BY dice DESC, template) = 1)
+SELECT name::BIGINT AS doc_id, len(pairs)::BIGINT AS n_bigrams, template, dice
+FROM sets LEFT JOIN best ON doc = name WHERE kind = 'd'
+"""
+
+
 def _shipped(query):
     """``query`` once the workers can import this package."""
 
@@ -143,6 +190,8 @@ def _shipped(query):
 
 def queries() -> dict:
     found = {
+        "op1_onebit_ann": op1_onebit_ann,
+        "op2_license_scan": op2_license_scan,
         "op3_source_mix": op3_source_mix,
         "op4_url_filter": op4_url_filter,
         "op5_quality_gbdt": op5_quality_gbdt,
@@ -156,4 +205,4 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_url_filter": OP4_SQL, "op6_chat_format": OP6_SQL}
+    return {"op2_license_scan": OP2_SQL, "op4_url_filter": OP4_SQL, "op6_chat_format": OP6_SQL}
