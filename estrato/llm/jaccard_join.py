@@ -350,7 +350,11 @@ def jaccard_components(
 
 
 def one_of_each(docs: DataFrame, percent: int = 80) -> DataFrame:
-    """The rows of ``docs`` (with doc_id and text) that name their component; all columns kept."""
+    """One row of ``docs`` (with doc_id and text) for each component, the one its id names; all columns kept.
+
+    Of rows with the same id one stays. A row without id cannot be named and stays.
+    """
     found = jaccard_components(docs, percent=percent)
     keep = found.where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(keep, "doc_id", "left_semi").select(docs.columns)
+    named = docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return named.unionByName(docs.where("doc_id IS NULL")).select(docs.columns)
