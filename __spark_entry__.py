@@ -32,10 +32,10 @@ from estrato.plans import gold, quality, reports, silver, starschema  # noqa: E4
 from estrato.plans.layers import run_layer  # noqa: E402
 from estrato.session import new_folder, stage, use_shared_folder  # noqa: E402
 from estrato.sources.batch import ingest  # noqa: E402
-from estrato.sources.layers import read_layer, read_table, write_bronze  # noqa: E402
+from estrato.sources.layers import read_layer, read_table, stream_table, write_bronze  # noqa: E402
 from estrato.sources.lineage import LINEAGE, add_batch_lineage, add_stream_lineage, execution_id  # noqa: E402
 from estrato.streaming.events import FIELDS, parse_events, split_valid  # noqa: E402
-from estrato.streaming.ingest import bronze_sink, start_ingest  # noqa: E402
+from estrato.streaming.ingest import bronze_sink, parquet_mirror, start_ingest  # noqa: E402
 
 try:
     import corpus_pipeline  # noqa: E402
@@ -92,7 +92,7 @@ def composite_key(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def keep_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     spec = silver.ALUNOS
-    return latest_by_key(_typed(spec)(spark, sf_dir), spec.key, silver.NEWEST_FIRST)
+    return latest_by_key(_typed(spec)(spark, sf_dir), spec.key, silver.newest_first())
 
 
 def territory_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -226,40 +226,66 @@ def stream_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _run_stream(spark: SparkSession, sf_dir: str, label: str) -> tuple[LakeConfig, str]:
-    """Stream the events table into a mirror folder and a bronze table; return the lake and the mirror's path."""
+    """Stream the events table into a mirror, bronze and a folder of rejects; return the lake and the common folder."""
     folder = new_folder(spark, label)
     cfg = LakeConfig(root=f"{folder}/lake", environment="prod")
-    mirror_path = f"{folder}/mirror"
 
-    def mirror(batch: DataFrame, batch_id: int) -> None:
-        batch.select(*FIELDS).write.mode("append").parquet(mirror_path)
+    def rejects(batch: DataFrame, batch_id: int) -> None:
+        batch.drop("value").write.mode("append").parquet(f"{folder}/rejects")
 
     events = starschema.broker_events(spark, starschema.event_stream(spark, sf_dir))
     query = start_ingest(
         events,
         f"{folder}/checkpoint",
-        mirror=mirror,
+        mirror=parquet_mirror(f"{folder}/mirror"),
         bronze=bronze_sink(cfg, "uf", _clock),
-        bronze_may_fail=False,
+        rejects=rejects,
         available_now=True,
     )
     query.awaitTermination()
-    return cfg, mirror_path
+    return cfg, folder
 
 
 def stream_ingest_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     cfg, _ = _run_stream(spark, sf_dir, "stream-ingest")
-    return silver.build(silver.UF, read_layer(spark, cfg, "bronze", "uf"))
+    return silver.build(silver.UF, read_layer(spark, cfg, "bronze", stream_table("uf")))
 
 
 def batch_and_stream_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     cfg, _ = _run_stream(spark, sf_dir, "batch-and-stream")
-    return silver.build(silver.UF, _bronze(silver.UF)(spark, sf_dir), read_layer(spark, cfg, "bronze", "uf"))
+    streamed = read_layer(spark, cfg, "bronze", stream_table("uf"))
+    return silver.build(silver.UF, _bronze(silver.UF)(spark, sf_dir), streamed)
+
+
+def shared_bronze_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batch rows with text columns and typed stream rows, both stored; the silver layer is rebuilt from the store."""
+    cfg, _ = _run_stream(spark, sf_dir, "shared-bronze")
+    for spec in silver.SILVER:
+        rows = _bronze(spec)(spark, sf_dir)
+        if spec.name == "uf":
+            rows = rows.select([F.col(name).cast("string") for name in rows.columns])
+        write_bronze(rows, cfg.path("bronze", spec.name), many_dates=True)
+    run_layer(spark, cfg, "silver")
+    return read_layer(spark, cfg, "silver", "uf")
+
+
+def reject_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, folder = _run_stream(spark, sf_dir, "rejects")
+    return read_table(spark, f"{folder}/rejects")
+
+
+def catalog_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A bronze table written with registration and read through the catalog."""
+    spec = silver.META_BRASIL
+    where = {"database": "bronze_catalog", "table": spec.name, "register": True}
+    write_bronze(_bronze(spec)(spark, sf_dir), new_folder(spark, "catalog"), many_dates=True, **where)
+    typed = standardize(spark.table(f"bronze_catalog.{spec.name}"), spec.casts, passthrough=LINEAGE)
+    return latest_by_key(typed, spec.key, silver.newest_first())
 
 
 def stream_mirror_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    _, mirror_path = _run_stream(spark, sf_dir, "stream-mirror")
-    return read_table(spark, mirror_path)
+    _, folder = _run_stream(spark, sf_dir, "stream-mirror")
+    return read_table(spark, f"{folder}/mirror").select(*FIELDS)
 
 
 def batch_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -349,6 +375,9 @@ def queries() -> dict[str, Query]:
         "stream_ingest_roundtrip": stream_ingest_roundtrip,
         "stream_mirror_roundtrip": stream_mirror_roundtrip,
         "batch_and_stream_silver": batch_and_stream_silver,
+        "shared_bronze_silver": shared_bronze_silver,
+        "reject_roundtrip": reject_roundtrip,
+        "catalog_roundtrip": catalog_roundtrip,
         "batch_lineage": batch_lineage,
         "bronze_batch_ingest": bronze_batch_ingest,
         "bronze_partitioned_roundtrip": bronze_partitioned_roundtrip,

@@ -27,7 +27,9 @@ def pct(part: Column, whole: Column, digits: int) -> Column:
 
 
 def gap(value: Column, goal: Column, digits: int = 2) -> Column:
-    return F.round(value - goal, digits)
+    """``value - goal``, both taken as the decimals they are written as, rounded half up."""
+    exact = lambda number: number.try_cast("decimal(24,9)")
+    return F.round(exact(value) - exact(goal), digits).cast("double")
 
 
 def target_for_year(year: str, columns: Mapping[int, str]) -> Column:

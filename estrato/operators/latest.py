@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def latest_by_key(df: DataFrame, keys: Sequence[str], newest_first: Sequence[str]) -> DataFrame:
-    """One row per key, the one that is last by ``newest_first``.
+def latest_by_key(df: DataFrame, keys: Sequence[str], newest_first: Sequence[str | Column]) -> DataFrame:
+    """One row per key, the one that is last by ``newest_first``: names or expressions, NULL counting as oldest.
 
     Keys that hold NULL form groups of their own, as in SQL grouping. Rows that tie on ``newest_first`` are told
     apart by all remaining columns, so the choice never depends on how the data was split; rows that still tie
@@ -19,8 +19,10 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], newest_first: Sequence[str
     A hash of the key leads the partition columns: groups stay the same, and the sorts before and after the
     shuffle settle nearly every comparison on one number instead of walking key columns with few distinct values.
     """
-    rest = [c for c in df.columns if c not in keys and c not in newest_first]
-    order = [F.col(c).desc_nulls_last() for c in newest_first] + [F.col(c).asc_nulls_last() for c in rest]
+    named = [c for c in newest_first if isinstance(c, str)]
+    rest = [c for c in df.columns if c not in keys and c not in named]
+    newest = [F.col(c) if isinstance(c, str) else c for c in newest_first]
+    order = [c.desc_nulls_last() for c in newest] + [F.col(c).asc_nulls_last() for c in rest]
     place = F.row_number().over(Window.partitionBy("_key_hash", *keys).orderBy(*order))
     hashed = df.withColumn("_key_hash", F.xxhash64(*keys))
     return hashed.withColumn("_place", place).filter(F.col("_place") == 1).drop("_place", "_key_hash")

@@ -4,20 +4,30 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+def _exact(name: str) -> Column:
+    """A measure to nine decimals, so that sums do not depend on the order of tasks."""
+    return F.col(name).try_cast("decimal(28,9)")
+
+
+def _mean(name: str) -> Column:
+    total, rows = F.sum(_exact(name)), F.count(_exact(name))
+    return F.when(rows > 0, total.cast("double") / rows)
+
+
 def sample_rollup(students: DataFrame, by: Sequence[str]) -> DataFrame:
     """Counts, mean proficiency and total weight per group, over identified students of valid municipalities.
 
-    Only plain aggregates, so every map task sends at most one row per group.
+    Only plain aggregates, so every map task sends at most one row per group. Sums run over decimals of nine places.
     """
     usable = students.filter(F.col("flag_id_municipio_valido") & F.col("flag_id_aluno_preenchido"))
     return usable.groupBy(*by).agg(
         F.count(F.lit(1)).alias("qtd_alunos_amostra"),
         F.count_if(F.col("alfabetizado") == 1).alias("qtd_alunos_alfabetizados_amostra"),
         F.count_if(F.col("presenca") == 1).alias("qtd_alunos_presentes_amostra"),
-        F.avg("proficiencia").alias("media_proficiencia_alunos_amostra"),
-        F.sum("peso_aluno").alias("soma_peso_alunos_amostra"),
+        _mean("proficiencia").alias("media_proficiencia_alunos_amostra"),
+        F.sum(_exact("peso_aluno")).cast("double").alias("soma_peso_alunos_amostra"),
     )

@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 
 from estrato.config import LakeConfig
 from estrato.plans import gold, quality, silver
-from estrato.session import stage
-from estrato.sources.layers import read_layer, write_layer
+from estrato.session import path_exists, stage
+from estrato.sources.layers import read_layer, stream_table, write_layer
 
 logger = logging.getLogger(__name__)
 
@@ -108,7 +108,7 @@ def run_layer(
     """Rebuild every table of ``layer`` in order; the first failure stops the run.
 
     A dry run returns the plan of each table, runs no job and writes nothing. Row counts come from the write
-    itself. ``more_bronze`` names further bronze tables that feed a silver table, such as a stream's own table.
+    itself. A stream's bronze table feeds the silver table of its name by itself; ``more_bronze`` names further ones.
     """
     if layer not in STEPS:
         raise ValueError(f"no steps for layer {layer!r}; known: {sorted(STEPS)}")
@@ -116,6 +116,8 @@ def run_layer(
     def read(source_layer: str, table: str) -> list[DataFrame]:
         names = [table]
         if source_layer == "bronze":
+            streamed = stream_table(table)
+            names += [streamed] if path_exists(spark, cfg.path("bronze", streamed)) else []
             names += (more_bronze or {}).get(table, ())
         return [read_layer(spark, cfg, source_layer, name) for name in names]
 

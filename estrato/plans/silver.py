@@ -13,9 +13,15 @@ from estrato.functions.casts import DOUBLE, INT, TEXT, TRIMMED, UPPER_TRIMMED, C
 from estrato.functions.measures import business_key
 from estrato.operators.latest import latest_by_key
 from estrato.operators.standardize import standardize
-from estrato.sources.lineage import LINEAGE
+from estrato.sources.lineage import LINEAGE, stream_offset
+
+
+
+def newest_first() -> tuple[str | Column, ...]:
+    """What makes a row the newest of its key: arrival, then a stream's offset as a number, then the run."""
+    return "_ingestion_timestamp_utc", stream_offset(), "_execution_id"
+
 
-NEWEST_FIRST = ("_ingestion_timestamp_utc", "_execution_id")
 
 LEVELS = range(9)
 TARGET_YEARS = range(2024, 2031)
@@ -44,7 +50,7 @@ def build(spec: SilverSpec, *bronze: DataFrame) -> DataFrame:
     neither, and rows that are dropped never pay for them.
     """
     typed = reduce(DataFrame.unionByName, [standardize(b, spec.casts, passthrough=LINEAGE) for b in bronze])
-    newest = latest_by_key(typed, spec.key, NEWEST_FIRST)
+    newest = latest_by_key(typed, spec.key, newest_first())
     return newest.select(
         *[c.name for c in spec.casts],
         *[rule().alias(name) for name, rule in spec.flags.items()],

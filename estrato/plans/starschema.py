@@ -253,6 +253,7 @@ EVENTS_SQL = f"""
         'indicator-events' AS topic,
         CAST(user_id % 2 AS INT) AS partition,
         event_id AS offset,
+        ts AS timestamp,
         CASE
             WHEN event_type = 'error' AND value < 5 THEN NULL
             WHEN event_type = 'error' AND value < 10 THEN 'not json ' || CAST(event_id AS STRING)

@@ -69,6 +69,12 @@ def _file_system(spark: SparkSession, path: str):
     return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a file or folder is there; asks the file system only, without a job."""
+    target, files = _file_system(spark, path)
+    return files.exists(target)
+
+
 def drop_staged(spark: SparkSession) -> None:
     """Delete every staged table of this application; call it when the frames that read them are done."""
     target, files = _file_system(spark, f"{shared_folder(spark)}/estrato/{spark.sparkContext.applicationId}")

@@ -24,6 +24,11 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(declared).parquet(path)
 
 
+def stream_table(table: str) -> str:
+    """The bronze table of a stream that feeds the same silver table as the batch table ``table``."""
+    return f"{table}_stream"
+
+
 def read_layer(spark: SparkSession, cfg: LakeConfig, layer: str, table: str) -> DataFrame:
     return read_table(spark, cfg.path(layer, table))
 
@@ -40,7 +45,7 @@ def register_table(spark: SparkSession, database: str, table: str, path: str, pa
     spark.sql(
         f"CREATE TABLE {name} ({schema.toDDL()}) USING parquet "
         + (f"PARTITIONED BY ({PARTITION}) " if partitioned else "")
-        + f"LOCATION '{path}'"
+        + "LOCATION '{}'".format(path.replace("\\", "\\\\").replace("'", "\\'"))
     )
     if partitioned:
         spark.sql(f"MSCK REPAIR TABLE {name}")

@@ -52,8 +52,27 @@ def add_batch_lineage(
     )
 
 
-def add_stream_lineage(df: DataFrame, source_name: str, at: datetime, offset: str = "offset") -> DataFrame:
-    """Stamp one micro-batch; the execution id names each event's offset."""
+def stream_offset() -> Column:
+    """The offset that a stream's execution id names, as a number; NULL for a batch row."""
+    return F.regexp_extract("_execution_id", r"_offset(\d+)$", 1).try_cast("bigint")
+
+
+def add_stream_lineage(
+    df: DataFrame, source_name: str, at: datetime, offset: str = "offset", arrived: str = "timestamp"
+) -> DataFrame:
+    """Stamp one micro-batch; the execution id names each event's offset.
+
+    Every event carries its own arrival, the broker's ``arrived`` column in the zone of ``at``, as text of fixed
+    width. An event without one has ``at``.
+    """
+    zone = at.isoformat()[-6:] if at.tzinfo else "+00:00"
+    stamp, day = F.lit(at.isoformat()), F.lit(at.date().isoformat())
+    if arrived in df.columns:
+        local = F.convert_timezone(
+            F.current_timezone(), F.lit(zone), F.col(arrived).cast("timestamp").cast("timestamp_ntz")
+        )
+        own = F.concat(F.date_format(local, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), F.lit(zone))
+        stamp, day = F.coalesce(own, stamp), F.coalesce(F.date_format(local, "yyyy-MM-dd"), day)
     return _stamp(
         df,
         (
@@ -61,8 +80,8 @@ def add_stream_lineage(df: DataFrame, source_name: str, at: datetime, offset: st
             F.lit(source_name),
             F.lit(STREAM_DATASET),
             F.lit(STREAM_TABLE),
-            F.lit(at.isoformat()),
-            F.lit(at.date().isoformat()),
+            stamp,
+            day,
             F.format_string(f"stream_{execution_id(at)}_offset%d", F.col(offset)),
         ),
     )

@@ -8,17 +8,22 @@ from datetime import datetime
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from estrato.config import LakeConfig
-from estrato.sources.layers import write_bronze
+from estrato.session import path_exists
+from estrato.sources.layers import read_table, stream_table, write_bronze
 from estrato.sources.lineage import LINEAGE, add_stream_lineage
-from estrato.streaming.events import FIELDS, parse_events, split_valid
+from estrato.streaming.events import FIELDS, REASON, parse_events, split_valid
 
 logger = logging.getLogger(__name__)
 
 BatchSink = Callable[[DataFrame, int], None]
 
+# What names an event of a broker once and for all.
+EVENT_ID = ("topic", "partition", "offset")
+
 
 def kafka_events(
     spark: SparkSession, servers: str, topic: str, per_batch: int = 10_000_000, **options: str
@@ -38,22 +43,57 @@ def kafka_events(
     return reader.options(**options).load()
 
 
+def not_held(batch: DataFrame, held: DataFrame | None) -> DataFrame:
+    """The events of ``batch`` that ``held`` has no row of, by topic, partition and offset.
+
+    Only the offsets that the batch spans are looked up, a filter that reaches the scan of ``held``.
+    """
+    events = batch.select(*EVENT_ID, *FIELDS)
+    if held is None:
+        return events
+    span = events.agg(F.min("offset").alias("low"), F.max("offset").alias("high")).first()
+    if span.low is None:
+        return events
+    known = held.where(F.col("offset").between(span.low, span.high)).select(*EVENT_ID)
+    return events.join(known, [*EVENT_ID], "left_anti")
+
+
 def jdbc_mirror(url: str, table: str, properties: Mapping[str, str] | None = None) -> BatchSink:
-    """A sink that appends the 15 business columns to a relational table, one transaction per task."""
+    """A sink that appends event ids and the 15 business columns to a relational table, one transaction per task.
+
+    The table must exist. A batch that is delivered again, whole or in part, leaves no event twice: rows whose
+    topic, partition and offset the table already holds are left out.
+    """
+    options = dict(properties or {})
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        batch.select(*FIELDS).write.jdbc(url, table, mode="append", properties=dict(properties or {}))
+        held = batch.sparkSession.read.jdbc(url, table, properties=options)
+        not_held(batch, held).write.jdbc(url, table, mode="append", properties=options)
+
+    return append
+
+
+def parquet_mirror(path: str) -> BatchSink:
+    """The same mirror as Parquet files."""
+
+    def append(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        held = read_table(spark, path) if path_exists(spark, path) else None
+        not_held(batch, held).write.mode("append").parquet(path)
 
     return append
 
 
 def bronze_sink(cfg: LakeConfig, target: str, clock: Callable[[], datetime] | None = None) -> BatchSink:
-    """A sink that appends events with lineage to the bronze table the batch ingest also writes."""
+    """A sink that appends events with lineage to the stream's bronze table, beside the batch ingest's own.
+
+    Both writers keep their own column types and histories; silver is built from both.
+    """
 
     def append(batch: DataFrame, batch_id: int) -> None:
         at = (clock or cfg.now)()
         rows = add_stream_lineage(batch, target, at).select(*FIELDS, *LINEAGE)
-        write_bronze(rows, cfg.path("bronze", target), mode="append")
+        write_bronze(rows, cfg.path("bronze", stream_table(target)), mode="append")
 
     return append
 
@@ -65,13 +105,14 @@ def deliver(
     mirror: BatchSink | None,
     bronze: BatchSink | None,
     rejects: BatchSink | None,
-    bronze_may_fail: bool = True,
+    bronze_may_fail: bool = False,
 ) -> None:
     """Write one micro-batch: mirror, then bronze, then rejected events.
 
-    A failing mirror fails the micro-batch before bronze is touched, and a restart delivers it again. A failing
-    bronze write is only logged, since the mirror already holds the rows, unless ``bronze_may_fail`` is off.
-    Delivery is at least once; silver keeps one row per key, which absorbs repeats.
+    A failing mirror fails the micro-batch before bronze is touched, and a restart delivers it again. So does a
+    failing bronze write, unless ``bronze_may_fail`` says that the mirror's rows are enough; it is then logged.
+    Without a sink for them, rejected events are counted by reason and logged. Delivery is at least once; the mirror
+    leaves out events it holds, and silver keeps one row per key.
     """
     parsed = parse_events(batch).persist(StorageLevel.MEMORY_AND_DISK)
     try:
@@ -87,6 +128,9 @@ def deliver(
                 logger.warning("bronze write failed for micro-batch %s", batch_id, exc_info=True)
         if rejects is not None:
             rejects(rejected, batch_id)
+        else:
+            for row in rejected.groupBy(REASON).count().collect():  # a row per reason
+                logger.warning("micro-batch %s: %s events rejected (%s)", batch_id, row["count"], row[REASON])
     finally:
         parsed.unpersist()
 
@@ -98,11 +142,11 @@ def start_ingest(
     mirror: BatchSink | None = None,
     bronze: BatchSink | None = None,
     rejects: BatchSink | None = None,
-    bronze_may_fail: bool = True,
+    bronze_may_fail: bool = False,
     available_now: bool = False,
     processing_time: str = "10 seconds",
 ) -> StreamingQuery:
-    """Start the query. ``events`` needs Kafka's ``value`` and ``offset``; leave a sink out to switch it off."""
+    """Start the query. ``events`` has Kafka's columns; leave a sink out to switch it off."""
 
     def run(batch: DataFrame, batch_id: int) -> None:
         deliver(

@@ -2,10 +2,124 @@
 
 from __future__ import annotations
 
-from estrato.functions.territory import STATES
-from estrato.plans.quality import CHECKS
+from typing import NamedTuple
+
 from estrato.plans.starschema import BRONZE_SQL, EVENTS_SQL
 
+
+class Check(NamedTuple):
+    table: str
+    name: str
+    kind: str
+    description: str
+
+
+# Fixed values, stated here on their own: the 36 checks, and the 27 states with code, acronym and region.
+CHECKS = [Check(*row) for row in (
+    ("uf", "duplicate_key_ano_sigla_uf_serie_rede", "DUPLICIDADE",
+     "Valida duplicidade na chave ano + sigla_uf + serie + rede"),
+    ("uf", "invalid_sigla_uf", "VALIDADE",
+     "Valida se sigla_uf está preenchida e possui 2 caracteres"),
+    ("uf", "invalid_taxa_alfabetizacao", "VALIDADE",
+     "Valida se taxa_alfabetizacao_pct está preenchida e entre 0 e 100"),
+    ("uf", "invalid_quality_flag_sigla_uf", "CONSISTENCIA_FLAG",
+     "Valida a flag técnica flag_sigla_uf_valida"),
+    ("uf", "invalid_quality_flag_taxa_alfabetizacao", "CONSISTENCIA_FLAG",
+     "Valida a flag técnica flag_taxa_alfabetizacao_valida"),
+    ("municipio", "duplicate_key_ano_id_municipio_serie_rede", "DUPLICIDADE",
+     "Valida duplicidade na chave ano + id_municipio + serie + rede"),
+    ("municipio", "invalid_id_municipio", "VALIDADE",
+     "Valida se id_municipio está preenchido e possui 7 caracteres"),
+    ("municipio", "invalid_taxa_alfabetizacao", "VALIDADE",
+     "Valida se taxa_alfabetizacao_pct está preenchida e entre 0 e 100"),
+    ("municipio", "invalid_quality_flag_id_municipio", "CONSISTENCIA_FLAG",
+     "Valida a flag técnica flag_id_municipio_valido"),
+    ("municipio", "invalid_quality_flag_taxa_alfabetizacao", "CONSISTENCIA_FLAG",
+     "Valida a flag técnica flag_taxa_alfabetizacao_valida"),
+    ("alunos", "duplicate_key_ano_municipio_escola_aluno", "DUPLICIDADE",
+     "Valida duplicidade na chave ano + id_municipio + id_escola + id_aluno"),
+    ("alunos", "missing_id_aluno", "VALORES_AUSENTES",
+     "Valida se id_aluno está preenchido"),
+    ("alunos", "invalid_id_municipio", "VALIDADE",
+     "Valida se id_municipio está preenchido e possui 7 caracteres"),
+    ("alunos", "invalid_alfabetizado", "VALIDADE",
+     "Valida se alfabetizado possui valor binário válido"),
+    ("alunos", "invalid_presenca", "VALIDADE",
+     "Valida se presenca possui valor binário válido"),
+    ("alunos", "invalid_preenchimento_caderno", "VALIDADE",
+     "Valida se preenchimento_caderno possui valor binário válido"),
+    ("alunos", "invalid_proficiencia", "VALIDADE",
+     "Valida se proficiencia é nula ou maior/igual a zero"),
+    ("alunos", "invalid_peso_aluno", "VALIDADE",
+     "Valida se peso_aluno é nulo ou maior/igual a zero"),
+    ("meta_alfabetizacao_brasil", "duplicate_key_ano_rede", "DUPLICIDADE",
+     "Valida duplicidade na chave ano + rede"),
+    ("meta_alfabetizacao_brasil", "invalid_taxa_alfabetizacao", "VALIDADE",
+     "Valida se taxa_alfabetizacao_pct está preenchida e entre 0 e 100"),
+    ("meta_alfabetizacao_brasil", "invalid_percentual_participacao", "VALIDADE",
+     "Valida se percentual_participacao_pct está preenchido e entre 0 e 100"),
+    ("meta_alfabetizacao_brasil", "invalid_meta_2030", "CONSISTENCIA",
+     "Valida se meta_alfabetizacao_2030_pct está preenchida e igual a 80"),
+    ("meta_alfabetizacao_brasil", "invalid_metas_2025_2030", "CONSISTENCIA",
+     "Valida a flag técnica flag_metas_2025_2030_validas"),
+    ("meta_alfabetizacao_uf", "duplicate_key_ano_sigla_uf_rede", "DUPLICIDADE",
+     "Valida duplicidade na chave ano + sigla_uf + rede"),
+    ("meta_alfabetizacao_uf", "invalid_sigla_uf", "VALIDADE",
+     "Valida se sigla_uf está preenchida e possui 2 caracteres"),
+    ("meta_alfabetizacao_uf", "invalid_taxa_alfabetizacao", "VALIDADE",
+     "Valida se taxa_alfabetizacao_pct está preenchida e entre 0 e 100"),
+    ("meta_alfabetizacao_uf", "invalid_meta_2030", "CONSISTENCIA",
+     "Valida se meta_alfabetizacao_2030_pct está preenchida e igual a 80"),
+    ("meta_alfabetizacao_uf", "registro_sem_indicadores", "COMPLETUDE",
+     "Valida registros de UF sem indicadores/metas preenchidos"),
+    ("meta_alfabetizacao_municipio", "duplicate_key_ano_id_municipio_rede", "DUPLICIDADE",
+     "Valida duplicidade na chave ano + id_municipio + rede"),
+    ("meta_alfabetizacao_municipio", "invalid_id_municipio", "VALIDADE",
+     "Valida se id_municipio está preenchido e possui 7 caracteres"),
+    ("meta_alfabetizacao_municipio", "invalid_taxa_alfabetizacao", "VALIDADE",
+     "Valida se taxa_alfabetizacao_pct está preenchida e entre 0 e 100"),
+    ("meta_alfabetizacao_municipio", "invalid_percentual_participacao", "VALIDADE",
+     "Valida se percentual_participacao_pct está preenchido e entre 0 e 100"),
+    ("meta_alfabetizacao_municipio", "invalid_meta_2030", "CONSISTENCIA",
+     "Valida se meta_alfabetizacao_2030_pct está preenchida e igual a 80"),
+    ("meta_alfabetizacao_municipio", "municipio_meta_sem_resultado_municipio", "CHAVE_RELACIONAMENTO",
+     "Valida se todo id_municipio de meta_alfabetizacao_municipio existe em silver.municipio"),
+    ("alunos", "aluno_sem_resultado_municipio", "CHAVE_RELACIONAMENTO",
+     "Valida se todo id_municipio de silver.alunos existe em silver.municipio"),
+    ("meta_alfabetizacao_uf", "uf_meta_sem_resultado_uf", "CHAVE_RELACIONAMENTO",
+     "Valida se toda sigla_uf de meta_alfabetizacao_uf existe em silver.uf"),
+)]
+
+STATES = (
+    ("11", "RO", "Norte"),
+    ("12", "AC", "Norte"),
+    ("13", "AM", "Norte"),
+    ("14", "RR", "Norte"),
+    ("15", "PA", "Norte"),
+    ("16", "AP", "Norte"),
+    ("17", "TO", "Norte"),
+    ("21", "MA", "Nordeste"),
+    ("22", "PI", "Nordeste"),
+    ("23", "CE", "Nordeste"),
+    ("24", "RN", "Nordeste"),
+    ("25", "PB", "Nordeste"),
+    ("26", "PE", "Nordeste"),
+    ("27", "AL", "Nordeste"),
+    ("28", "SE", "Nordeste"),
+    ("29", "BA", "Nordeste"),
+    ("31", "MG", "Sudeste"),
+    ("32", "ES", "Sudeste"),
+    ("33", "RJ", "Sudeste"),
+    ("35", "SP", "Sudeste"),
+    ("41", "PR", "Sul"),
+    ("42", "SC", "Sul"),
+    ("43", "RS", "Sul"),
+    ("50", "MS", "Centro-Oeste"),
+    ("51", "MT", "Centro-Oeste"),
+    ("52", "GO", "Centro-Oeste"),
+    ("53", "DF", "Centro-Oeste"),
+)
+
 WHEN = "2024-05-01T09:30:00-03:00"
 DAY = "2024-05-01"
 RUN = "20240501T093000Z"
@@ -135,14 +249,20 @@ def _names(table: str) -> list[str]:
     return [alias for _, alias in COLUMNS[table]]
 
 
-def _typed(table: str, source: str) -> str:
+def _typed(table: str, source: str, extra: str = "") -> str:
     columns = ", ".join(f"{expr} AS {alias}" for expr, alias in COLUMNS[table])
-    return f"SELECT {columns}, {LINEAGE} FROM {source}"
+    return f"SELECT {columns}, {LINEAGE}{extra} FROM {source}"
+
+
+BY_RUN = ("_ingestion_timestamp_utc DESC NULLS LAST", "_execution_id DESC NULLS LAST")
+# Events arrive by the broker's clock, those of one instant by their number; columns that only the oracle has.
+BY_ARRIVAL = ("arrived DESC", "arrived_offset DESC")
+BY_BOTH = ("_ingestion_timestamp_utc DESC NULLS LAST", "arrived_offset DESC NULLS LAST", "_execution_id DESC NULLS LAST")
 
 
-def _newest(table: str, source: str) -> str:
+def _newest(table: str, source: str, newest_first: tuple[str, ...] = BY_RUN) -> str:
     rest = [c for c in _names(table) if c not in KEYS[table]] + REST_OF_LINEAGE.split(", ")
-    order = ["_ingestion_timestamp_utc DESC NULLS LAST", "_execution_id DESC NULLS LAST"]
+    order = list(newest_first)
     order += [f"{c} ASC NULLS LAST" for c in rest]
     return (
         f"SELECT * FROM {source} QUALIFY row_number() OVER "
@@ -369,7 +489,7 @@ def _event_field(name: str, kind: str) -> str:
 
 _GIVEN = {name: f"json_extract_string(doc, '$.{name}') IS NOT NULL" for name in EVENT_TYPES}
 PARSED_EVENTS = f"""
-    SELECT topic, partition, "offset", {", ".join(EVENT_TYPES)},
+    SELECT topic, partition, "offset", "timestamp", {", ".join(EVENT_TYPES)},
         CASE WHEN doc IS NULL THEN 'decode'
              WHEN json_type(doc) != 'OBJECT' OR NOT ({" AND ".join(_GIVEN[n] for n in REQUIRED)}) THEN 'required'
              WHEN {" OR ".join(f"({_GIVEN[n]} AND {n} IS NULL)" for n in EVENT_TYPES)} THEN 'coercion'
@@ -377,7 +497,7 @@ PARSED_EVENTS = f"""
     FROM (
         SELECT *, {", ".join(f"{_event_field(n, k)} AS {n}" for n, k in EVENT_TYPES.items())}
         FROM (
-            SELECT topic, partition, "offset", CASE WHEN json_valid(value) THEN CAST(value AS JSON) END AS doc
+            SELECT topic, partition, "offset", "timestamp", CASE WHEN json_valid(value) THEN CAST(value AS JSON) END AS doc
             FROM broker_events
         )
     )"""
@@ -386,8 +506,10 @@ STREAM_BRONZE = f"""
     SELECT {", ".join(EVENT_TYPES)},
         'kafka_stream' AS _source_system, 'uf' AS _source_name,
         'br_inep_avaliacao_alfabetizacao' AS _source_dataset_id, 'uf' AS _source_table_id,
-        '{WHEN}' AS _ingestion_timestamp_utc, '{DAY}' AS _ingestion_date,
-        'stream_{RUN}_offset' || CAST("offset" AS VARCHAR) AS _execution_id
+        strftime("timestamp" - INTERVAL 3 HOUR, '%Y-%m-%dT%H:%M:%S.%f') || '-03:00' AS _ingestion_timestamp_utc,
+        strftime("timestamp" - INTERVAL 3 HOUR, '%Y-%m-%d') AS _ingestion_date,
+        'stream_{RUN}_offset' || CAST("offset" AS VARCHAR) AS _execution_id,
+        "timestamp" AS arrived, "offset" AS arrived_offset
     FROM parsed_events WHERE reject_reason IS NULL"""
 
 
@@ -412,11 +534,11 @@ def _ctes() -> dict[str, str]:
     steps["broker_events"] = _for_duckdb(EVENTS_SQL)
     steps["parsed_events"] = PARSED_EVENTS
     steps["stream_bronze"] = STREAM_BRONZE
-    steps["typed_stream"] = _typed("uf", "stream_bronze")
-    steps["newest_stream"] = _newest("uf", "typed_stream")
+    steps["typed_stream"] = _typed("uf", "stream_bronze", ", arrived, arrived_offset")
+    steps["newest_stream"] = _newest("uf", "typed_stream", BY_ARRIVAL)
     steps["silver_stream"] = _with_flags("uf", "newest_stream")
-    steps["typed_hybrid"] = "SELECT * FROM typed_uf UNION ALL SELECT * FROM typed_stream"
-    steps["newest_hybrid"] = _newest("uf", "typed_hybrid")
+    steps["typed_hybrid"] = "SELECT * FROM typed_uf UNION ALL BY NAME SELECT * FROM typed_stream"
+    steps["newest_hybrid"] = _newest("uf", "typed_hybrid", BY_BOTH)
     steps["silver_hybrid"] = _with_flags("uf", "newest_hybrid")
     return steps
 
@@ -518,10 +640,15 @@ def statements() -> dict[str, str]:
         "event_parse_validate": "SELECT * FROM parsed_events",
         "event_rejects": """
             SELECT reject_reason, count(*) AS eventos FROM parsed_events WHERE reject_reason IS NOT NULL GROUP BY ALL""",
-        "stream_lineage": "SELECT * FROM stream_bronze",
+        "stream_lineage": "SELECT * EXCLUDE (arrived, arrived_offset) FROM stream_bronze",
         "stream_ingest_roundtrip": "SELECT * FROM silver_stream",
         "stream_mirror_roundtrip": f"SELECT {', '.join(EVENT_TYPES)} FROM parsed_events WHERE reject_reason IS NULL",
         "batch_and_stream_silver": "SELECT * FROM silver_hybrid",
+        "shared_bronze_silver": "SELECT * FROM silver_hybrid",
+        "reject_roundtrip": """
+            SELECT topic, partition, "offset", "timestamp", reject_reason
+            FROM parsed_events WHERE reject_reason IS NOT NULL""",
+        "catalog_roundtrip": "SELECT * FROM newest_meta_alfabetizacao_brasil",
         "batch_lineage": f"SELECT *, {_batch_lineage('pedidos', 'vendas', 'orders')} FROM orders",
         "bronze_batch_ingest": " UNION ALL BY NAME ".join(
             f"SELECT *, {_batch_lineage(t, 'vendas', t)} FROM {t}" for t in ("customer", "supplier")

@@ -19,7 +19,8 @@ pytestmark = pytest.mark.skipif(not os.path.isdir(SF_DIR), reason="test tables a
 WRITES = {
     "year_on_year", "year_rank", "gold_evolucao_alfabetizacao_uf", "quality_checks", "best_evolving_states",
     "regional_inequality", "stream_ingest_roundtrip", "stream_mirror_roundtrip", "batch_and_stream_silver",
-    "bronze_batch_ingest", "bronze_partitioned_roundtrip", "rebuild_all_layers",
+    "bronze_batch_ingest", "bronze_partitioned_roundtrip", "rebuild_all_layers", "shared_bronze_silver",
+    "reject_roundtrip", "catalog_roundtrip",
 }
 
 
