@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,3 +35,48 @@ def values(spark: SparkSession, names: list[str], rows: list[tuple]) -> DataFram
     """A few constant rows whose size the planner knows."""
     structs = [F.struct(*[F.lit(v).alias(n) for n, v in zip(names, row)]) for row in rows]
     return spark.range(1).select(F.inline(F.array(*structs)))
+
+
+LOWER = bytes.maketrans(_UPPER.encode(), _LOWER.encode())
+_SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+
+
+def mixed(x: np.ndarray) -> np.ndarray:
+    """A bijection of 64-bit numbers that spreads every bit."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+class WordHasher:
+    """64-bit hashes of all words of many texts at once, by differences of a running polynomial modulo 2**64."""
+
+    def __init__(self, seed: int):
+        numbers = np.random.default_rng(seed).integers(0, 1 << 64, 257, np.uint64) | np.uint64(1)
+        self.letters, self.base, self.size = numbers[:256], int(numbers[256]), 0
+
+    def _powers(self, size: int) -> None:
+        if size > self.size:
+            self.size = max(size, 1 << 21)
+            self.up, self.down = (
+                np.concatenate([[np.uint64(1)], np.full(self.size, base, np.uint64)]).cumprod(dtype=np.uint64)
+                for base in (self.base, pow(self.base, -1, 1 << 64))
+            )
+
+    def __call__(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        self._powers(len(data) + 1)
+        running = np.zeros(len(data) + 1, np.uint64)
+        np.cumsum(self.letters[data] * self.up[: len(data)], out=running[1:])
+        return mixed((running[ends] - running[starts]) * self.down[starts] + (ends - starts).astype(np.uint64))
+
+
+def word_spans(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The texts as one array of bytes, the start and end of every word, and the number of words of each text."""
+    data = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
+    inside = np.zeros(len(data) + 1, np.int8)
+    inside[1:] = ~_SPACE[data]
+    edges = np.flatnonzero(inside[1:] != inside[:-1])
+    starts, ends = edges[::2], edges[1::2]
+    stops = np.cumsum([len(t) + 1 for t in texts])
+    counts = np.diff(np.searchsorted(starts, stops), prepend=0)
+    return data, starts, ends, counts

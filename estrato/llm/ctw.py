@@ -11,34 +11,45 @@ and word it has, and the answers travel back to the block.
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField, StructType
 
+from estrato.llm.common import LOWER, WordHasher, word_spans
+
 DEPTH = 4  # preceding bytes of the longest context
-BLOCK = 32 << 20  # bytes of text that share their questions
+BLOCK = 16 << 20  # bytes of text that share their questions
+ROWS = 1 << 16  # questions that leave a worker at once
 CHUNK = 1 << 20  # bytes that are turned into grams at once, at least one text
 
-_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
-_END = b""  # the token after the last word; no word is empty
+_END = (0, 1)  # the key of the token after the last word
+
+_first_half, _second_half = WordHasher(91), WordHasher(92)
 
 
 def _bytes(text: str | None) -> bytes:
-    return (text or "").encode("utf-8", "surrogatepass").translate(_LOWER)
+    return (text or "").encode("utf-8", "surrogatepass").translate(LOWER)
+
+
+def word_keys(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Two 64-bit halves of every word's hash, and the number of words of each text.
+
+    The second half is odd, which keeps words apart from grams (0).
+    """
+    data, starts, ends, counts = word_spans(texts)
+    second = _second_half(data, starts, ends) | np.uint64(1)
+    return _first_half(data, starts, ends).view(np.int64), second.view(np.int64), counts
 
 
-def _word_key(word: bytes) -> tuple[int, int]:
-    """Two signed halves of a 128-bit hash; the second is odd, which keeps words apart from grams (0)."""
-    high, low = divmod(xxhash.xxh3_128_intdigest(word), 1 << 64)
-    low |= 1
-    return high - ((high >> 63) << 64), low - ((low >> 63) << 64)
+def _distinct(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sorted distinct keys, a place where each stands, and the sum of its weights."""
+    found, places, at = np.unique(keys, return_index=True, return_inverse=True)
+    return found, places, np.bincount(at, weights, len(found)).astype(np.int64)
 
 
 def grams(texts: list[bytes]) -> np.ndarray:
@@ -71,52 +82,55 @@ class _Questions:
     """The distinct words and grams of one block, with their counts in training texts."""
 
     def __init__(self) -> None:
-        self.words: Counter[bytes] = Counter()
-        self.keys, self.counts = [], []
+        none = np.zeros(0, np.int64)
+        self.words, self.grams = [(none, none, none)], [(none, none)]
         self.pending: list[tuple[bytes, bool]] = []
-        self.size = 0
+        self.size = self.training = 0
 
     def add(self, text: bytes, trains: bool) -> None:
-        own = text.split()
-        own.append(_END)
-        if trains:
-            self.words.update(own)
-        else:
-            for word in set(own):
-                self.words[word] += 0
         self.pending.append((text, trains))
+        self.training += trains
         self.size += len(text) + 1
         if self.size >= CHUNK:
             self.flush()
 
     def flush(self) -> None:
-        if not self.pending:
-            return
-        texts = [t for t, _ in self.pending]
-        codes, keys = pd.factorize(grams(texts))
-        weights = np.repeat([float(trains) for _, trains in self.pending], [len(t) + 1 for t in texts])
-        self.keys.append(keys)
-        self.counts.append(np.bincount(codes, weights, len(keys)).astype(np.int64))
-        self.pending, self.size = [], 0
-        if len(self.keys) > 8:
+        if self.pending:
+            texts, trains = [t for t, _ in self.pending], np.array([float(t) for _, t in self.pending])
+            first, second, counts = word_keys(texts)
+            codes, keys = pd.factorize(first)
+            place = np.zeros(len(keys), np.int64)
+            place[codes[::-1]] = np.arange(len(codes))[::-1]
+            self.words.append((keys, second[place], np.bincount(codes, np.repeat(trains, counts), len(keys))))
+            codes, keys = pd.factorize(grams(texts))
+            weights = np.repeat(trains, [len(t) + 1 for t in texts])
+            self.grams.append((keys, np.bincount(codes, weights, len(keys))))
+            self.pending, self.size = [], 0
+        if len(self.grams) > 8:
             self.merge()
 
     def merge(self) -> None:
-        keys, at = np.unique(np.concatenate(self.keys), return_inverse=True)
-        counts = np.bincount(at, np.concatenate(self.counts), len(keys)).astype(np.int64)
-        self.keys, self.counts = [keys], [counts]
-
-    def rows(self, block: int) -> pa.RecordBatch:
+        first, second, counts = (np.concatenate(parts) for parts in zip(*self.words))
+        keys, places, sums = _distinct(first, counts)
+        self.words = [(keys, second[places], sums)]
+        keys, counts = (np.concatenate(parts) for parts in zip(*self.grams))
+        found, _, sums = _distinct(keys, counts)
+        self.grams = [(found, sums)]
+
+    def rows(self, block: int) -> Iterator[pa.RecordBatch]:
         self.flush()
         self.merge()
-        words = np.array([_word_key(w) for w in self.words], np.int64).reshape(-1, 2)
-        first = np.concatenate([self.keys[0], words[:, 0]])
-        second = np.concatenate([np.zeros(len(self.keys[0]), np.int64), words[:, 1]])
-        counts = np.concatenate([self.counts[0], np.fromiter(self.words.values(), np.int64, len(self.words))])
-        blocks = pa.array(np.full(len(first), block, np.int32))
-        return pa.RecordBatch.from_arrays(
-            [blocks, pa.array(first), pa.array(second), pa.array(counts)], ["block", "k1", "k2", "n"]
-        )
+        (words, second, counts), (found, sums) = self.words[0], self.grams[0]
+        first = np.concatenate([[_END[0]], words, found])
+        second = np.concatenate([[_END[1]], second, np.zeros(len(found), np.int64)])
+        counts = np.concatenate([[self.training], counts, sums])
+        for at in range(0, len(first), ROWS):
+            part = slice(at, at + ROWS)
+            blocks = pa.array(np.full(len(first[part]), block, np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [blocks, pa.array(first[part]), pa.array(second[part]), pa.array(counts[part])],
+                ["block", "k1", "k2", "n"],
+            )
 
 
 def _ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,7 +141,7 @@ def _ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             open_blocks.setdefault(block.as_py(), _Questions()).add(_bytes(text.as_py()), trains.as_py())
     while open_blocks:
         block, questions = open_blocks.popitem()
-        yield questions.rows(block)
+        yield from questions.rows(block)
 
 
 def _log_gamma(x: np.ndarray) -> np.ndarray:
@@ -253,39 +267,38 @@ def _log_probability(keys: pd.Series, p: pd.Series, own: pd.Series, root: pd.Ser
 def _answer(texts: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
     data = [_bytes(t) for t in texts["text"]]
     is_word = answers["k2"].to_numpy(np.int64) != 0
-    first, second, value = (answers[c].to_numpy() for c in ("k1", "k2", "value"))
-
-    numbers: dict[bytes, int] = {}
-    spoken, lengths = [], []
-    for text in data:
-        own = text.split()
-        own.append(_END)
-        spoken.append(np.array([numbers.setdefault(w, len(numbers)) for w in own], np.int32))
-        lengths.append(len(own))
-    known = {}
-    if is_word.any():
-        keys = zip(first[is_word].tolist(), second[is_word].tolist())
-        known = dict(zip(keys, value[is_word].tolist()))
-    counts = np.array([known.get(_word_key(w), 0.0) for w in numbers])
-    del known
-    bounds = np.cumsum(lengths) - lengths
-    found = counts[np.concatenate(spoken)]
-    base = np.add.reduceat(np.log10(found + 1), bounds)
-    n_known = np.add.reduceat((found > 0).astype(np.int64), bounds)
-
-    order = np.argsort(first[~is_word], kind="stable")
-    keys, logs = first[~is_word][order], value[~is_word][order]
-    score = np.zeros(len(data))
+    table = answers[is_word].sort_values("k1", kind="stable")
+    first, second, counts = (table[name].to_numpy() for name in ("k1", "k2", "value"))
+    end = float(counts[(first == _END[0]) & (second == _END[1])][0])
+    table = answers[~is_word].sort_values("k1", kind="stable")
+    keys, logs = table["k1"].to_numpy(np.int64), table["value"].to_numpy(float)
+    del table, answers
+
+    size = len(data)
+    n_words, n_known = np.zeros(size, np.int64), np.full(size, int(end > 0))
+    base, score = np.full(size, np.log10(end + 1)), np.zeros(size)
     for start, chunk in _chunks(data):
+        rows = slice(start, start + len(chunk))
+        one, two, spoken = word_keys(chunk)
+        codes, own = pd.factorize(one)
+        at = np.searchsorted(first, own)
+        place = np.zeros(len(own), np.int64)
+        place[codes[::-1]] = np.arange(len(codes))[::-1]
+        while (wrong := second[at] != two[place]).any():  # words that share a first half
+            at[wrong] += 1
+        found, text = counts[at][codes], np.repeat(np.arange(len(chunk)), spoken)
+        n_words[rows] = spoken
+        base[rows] += np.bincount(text, np.log10(found + 1), len(chunk))
+        n_known[rows] += np.bincount(text, found > 0, len(chunk)).astype(np.int64)
         codes, own = pd.factorize(grams(chunk))
         each = logs[np.searchsorted(keys, own)][codes]
         sizes = np.array([len(t) + 1 for t in chunk])
-        score[start : start + len(chunk)] = np.add.reduceat(each, np.cumsum(sizes) - sizes)
+        score[rows] = np.add.reduceat(each, np.cumsum(sizes) - sizes)
     return pd.DataFrame(
         {
             "id": texts["id"],
             "held_out": ~texts["trains"].astype(bool),
-            "n_tokens": np.array(lengths, np.int64),
+            "n_tokens": n_words + 1,
             "n_known": n_known,
             "known_score": base,
             "score": score,

@@ -12,7 +12,7 @@ position filter and the shared-token count. Members of one component need no fur
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
+from estrato.llm.common import LOWER, WordHasher, mixed, word_spans
 from estrato.session import stage
 
 WIDTH = 5  # words of a shingle
@@ -30,40 +31,52 @@ LEAST_FREQUENT = 16  # documents from which a token counts as frequent
 CHUNK = 1 << 21  # tokens that one pass counts together
 COST = 64  # expected list length per prefix token up to which a prefix stays as it is
 LONGEST = 8  # shared tokens asked for at most
-WORDS = 1 << 18  # word hashes a worker remembers before it starts anew
+BYTES = 1 << 20  # bytes of text that are hashed at once, at least one text
 
-_LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _NO_ID = -(1 << 63)
 
-
-class _WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= WORDS:
-            self.clear()
-        found = self[word] = xxhash.xxh64_intdigest(word)
-        return found
-
-
-_hashes = _WordHashes()
-
-
-def _mixed(x: np.ndarray) -> np.ndarray:
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
-
-
-def shingles(text: str | None, width: int = WIDTH) -> np.ndarray:
-    """The sorted distinct shingle hashes of a text; of fewer words the whole sequence is one; none without words."""
-    words = text.encode("utf-8", "surrogatepass").translate(_LOWER).split() if text else []
-    if not words:
-        return np.zeros(0, np.int64)
-    codes = np.array([_hashes[w] for w in words], np.uint64)
-    n = max(len(codes) - width + 1, 1)
-    total = np.full(n, min(len(codes), width), np.uint64)
-    for k in range(min(width, len(codes))):
-        total = _mixed(total ^ codes[k : k + n]) + np.uint64(k + 1)
-    return np.unique(_mixed(total).view(np.int64))
+_word_hashes = WordHasher(5)
+_PLACES = np.random.default_rng(6).integers(0, 1 << 64, 64, np.uint64) | np.uint64(1)
+
+
+def _hashed(texts: list[bytes], width: int) -> list[np.ndarray]:
+    """``shingle_sets`` of a few texts at once: words by differences of a running polynomial, windows by shifts."""
+    data, starts, ends, counts = word_spans(texts)
+    words = _word_hashes(data, starts, ends)
+    first = [0, *np.cumsum(counts).tolist()]
+    windows = np.zeros(max(len(words) - width + 1, 0), np.uint64)
+    for k in range(width):
+        windows += words[k : k + len(windows)] * _PLACES[k]
+    windows = mixed(windows).view(np.int64)
+    sets = []
+    for low, high in zip(first, first[1:]):
+        if high - low >= width:
+            own = windows[low : high - width + 1].copy()
+            own.sort()
+            fresh = np.ones(len(own), bool)
+            np.not_equal(own[1:], own[:-1], out=fresh[1:])
+            sets.append(own[fresh])
+        else:
+            short = (words[low:high] * _PLACES[: high - low]).sum(keepdims=True, dtype=np.uint64)
+            sets.append(mixed(short + np.uint64(high - low)).view(np.int64)[: high - low])
+    return sets
+
+
+def shingle_sets(texts: Iterable[str | None], width: int = WIDTH) -> Iterator[np.ndarray]:
+    """Per text its sorted distinct shingle hashes; of fewer words the whole sequence is one; none without words."""
+    waiting, size = [], 0
+    for text in texts:
+        waiting.append(text.encode("utf-8", "surrogatepass").translate(LOWER) if text else b"")
+        size += len(waiting[-1]) + 1
+        if size >= BYTES:
+            yield from _hashed(waiting, width)
+            waiting, size = [], 0
+    if waiting:
+        yield from _hashed(waiting, width)
+
+
+def _texts(column: pa.Array) -> Iterator[str | None]:
+    return (text.as_py() for text in column)
 
 
 def class_of(tokens: np.ndarray) -> bytes:
@@ -103,8 +116,7 @@ def _survey(docs: DataFrame) -> DataFrame:
 
         for batch in batches:
             names, sizes = [], []
-            for text in batch.column(1):
-                tokens = shingles(text.as_py())
+            for tokens in shingle_sets(_texts(batch.column(1))):
                 names.append(class_of(tokens))
                 sizes.append(len(tokens))
                 if names[-1] not in seen and len(tokens):
@@ -140,27 +152,30 @@ def _prefixes(docs: DataFrame, tokens: np.ndarray, counts: np.ndarray, percent:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent, times = known.value
+        perhaps = np.zeros(1 << 22, bool)
+        perhaps[frequent & 0x3FFFFF] = True
         done: set[int] = set()
         for batch in batches:
             out = []
-            for text in batch.column(0):
-                own = shingles(text.as_py())
+            for own in shingle_sets(_texts(batch.column(0))):
                 node = _node(class_of(own)) if len(own) else 0
                 if not len(own) or node in done:
                     continue
                 done.add(node)
                 n = len(own)
-                cost = np.zeros(n, np.int64)
-                if len(frequent):
-                    at = np.minimum(np.searchsorted(frequent, own), len(frequent) - 1)
-                    cost = np.where(frequent[at] == own, times[at], 0)
-                order = np.lexsort((own, cost))
-                base = prefix_length(n, percent)
-                mean = (cost[order[:base]].sum() + base) / base
-                matches = 1 + max(0, int(np.ceil(np.log2(mean / COST)))) if mean > COST else 1
-                matches = min(matches, LONGEST, n - base + 1)
+                base, matches = prefix_length(n, percent), 1
+                late = np.flatnonzero(perhaps[own & 0x3FFFFF])
+                if len(late):
+                    at = np.minimum(np.searchsorted(frequent, own[late]), len(frequent) - 1)
+                    right = frequent[at] == own[late]
+                    late, cost = late[right], times[at[right]]
+                    order = np.argsort(cost, kind="stable")
+                    own = np.concatenate([np.delete(own, late), own[late[order]]])
+                    mean = (cost[order][: max(0, base - (n - len(late)))].sum() + base) / base
+                    if mean > COST:
+                        matches = min(1 + int(np.ceil(np.log2(mean / COST))), LONGEST, n - base + 1)
                 length = base + matches - 1
-                out.append((own[order[:length]], node, n, matches))
+                out.append((own[:length], node, n, matches))
             if out:
                 lengths = np.array([len(t) for t, *_ in out])
                 repeat = lambda k: np.repeat(np.array([row[k] for row in out], np.int64), lengths)
@@ -177,7 +192,7 @@ def _prefixes(docs: DataFrame, tokens: np.ndarray, counts: np.ndarray, percent:
 def _sets(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingles(t.as_py()) for t in batch.column(0)]
+            sets = list(shingle_sets(_texts(batch.column(0))))
             names = [class_of(s) for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -280,6 +295,7 @@ def jaccard_components(
             F.col("pivot.node").alias("pivot"),
             F.expr("shiftright(pivot.packed, 34)").alias("pivot_n"),
             F.col("pivot.place").alias("pivot_place"),
+            F.expr("pivot.packed & 15").alias("pivot_matches"),
         )
     )
     lists = stage(lists, "lists")
@@ -292,18 +308,24 @@ def jaccard_components(
     c = F.col
     star = (
         lists.where(c("node") != c("pivot"))
-        .where(possible(c("n"), c("place"), c("pivot_n"), c("pivot_place"), F.least("matches", F.lit(LONGEST))))
+        .where(possible(c("n"), c("place"), c("pivot_n"), c("pivot_place"), F.least("matches", "pivot_matches")))
         .select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
         .distinct()
     )
     star = stage(star, "star")
-    wanted = lists.where("members > 2").select("node").union(star.select("a")).union(star.select("b")).distinct()
-    classes = members.where("size > 0").groupBy("class").agg(F.min("id").alias("id"), F.first("size").alias("size"))
+    classes = members.where("size > 0").groupBy("class").agg(F.min("id").alias("id"))
     classes = classes.withColumn("node", F.conv(F.hex(F.substring("class", 1, 8)), 16, -10).cast("bigint"))
     key = F.coalesce("id", F.lit(_NO_ID))
-    texts = classes.join(wanted, "node", "left_semi").select(key.alias("key")).distinct()
-    sets = _sets(rows.withColumn("key", key).join(texts, "key", "left_semi"))
-    sets = stage(sets.join(wanted, "node", "left_semi").dropDuplicates(["class"]), "sets")
+
+    def ends_of(pairs: DataFrame) -> DataFrame:
+        return pairs.select(c("a").alias("node")).union(pairs.select("b")).distinct()
+
+    def sets_of(nodes: DataFrame) -> DataFrame:
+        """The sets of some nodes, from one text of each class."""
+        texts = classes.join(nodes, "node", "left_semi").select(key.alias("key")).distinct()
+        return stage(_sets(rows.withColumn("key", key).join(texts, "key", "left_semi")), "sets")
+
+    sets = sets_of(ends_of(star))
     edges = stage(_verified(star, sets, percent), "links")
     ends = lambda found: found.select(c("class_a").alias("u"), c("class_b").alias("v"))
     labels = components(ends(edges))
@@ -332,8 +354,10 @@ def jaccard_components(
         .where("found >= matches")
         .select("a", "b")
     )
-    more = stage(_verified(rest, sets, percent), "links")
-    if not more.isEmpty():
+    rest = stage(rest, "rest")
+    if not rest.isEmpty():
+        later = sets_of(ends_of(rest).join(ends_of(star), "node", "left_anti"))
+        more = _verified(rest, sets.unionByName(later), percent)
         labels = components(ends(edges).unionByName(ends(more)))
 
     # The smallest id of a class, then of a component, then back to the rows.
