@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from estrato.operators.joins import null_safe_left_join
+from estrato.session import stage
 
-_TOP_BAND = 2**63 - 1
+_SLICES = 32
 
 
 def rank_within(
@@ -17,7 +18,6 @@ def rank_within(
     partition: Sequence[str],
     value: str,
     output: str = "rank",
-    band_width: float = 1.0,
     weight: str | None = None,
     counted: DataFrame | None = None,
 ) -> DataFrame:
@@ -25,30 +25,32 @@ def rank_within(
 
     A value's rank is one more than the number of rows with a greater value; with ``weight`` each row stands for
     that many rows. Rows are first counted per distinct value (map-side, so a value shared by a third of the rows
-    is one row after the shuffle). Distinct values are then cut into bands of ``band_width``; counts run inside
-    each band, and the sizes of higher bands are added from a table with one row per band. Any width gives the
-    same ranks; it only sets how finely a group is split.
+    is one row after the shuffle). Distinct values are then dealt into ranges whose bounds Spark samples from the
+    data, so a range holds as much of a group as of any other; counts run inside each range, and the sizes of
+    higher ranges of the group are added from a table with one row per group and range. The ranges are written to
+    the shared folder, which fixes them for both uses. Ranks reach the rows by a join that is split into slices of
+    a hash of the row, so rows that share a value do not meet in one task.
 
     The counts read ``counted`` if given, else ``df`` a second time: pass a stored table for either.
     """
     rows = F.count(F.lit(1)) if weight is None else F.sum(weight)
     tallies = (df if counted is None else counted).groupBy(*partition, value).agg(rows.alias("_rows"))
-    number = F.col(value).cast("double")
-    band = F.when(F.isnan(number), F.lit(_TOP_BAND)).otherwise(F.floor(number / F.lit(float(band_width))))
-    tallies = tallies.withColumn("_band", band)
-
-    bands = Window.partitionBy(*partition).orderBy(F.col("_band").desc_nulls_last())
-    higher_bands = (
-        tallies.groupBy(*partition, "_band")
-        .agg(F.sum("_rows").alias("_size"))
-        .select(*partition, "_band", _running_before("_size", bands).alias("_higher"))
+    bounds = [*[F.col(name) for name in partition], F.col(value).desc_nulls_last()]
+    ranged = stage(tallies.repartitionByRange(*bounds).withColumn("_range", F.spark_partition_id()), "rank")
+
+    ranges = Window.partitionBy(*partition).orderBy("_range")
+    sizes = ranged.groupBy(*partition, "_range").agg(F.sum("_rows").alias("_size"))
+    higher = sizes.select(*partition, "_range", _running_before("_size", ranges).alias("_higher"))
+    inside = Window.partitionBy(*partition, "_range").orderBy(F.col(value).desc_nulls_last())
+    ahead = ranged.withColumn("_ahead", _running_before("_rows", inside))
+    ranks = null_safe_left_join(ahead, higher, [*partition, "_range"]).select(
+        *partition,
+        value,
+        (F.col("_higher") + F.col("_ahead") + 1).alias(output),
+        F.explode(F.sequence(F.lit(0), F.lit(_SLICES - 1))).alias("_slice"),
     )
-    inside = Window.partitionBy(*partition, "_band").orderBy(F.col(value).desc_nulls_last())
-    counted = tallies.withColumn("_ahead", _running_before("_rows", inside))
-    ranks = null_safe_left_join(counted, higher_bands, [*partition, "_band"]).select(
-        *partition, value, (F.col("_higher") + F.col("_ahead") + 1).alias(output)
-    )
-    return null_safe_left_join(df, ranks, [*partition, value])
+    sliced = df.withColumn("_slice", F.pmod(F.xxhash64(*df.columns), F.lit(_SLICES)).cast("int"))
+    return null_safe_left_join(sliced, ranks, [*partition, value, "_slice"]).drop("_slice")
 
 
 def _running_before(name: str, window: WindowSpec) -> Column:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from estrato.plans import gold, reports, silver
 
-# State results of 2023 and 2024, network 5.
+# Published state results of 2023 and 2024, network 5.
 STATES = [
     (2023, "RS", 63.43), (2023, "CE", 84.46), (2023, "PI", 52.48), (2023, "ES", 67.93), (2023, "GO", 66.74),
     (2023, "MS", 47.45), (2023, "MG", 59.81),

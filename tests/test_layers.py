@@ -49,10 +49,11 @@ def test_a_dry_run_shows_plans_and_writes_nothing(spark, loaded, tmp_path):
     assert sorted(p.relative_to(tmp_path) for p in tmp_path.rglob("*")) == before
 
 
-def test_a_stream_table_can_feed_a_silver_table(spark, loaded):
+@pytest.mark.parametrize(("table", "more"), [("uf_stream", None), ("uf_again", {"uf": ["uf_again"]})])
+def test_a_stream_or_a_further_table_can_feed_a_silver_table(spark, loaded, table, more):
     newer = {**STATE, "taxa_alfabetizacao": 61, **lineage(ts="2025-01-01T00:00:00-03:00")}
-    write_bronze(bronze(spark, silver.UF, [newer]), loaded.path("bronze", "uf_stream"))
-    run_layer(spark, loaded, "silver", more_bronze={"uf": ["uf_stream"]})
+    write_bronze(bronze(spark, silver.UF, [newer]), loaded.path("bronze", table))
+    run_layer(spark, loaded, "silver", more_bronze=more)
     rates = {r.ano: r.taxa_alfabetizacao_pct for r in read_layer(spark, loaded, "silver", "uf").collect()}
     assert rates == {2023: 50.0, 2024: 61.0}
 

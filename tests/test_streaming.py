@@ -2,15 +2,18 @@ import json
 from datetime import datetime, timedelta, timezone
 
 import pytest
-from pyspark.sql import DataFrameWriter
+from pyspark.sql import DataFrameReader, DataFrameWriter
 from pyspark.sql import functions as F
 
 from estrato.plans import silver
 from estrato.sources.layers import read_layer, read_table
 from estrato.streaming.events import FIELDS, decode, given_fields, has_required, parse_events, split_valid
-from estrato.streaming.ingest import bronze_sink, deliver, jdbc_mirror, start_ingest
+from estrato.sources.lineage import LINEAGE, add_stream_lineage
+from estrato.streaming.ingest import EVENT_ID, bronze_sink, deliver, jdbc_mirror, parquet_mirror, start_ingest
 
-GOOD = {"ano": 2023, "sigla_uf": "SP", "serie": 2, "rede": 1, "taxa_alfabetizacao": 85.5, "media_portugues": 210.4}
+GOOD = {"ano": 2027, "sigla_uf": "TO", "serie": 4, "rede": 3, "taxa_alfabetizacao": 41.25, "media_portugues": 655.5}
+CAME = datetime(2024, 5, 1, 12, 29, 59, 250000)
+EVENT_SCHEMA = "topic string, partition int, offset bigint, timestamp timestamp_ntz, value binary"
 AT = datetime(2024, 5, 1, 9, 30, tzinfo=timezone(timedelta(hours=-3)))
 
 
@@ -20,8 +23,8 @@ def _raw(spark, *payloads):
         if isinstance(payload, dict):
             payload = json.dumps(payload)
         value = payload if payload is None or isinstance(payload, bytes) else payload.encode()
-        rows.append((offset, None if value is None else bytearray(value)))
-    return spark.createDataFrame(rows, "offset bigint, value binary")
+        rows.append(("events", 0, offset, CAME, None if value is None else bytearray(value)))
+    return spark.createDataFrame(rows, EVENT_SCHEMA)
 
 
 def _parse(spark, payload):
@@ -29,11 +32,11 @@ def _parse(spark, payload):
 
 
 def test_decode_valid_payload(spark):
-    decoded = _raw(spark, b'{"ano": 2023}').select(decode(F.col("value")).cast("string").alias("v")).first().v
-    assert json.loads(decoded) == {"ano": 2023}
+    decoded = _raw(spark, b'{"rede": 3, "x": [true]}').select(decode(F.col("value")).cast("string").alias("v")).first().v
+    assert json.loads(decoded) == {"rede": 3, "x": [True]}
 
 
-@pytest.mark.parametrize("payload", [b"invalid-json", None, b"\xff\xfe", b""])
+@pytest.mark.parametrize("payload", [b'{"rede": 3', None, b"\xff\xfe", b""])
 def test_decode_invalid_payload(spark, payload):
     assert _raw(spark, payload).select(decode(F.col("value")).isNull().alias("n")).first().n
     assert _parse(spark, payload).reject_reason == "decode"
@@ -41,7 +44,7 @@ def test_decode_invalid_payload(spark, payload):
 
 @pytest.mark.parametrize(
     ("payload", "valid"),
-    [(GOOD, True), ({"ano": 2023, "sigla_uf": "SP"}, False), ({**GOOD, "taxa_alfabetizacao": None}, False)],
+    [(GOOD, True), ({"serie": 4, "rede": 3}, False), ({**GOOD, "taxa_alfabetizacao": None}, False)],
 )
 def test_required_fields(spark, payload, valid):
     rule = has_required(given_fields(decode(F.col("value"))))
@@ -92,11 +95,11 @@ def test_split_keeps_every_event(spark):
     assert accepted.count() == 1
     reasons = {r.offset: r.reject_reason for r in rejected.collect()}
     assert reasons == {1: "decode", 2: "required", 3: "coercion", 4: "decode"}
-    assert set(rejected.columns) == {"offset", "value", "reject_reason"}
+    assert set(rejected.columns) == {"topic", "partition", "offset", "timestamp", "value", "reject_reason"}
 
 
 def _file_stream(spark, folder):
-    return spark.readStream.schema("offset bigint, value binary").parquet(folder)
+    return spark.readStream.schema(EVENT_SCHEMA).parquet(folder)
 
 
 def _appender(path):
@@ -125,14 +128,14 @@ def test_stream_survives_a_restart_without_repeating_events(spark, cfg, tmp_path
     run()
     _raw(spark, {**GOOD, "taxa_alfabetizacao": 90}).withColumn("offset", F.lit(7)).write.mode("append").parquet(source)
     run()
-    bronze = read_layer(spark, cfg, "bronze", "uf")
+    bronze = read_layer(spark, cfg, "bronze", "uf_stream")
     assert sorted(r._execution_id for r in bronze.collect()) == [
         "stream_20240501T093000Z_offset0",
         "stream_20240501T093000Z_offset7",
     ]
     first = bronze.first()
     assert (first._source_system, first._ingestion_date) == ("kafka_stream", "2024-05-01")
-    assert first._ingestion_timestamp_utc == "2024-05-01T09:30:00-03:00"
+    assert first._ingestion_timestamp_utc == "2024-05-01T09:29:59.250000-03:00"
     assert read_table(spark, mirror).count() == 2
     assert [r.reject_reason for r in read_table(spark, rejects).collect()] == ["decode"]
     # Both events have one key; silver keeps the later one.
@@ -151,7 +154,7 @@ def test_a_failing_mirror_keeps_the_batch_out_of_bronze(spark):
     assert written == []
 
 
-def test_a_failing_bronze_write_is_tolerated_only_behind_a_mirror(spark):
+def test_a_failing_bronze_write_is_tolerated_only_on_request_and_behind_a_mirror(spark):
     mirrored, rejected = [], []
 
     def broken(batch, batch_id):
@@ -160,13 +163,13 @@ def test_a_failing_bronze_write_is_tolerated_only_behind_a_mirror(spark):
     def deliver_with(**sinks):
         deliver(_raw(spark, GOOD, "bad"), 3, bronze=broken, rejects=lambda b, i: rejected.append(b.count()), **sinks)
 
-    deliver_with(mirror=lambda b, i: mirrored.append((i, b.count())))
+    deliver_with(mirror=lambda b, i: mirrored.append((i, b.count())), bronze_may_fail=True)
     assert mirrored == [(3, 1)]
     assert rejected == [1]
     with pytest.raises(OSError):
         deliver_with(mirror=None)
     with pytest.raises(OSError):
-        deliver_with(mirror=lambda b, i: None, bronze_may_fail=False)
+        deliver_with(mirror=lambda b, i: None)
 
 
 def test_micro_batches_are_released(spark):
@@ -175,8 +178,10 @@ def test_micro_batches_are_released(spark):
     assert spark.sparkContext._jsc.getPersistentRDDs().size() == before
 
 
-def test_the_jdbc_mirror_appends_the_15_business_columns(spark, monkeypatch):
+def test_the_jdbc_mirror_appends_event_ids_and_the_15_business_columns(spark, monkeypatch):
     calls = []
+    empty = spark.createDataFrame([], "topic string, partition int, offset bigint")
+    monkeypatch.setattr(DataFrameReader, "jdbc", lambda self, url, table, properties=None: empty)
     monkeypatch.setattr(
         DataFrameWriter,
         "jdbc",
@@ -186,5 +191,46 @@ def test_the_jdbc_mirror_appends_the_15_business_columns(spark, monkeypatch):
     )
     mirror = jdbc_mirror("jdbc:x://db/mirror", "uf", {"user": "u"})
     deliver(_raw(spark, GOOD), 0, mirror=mirror, bronze=None, rejects=None)
-    assert calls == [(list(FIELDS), "jdbc:x://db/mirror", "uf", "append", {"user": "u"})]
+    assert calls == [([*EVENT_ID, *FIELDS], "jdbc:x://db/mirror", "uf", "append", {"user": "u"})]
     assert len(FIELDS) == 15
+
+
+@pytest.mark.parametrize("partitions", [1, 2])
+def test_the_newest_event_of_a_key_wins_inside_one_batch(spark, partitions):
+    events = spark.createDataFrame(
+        [("events", n % partitions, n, CAME, bytearray(json.dumps({**GOOD, "taxa_alfabetizacao": n}).encode()))
+         for n in (9, 100, 8, 11, 10)],
+        EVENT_SCHEMA,
+    )
+    accepted, _ = split_valid(parse_events(events))
+    bronze = add_stream_lineage(accepted, "uf", AT).select(*FIELDS, *LINEAGE)
+    (row,) = silver.build(silver.UF, bronze).collect()
+    assert (row.taxa_alfabetizacao_pct, row._execution_id) == (100.0, "stream_20240501T093000Z_offset100")
+
+
+def test_arrival_comes_before_offsets_of_another_partition(spark):
+    late, early = datetime(2024, 5, 1, 12, 0, 1), datetime(2024, 5, 1, 12, 0, 0)
+    events = spark.createDataFrame(
+        [("events", 0, 5, late, bytearray(json.dumps({**GOOD, "taxa_alfabetizacao": 5}).encode())),
+         ("events", 1, 900, early, bytearray(json.dumps({**GOOD, "taxa_alfabetizacao": 9}).encode()))],
+        EVENT_SCHEMA,
+    )
+    accepted, _ = split_valid(parse_events(events))
+    (row,) = silver.build(silver.UF, add_stream_lineage(accepted, "uf", AT).select(*FIELDS, *LINEAGE)).collect()
+    assert row.taxa_alfabetizacao_pct == 5.0
+
+
+def test_a_batch_that_is_delivered_again_leaves_no_event_twice(spark, tmp_path):
+    mirror = parquet_mirror(str(tmp_path / "mirror"))
+    for batch in (_raw(spark, GOOD), _raw(spark, GOOD, {**GOOD, "ano": 2028}), _raw(spark, GOOD, {**GOOD, "ano": 2028})):
+        deliver(batch, 0, mirror=mirror, bronze=None, rejects=None)
+    assert sorted(r.offset for r in read_table(spark, str(tmp_path / "mirror")).collect()) == [0, 1]
+
+
+def test_rejects_without_a_sink_are_counted_and_logged(spark, caplog):
+    with caplog.at_level("WARNING"):
+        deliver(_raw(spark, GOOD, "bad", "worse", {"ano": 1}), 7, mirror=None, bronze=None, rejects=None)
+    told = [r.getMessage() for r in caplog.records if "rejected" in r.getMessage()]
+    assert sorted(told) == [
+        "micro-batch 7: 1 events rejected (required)", "micro-batch 7: 2 events rejected (decode)",
+    ]
