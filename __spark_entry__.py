@@ -30,7 +30,7 @@ from estrato.operators.standardize import standardize  # noqa: E402
 from estrato.operators.territory import with_region, with_territory  # noqa: E402
 from estrato.plans import gold, quality, reports, silver, starschema  # noqa: E402
 from estrato.plans.layers import run_layer  # noqa: E402
-from estrato.session import new_folder, stage, use_shared_folder  # noqa: E402
+from estrato.session import new_folder, path_exists, stage, use_shared_folder  # noqa: E402
 from estrato.sources.batch import ingest  # noqa: E402
 from estrato.sources.layers import read_layer, read_table, stream_table, write_bronze  # noqa: E402
 from estrato.sources.lineage import LINEAGE, add_batch_lineage, add_stream_lineage, execution_id  # noqa: E402
@@ -313,16 +313,59 @@ def bronze_partitioned_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, path)
 
 
-def rebuild_all_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cfg = LakeConfig(root=new_folder(spark, "rebuild"), environment="prod")
+def _bronze_lake(spark: SparkSession, sf_dir: str, label: str) -> LakeConfig:
+    cfg = LakeConfig(root=new_folder(spark, label), environment="prod")
     for spec in silver.SILVER:
         write_bronze(_bronze(spec)(spark, sf_dir), cfg.path("bronze", spec.name), many_dates=True)
+    return cfg
+
+
+def _stored(layer: str, table: str) -> Query:
+    """The content of a derived table after all layers up to its own were rebuilt and stored."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        cfg = _bronze_lake(spark, sf_dir, f"stored-{table}")
+        for name in ("silver", layer):
+            run_layer(spark, cfg, name)
+        stored = read_layer(spark, cfg, layer, table)
+        if "execution_timestamp_utc" not in stored.columns:
+            return stored
+        age = F.current_timestamp().cast("double") - F.to_timestamp("execution_timestamp_utc").cast("double")
+        return stored.withColumn("carimbo_recente", age.between(0, 3600)).drop("execution_timestamp_utc")
+
+    return run
+
+
+def dry_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The plans of the silver layer over a stored bronze layer; none is run."""
+    cfg = _bronze_lake(spark, sf_dir, "dry-run")
+    steps = run_layer(spark, cfg, "silver", dry_run=True)
+    rows = [
+        read_layer(spark, cfg, "bronze", step.table).agg(
+            F.lit(step.table).alias("tabela"),
+            F.count(F.lit(1)).alias("linhas_bronze"),
+            F.lit("Physical Plan" in step.plan and step.rows is None).alias("so_planejada"),
+            F.lit(path_exists(spark, cfg.path("silver", step.table))).alias("gravada"),
+        )
+        for step in steps
+    ]
+    return reduce(DataFrame.unionByName, rows)
+
+
+def rebuild_all_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cfg = _bronze_lake(spark, sf_dir, "rebuild")
     counts = []
     for layer in ("silver", "gold", "quality"):
         for done in run_layer(spark, cfg, layer):
             rows = F.count(F.lit(1)).alias("linhas")
             counts.append(
-                read_table(spark, done.path).agg(F.lit(layer).alias("camada"), F.lit(done.table).alias("tabela"), rows)
+                read_table(spark, done.path).agg(
+                    F.lit(layer).alias("camada"),
+                    F.lit(done.table).alias("tabela"),
+                    rows,
+                    F.lit(done.rows).cast("bigint").alias("linhas_informadas"),
+                    F.lit(done.seconds > 0).alias("com_tempo"),
+                )
             )
     return reduce(DataFrame.unionByName, counts)
 
@@ -382,6 +425,10 @@ def queries() -> dict[str, Query]:
         "bronze_batch_ingest": bronze_batch_ingest,
         "bronze_partitioned_roundtrip": bronze_partitioned_roundtrip,
         "rebuild_all_layers": rebuild_all_layers,
+        "stored_gold_metas": _stored("gold", "metas_vs_resultados_municipio"),
+        "stored_gold_evolucao": _stored("gold", "evolucao_alfabetizacao_uf"),
+        "stored_quality_results": _stored("quality", "validation_results"),
+        "dry_run": dry_run,
         **(llm.queries() | {"pipeline": corpus_pipeline.run} if llm else {}),
     }
     return {name: _with_folder(query) for name, query in found.items()}

@@ -68,11 +68,8 @@ _ALUNOS = f"""
         CASE WHEN l_quantity = 6 AND l_discount = 0 THEN '-0.5'
              ELSE CAST(round(l_discount * 100) / 8e0 AS STRING) END AS peso_aluno,
         {_lineage("alunos", "l_shipdate", "11 * resent")}
-    FROM (
-        SELECT *, 0 AS resent FROM {{lineitem}}
-        UNION ALL
-        SELECT *, 1 AS resent FROM {{lineitem}} WHERE l_returnflag = 'R'
-    ) AS deliveries"""
+    FROM {{lineitem}}
+    JOIN (VALUES ('A', 0), ('N', 0), ('R', 0), ('R', 1)) AS deliveries (flag, resent) ON l_returnflag = flag"""
 
 _LEVEL_COUNTS = ",\n            ".join(
     f"sum(CASE WHEN floor((l_quantity - 1) / 6) = {n} THEN 1 ELSE 0 END) AS level_{n}" for n in range(9)

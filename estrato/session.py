@@ -69,6 +69,38 @@ def _file_system(spark: SparkSession, path: str):
     return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write one small file through the file system of ``path``; replaces an earlier one."""
+    target, files = _file_system(spark, path)
+    stream = files.create(target, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+
+
+def read_text(spark: SparkSession, path: str) -> str | None:
+    """One small file as text, None if it is not there; no job."""
+    target, files = _file_system(spark, path)
+    if not files.exists(target):
+        return None
+    stream = files.open(target)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def switch_folder(spark: SparkSession, fresh: str, path: str) -> None:
+    """Put the folder ``fresh`` in the place of ``path``; the old one is deleted after the switch."""
+    old = f"{path.rstrip('/')}.old-{uuid.uuid4().hex[:12]}"
+    target, files = _file_system(spark, path)
+    source, aside = _file_system(spark, fresh)[0], _file_system(spark, old)[0]
+    if files.exists(target) and not files.rename(target, aside):
+        raise OSError(f"cannot move {path} aside")
+    if not files.rename(source, target):
+        raise OSError(f"cannot move {fresh} to {path}")
+    files.delete(aside, True)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a file or folder is there; asks the file system only, without a job."""
     target, files = _file_system(spark, path)

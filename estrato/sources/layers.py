@@ -2,20 +2,36 @@
 
 from __future__ import annotations
 
+import json
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from estrato.config import LakeConfig
+from estrato.session import read_text, switch_folder, write_text
 
 PARTITION = "_ingestion_date"
+SCHEMA_FILE = "_schema.json"  # Spark's readers skip names with a leading underscore
+
+
+def _keep_schema(df: DataFrame, path: str) -> None:
+    """Record the columns of ``df`` in the order a reader finds them: the partition column last."""
+    fields = sorted(df.schema.fields, key=lambda f: f.name == PARTITION)
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in fields])
+    write_text(df.sparkSession, f"{path.rstrip('/')}/{SCHEMA_FILE}", schema.json())
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """A Parquet table, with the ingestion date as the text that was written.
 
     Spark would read the partition folder's value back as a date; the declared schema keeps it text, and
-    filters on it still prune folders.
+    filters on it still prune folders. Tables written here carry their schema in a file beside the data, so planning
+    a read runs no job.
     """
+    known = read_text(spark, f"{path.rstrip('/')}/{SCHEMA_FILE}")
+    if known is not None:
+        return spark.read.schema(T.StructType.fromJson(json.loads(known))).parquet(path)
     found = spark.read.parquet(path).schema
     if PARTITION not in found.names:
         return spark.read.schema(found).parquet(path)
@@ -76,6 +92,7 @@ def write_bronze(
     if preserve_history:
         writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.save(path)
+    _keep_schema(df, path)
     if register:
         register_table(df.sparkSession, database, table, path, partitioned=True)
 
@@ -83,10 +100,18 @@ def write_bronze(
 def write_layer(
     df: DataFrame, cfg: LakeConfig, layer: str, table: str, *, register: bool = False
 ) -> str:
-    """Replace one derived table as unpartitioned Snappy Parquet and return its path. Bronze is refused."""
+    """Replace one derived table as unpartitioned Snappy Parquet and return its path. Bronze is refused.
+
+    The table is written aside and then takes the old one's place, so a failed write leaves the old table.
+    """
     path = cfg.path(layer, table)
     cfg.require_rebuildable(path)
-    df.write.format("parquet").mode("overwrite").option("compression", "snappy").save(path)
+    fresh = f"{path.rstrip('/')}.next-{uuid.uuid4().hex[:12]}"
+    df.write.format("parquet").option("compression", "snappy").save(fresh)
+    derived = T.StructType([T.StructField(f.name, f.dataType) for f in df.schema])
+    write_text(df.sparkSession, f"{fresh}/{SCHEMA_FILE}", derived.json())
+    switch_folder(df.sparkSession, fresh, path)
+    df.sparkSession.catalog.refreshByPath(path)
     if register:
         register_table(df.sparkSession, cfg.databases[layer], table, path, partitioned=False)
     return path

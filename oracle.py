@@ -656,16 +656,21 @@ def statements() -> dict[str, str]:
         "bronze_partitioned_roundtrip": """
             SELECT *, strftime(ts, '%Y-%m-%d') AS _ingestion_date FROM events""",
         "rebuild_all_layers": " UNION ALL ".join(
-            [f"SELECT 'silver' AS camada, '{t}' AS tabela, count(*) AS linhas FROM silver_{t}" for t in COLUMNS]
-            + [
-                f"SELECT 'gold', '{t}', count(*) FROM {step}"
-                for t, step in (
-                    ("indicador_municipio", "gold_indicador"),
-                    ("metas_vs_resultados_municipio", "gold_metas"),
-                    ("evolucao_alfabetizacao_uf", "gold_evolucao"),
-                )
-            ]
-            + ["SELECT 'quality', 'validation_results', 36::BIGINT"]
+            f"SELECT '{layer}' AS camada, '{t}' AS tabela, {n} AS linhas, {n} AS linhas_informadas, true AS com_tempo{step}"
+            for layer, t, n, step in (
+                *[("silver", t, "count(*)", f" FROM silver_{t}") for t in COLUMNS],
+                ("gold", "indicador_municipio", "count(*)", " FROM gold_indicador"),
+                ("gold", "metas_vs_resultados_municipio", "count(*)", " FROM gold_metas"),
+                ("gold", "evolucao_alfabetizacao_uf", "count(*)", " FROM gold_evolucao"),
+                ("quality", "validation_results", "36::BIGINT", ""),
+            )
+        ),
+        "stored_gold_metas": "SELECT * FROM gold_metas",
+        "stored_gold_evolucao": "SELECT * FROM gold_evolucao",
+        "stored_quality_results": f"SELECT * EXCLUDE (execution_timestamp_utc), true AS carimbo_recente FROM ({QUALITY})",
+        "dry_run": " UNION ALL ".join(
+            f"SELECT '{t}' AS tabela, count(*) AS linhas_bronze, true AS so_planejada, false AS gravada FROM bronze_{t}"
+            for t in COLUMNS
         ),
     }
     return {name: statement(text) for name, text in raw.items()}

@@ -42,6 +42,11 @@ def test_all_layers_run_in_order_and_report_their_rows(spark, loaded):
 def test_a_dry_run_shows_plans_and_writes_nothing(spark, loaded, tmp_path):
     run_layer(spark, loaded, "silver")
     before = sorted(p.relative_to(tmp_path) for p in tmp_path.rglob("*"))
+    tracker = spark.sparkContext.statusTracker()
+    jobs = len(tracker.getJobIdsForGroup(None))
+    for layer in ("silver", "quality"):
+        run_layer(spark, loaded, layer, dry_run=True)
+    assert len(tracker.getJobIdsForGroup(None)) == jobs
     for layer in ("silver", "gold", "quality"):
         results = run_layer(spark, loaded, layer, dry_run=True)
         assert [r.table for r in results] == [s.table for s in STEPS[layer]]

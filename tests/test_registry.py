@@ -20,7 +20,8 @@ WRITES = {
     "year_on_year", "year_rank", "gold_evolucao_alfabetizacao_uf", "quality_checks", "best_evolving_states",
     "regional_inequality", "stream_ingest_roundtrip", "stream_mirror_roundtrip", "batch_and_stream_silver",
     "bronze_batch_ingest", "bronze_partitioned_roundtrip", "rebuild_all_layers", "shared_bronze_silver",
-    "reject_roundtrip", "catalog_roundtrip",
+    "reject_roundtrip", "catalog_roundtrip", "stored_gold_metas", "stored_gold_evolucao", "stored_quality_results",
+    "dry_run",
 }
 
 
