@@ -31,6 +31,7 @@ LEAST_FREQUENT = 16  # documents from which a token counts as frequent
 CHUNK = 1 << 21  # tokens that one pass counts together
 COST = 64  # expected list length per prefix token up to which a prefix stays as it is
 LONGEST = 8  # shared tokens asked for at most
+BITS = 1 << 26  # size of the bitmap of wanted nodes, 8 MB as it is broadcast
 BYTES = 1 << 20  # bytes of text that are hashed at once, at least one text
 
 _NO_ID = -(1 << 63)
@@ -189,21 +190,51 @@ def _prefixes(docs: DataFrame, tokens: np.ndarray, counts: np.ndarray, percent:
     return docs.select("text").mapInArrow(run, "token bigint, node bigint, packed bigint")
 
 
-def _sets(docs: DataFrame) -> DataFrame:
+def _bitmap(wanted: DataFrame) -> np.ndarray:
+    """The places of (node, id) in a packed bitmap; at most ``BITS / 32`` words reach the driver."""
+    place = F.col("node").bitwiseXOR(F.col("id")).bitwiseAND(F.lit(BITS - 1))
+    words = (
+        wanted.select(place.alias("place"))
+        .groupBy(F.shiftright("place", 5).alias("word"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, CAST(place & 31 AS int))")).alias("bits"))
+    )
+    found = words.toPandas()
+    bitmap = np.zeros(BITS // 32, "<u4")
+    bitmap[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64)
+    return bitmap
+
+
+def _sets(docs: DataFrame, bitmap: np.ndarray | None) -> DataFrame:
+    """Node, class, size, the first tokens (``head_length``) and all tokens of every text that is wanted.
+
+    A task names a class once, so copies that share an id leave it once.
+    """
+    wanted = None if bitmap is None else docs.sparkSession.sparkContext.broadcast(bitmap)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = None if wanted is None else wanted.value
+        done: set[bytes] = set()
         for batch in batches:
-            sets = list(shingle_sets(_texts(batch.column(0))))
-            names = [class_of(s) for s in sets]
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([_node(n) for n in names], pa.int64()),
-                    pa.array(names, pa.binary()),
-                    pa.array([s.tobytes() for s in sets], pa.binary()),
-                ],
-                ["node", "class", "tokens"],
-            )
+            out = []
+            for own, row_id in zip(shingle_sets(_texts(batch.column(1))), batch.column(0).to_pylist()):
+                name = class_of(own)
+                node = _node(name)
+                place = (node ^ row_id) & (BITS - 1)
+                if len(own) and name not in done and (bits is None or int(bits[place >> 5]) >> (place & 31) & 1):
+                    done.add(name)
+                    out.append((node, name, len(own), own[: head_length(len(own))].tobytes(), own.tobytes()))
+            if out:
+                kinds = (pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.binary())
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(column, kind) for column, kind in zip(zip(*out), kinds)],
+                    ["node", "class", "n", "head", "tokens"],
+                )
 
-    return docs.select("text").mapInArrow(run, "node bigint, class binary, tokens binary")
+    return docs.select("key", "text").mapInArrow(run, "node bigint, class binary, n bigint, head binary, tokens binary")
+
+
+def head_length(n: int) -> int:
+    return -(-n // 4)
 
 
 @F.pandas_udf(LongType())
@@ -217,14 +248,28 @@ def _shared(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(out, dtype="int64")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The classes, with their nodes, of those pairs of nodes (a, b) that reach the threshold."""
+def _met(pairs: DataFrame, sets: DataFrame, *columns: str) -> DataFrame:
+    """``pairs`` of nodes (a, b) with the given columns of both their sets."""
     side = lambda s: sets.select(
-        F.col("node").alias(s), F.col("class").alias(f"class_{s}"), F.col("tokens").alias(f"tokens_{s}")
+        F.col("node").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in columns]
     )
-    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    return pairs.join(side("a"), "a").join(side("b"), "b")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The classes, with their nodes, of those pairs of nodes (a, b) that reach the threshold.
+
+    First only the heads meet. Tokens of one set beyond its head bound what the heads do not show: the shared tokens
+    are at most those of the heads and the larger rest. Pairs that cannot reach the threshold end there.
+    """
+    heads = _met(pairs, sets, "n", "head").withColumn("seen", _shared("head_a", "head_b"))
+    rest = F.greatest(F.col("n_a") - F.expr("length(head_a) div 8"), F.col("n_b") - F.expr("length(head_b) div 8"))
+    enough = F.col("seen") + rest >= least_overlap(F.col("n_a"), F.col("n_b"), percent)
+    near = stage(heads.where(enough).select("a", "b"), "near")
+    nodes = near.select(F.col("a").alias("node")).union(near.select("b")).distinct()
+    both = _met(near, sets.join(nodes, "node", "left_semi"), "class", "n", "tokens")
     both = both.withColumn("shared", _shared("tokens_a", "tokens_b"))
-    union = F.expr("(length(tokens_a) + length(tokens_b)) div 8") - F.col("shared")
+    union = F.col("n_a") + F.col("n_b") - F.col("shared")
     return both.where(F.col("shared") * 100 >= union * percent).select("a", "b", "class_a", "class_b")
 
 
@@ -321,9 +366,13 @@ def jaccard_components(
         return pairs.select(c("a").alias("node")).union(pairs.select("b")).distinct()
 
     def sets_of(nodes: DataFrame) -> DataFrame:
-        """The sets of some nodes, from one text of each class."""
-        texts = classes.join(nodes, "node", "left_semi").select(key.alias("key")).distinct()
-        return stage(_sets(rows.withColumn("key", key).join(texts, "key", "left_semi")), "sets")
+        """The sets of some nodes: picked where the texts lie while a bitmap can tell, else from moved texts."""
+        found = classes.join(nodes, "node", "left_semi").select("node", key.alias("id"))
+        keyed = rows.select(key.alias("key"), "text")
+        if nodes.count() <= BITS // 4:
+            return stage(_sets(keyed, _bitmap(found)), "sets")
+        texts = found.select(c("id").alias("key")).distinct()
+        return stage(_sets(keyed.join(texts, "key", "left_semi"), None), "sets")
 
     sets = sets_of(ends_of(star))
     edges = stage(_verified(star, sets, percent), "links")
