@@ -57,7 +57,7 @@ class WordHasher:
 
     def _powers(self, size: int) -> None:
         if size > self.size:
-            self.size = max(size, 1 << 21)
+            self.size = 1 << (size - 1).bit_length()
             self.up, self.down = (
                 np.concatenate([[np.uint64(1)], np.full(self.size, base, np.uint64)]).cumprod(dtype=np.uint64)
                 for base in (self.base, pow(self.base, -1, 1 << 64))

@@ -25,7 +25,7 @@ from estrato.llm.common import LOWER, WordHasher, word_spans
 DEPTH = 4  # preceding bytes of the longest context
 BLOCK = 16 << 20  # bytes of text that share their questions
 ROWS = 1 << 16  # questions that leave a worker at once
-CHUNK = 1 << 20  # bytes that are turned into grams at once, at least one text
+CHUNK = 1 << 18  # bytes that are turned into grams at once, at least one text
 
 _END = (0, 1)  # the key of the token after the last word
 
@@ -106,7 +106,7 @@ class _Questions:
             weights = np.repeat(trains, [len(t) + 1 for t in texts])
             self.grams.append((keys, np.bincount(codes, weights, len(keys))))
             self.pending, self.size = [], 0
-        if len(self.grams) > 8:
+        if len(self.grams) > 24:
             self.merge()
 
     def merge(self) -> None:
