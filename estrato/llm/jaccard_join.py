@@ -13,12 +13,13 @@ position filter and the shared-token count. Members of one component need no fur
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
@@ -29,10 +30,11 @@ WIDTH = 5  # words of a shingle
 FREQUENT = 1 << 20  # tokens with a known place at the end of the order; their table is broadcast, 16 bytes each
 LEAST_FREQUENT = 16  # documents from which a token counts as frequent
 CHUNK = 1 << 21  # tokens that one pass counts together
-COST = 64  # expected list length per prefix token up to which a prefix stays as it is
+COST = 1024  # mean list length of a prefix's tokens up to which it stays as it is; pivots settle shorter lists
 LONGEST = 8  # shared tokens asked for at most
 BITS = 1 << 26  # size of the bitmap of wanted nodes, 8 MB as it is broadcast
-BYTES = 1 << 20  # bytes of text that are hashed at once, at least one text
+PAIRS = 256  # pairs of sets that a worker compares at once
+BYTES = 1 << 18  # bytes of text that are hashed at once, at least one text
 
 _NO_ID = -(1 << 63)
 
@@ -248,11 +250,24 @@ def _shared(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series(out, dtype="int64")
 
 
+@contextmanager
+def _small_batches(spark: SparkSession) -> Iterator[None]:
+    """Rows with whole sets go to Python ``PAIRS`` at a time, while a table is staged inside."""
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, str(PAIRS))
+    try:
+        yield
+    finally:
+        spark.conf.set(setting, before)
+
+
 def _met(pairs: DataFrame, sets: DataFrame, *columns: str) -> DataFrame:
     """``pairs`` of nodes (a, b) with the given columns of both their sets."""
+    # Merged at every size: whether pairs are few enough to broadcast must not change what moves.
     side = lambda s: sets.select(
         F.col("node").alias(s), *[F.col(c).alias(f"{c}_{s}") for c in columns]
-    )
+    ).hint("merge")
     return pairs.join(side("a"), "a").join(side("b"), "b")
 
 
@@ -265,12 +280,15 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     heads = _met(pairs, sets, "n", "head").withColumn("seen", _shared("head_a", "head_b"))
     rest = F.greatest(F.col("n_a") - F.expr("length(head_a) div 8"), F.col("n_b") - F.expr("length(head_b) div 8"))
     enough = F.col("seen") + rest >= least_overlap(F.col("n_a"), F.col("n_b"), percent)
-    near = stage(heads.where(enough).select("a", "b"), "near")
+    with _small_batches(pairs.sparkSession):
+        near = stage(heads.where(enough).select("a", "b"), "near")
     nodes = near.select(F.col("a").alias("node")).union(near.select("b")).distinct()
     both = _met(near, sets.join(nodes, "node", "left_semi"), "class", "n", "tokens")
     both = both.withColumn("shared", _shared("tokens_a", "tokens_b"))
     union = F.col("n_a") + F.col("n_b") - F.col("shared")
-    return both.where(F.col("shared") * 100 >= union * percent).select("a", "b", "class_a", "class_b")
+    linked = both.where(F.col("shared") * 100 >= union * percent).select("a", "b", "class_a", "class_b")
+    with _small_batches(pairs.sparkSession):
+        return stage(linked, "links")
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -375,7 +393,7 @@ def jaccard_components(
         return stage(_sets(keyed.join(texts, "key", "left_semi"), None), "sets")
 
     sets = sets_of(ends_of(star))
-    edges = stage(_verified(star, sets, percent), "links")
+    edges = _verified(star, sets, percent)
     ends = lambda found: found.select(c("class_a").alias("u"), c("class_b").alias("v"))
     labels = components(ends(edges))
 

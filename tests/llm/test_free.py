@@ -361,6 +361,7 @@ def test_components_match_brute_force(spark, monkeypatch, seed):
                 copy[at:at] = passage
             texts.append(" ".join(copy))
     monkeypatch.setattr(jaccard_join, "LEAST_FREQUENT", 8)
+    monkeypatch.setattr(jaccard_join, "COST", [1, 4, 1024][seed])
     found = jaccard_join.jaccard_components(_docs(spark, texts).repartition(3)).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == _components(texts)
 
