@@ -2,8 +2,9 @@
 
 A byte is coded as eight binary decisions; each decision node has its own context tree over the preceding bytes. At
 every context the Krichevsky-Trofimov estimate is weighed against the product of its longer contexts, over all depths
-from 0 to ``DEPTH``. Counts of (context, byte) grams come from all training texts; trees whose last two context bytes
-agree are computed together, so a task never holds more than the grams below one such pair.
+from 0 to ``DEPTH``. Counts of (context, byte) grams come from all training texts. Subtrees below the last ``SHARED``
+context bytes are computed in buckets of whole subtrees, so a task holds about ``BUCKET`` grams or one subtree; the
+shorter contexts are aggregates and joins by key.
 
 Documents do not fetch the model word by word: texts are dealt into blocks, a block asks once for every distinct gram
 and word it has, and the answers travel back to the block.
@@ -22,8 +23,10 @@ from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField, St
 
 from estrato.llm.common import LOWER, WordHasher, word_spans
 
-DEPTH = 4  # preceding bytes of the longest context
+DEPTH = 6  # preceding bytes of the longest context; with the coded byte, 56 bits of a key
+SHARED = 3  # last context bytes on which the grams of a subtree agree
 BLOCK = 16 << 20  # bytes of text that share their questions
+BUCKET = 1 << 21  # grams, before equal ones are merged, whose subtrees are computed at once
 ROWS = 1 << 16  # questions that leave a worker at once
 CHUNK = 1 << 18  # bytes that are turned into grams at once, at least one text
 
@@ -114,8 +117,10 @@ class _Questions:
         keys, places, sums = _distinct(first, counts)
         self.words = [(keys, second[places], sums)]
         keys, counts = (np.concatenate(parts) for parts in zip(*self.grams))
-        found, _, sums = _distinct(keys, counts)
-        self.grams = [(found, sums)]
+        order = np.argsort(keys)
+        keys, counts = keys[order], counts[order]
+        starts = np.flatnonzero(np.diff(keys, prepend=keys[:1] - 1))
+        self.grams = [(keys[starts], np.add.reduceat(counts, starts).astype(np.int64) if len(keys) else counts)]
 
     def rows(self, block: int) -> Iterator[pa.RecordBatch]:
         self.flush()
@@ -196,72 +201,84 @@ def _decisions(symbols: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
 
 def deepest(keys: np.ndarray, counts: np.ndarray) -> Level:
     """The level of depth ``DEPTH`` from grams and their training counts."""
+    order = np.argsort(keys)
+    keys, counts = keys[order], counts[order].astype(float)
     contexts, symbols = keys >> 8, keys & 255
-    nodes = [((contexts << 8) | node, bits) for node, bits in _decisions(symbols)]
-    found, at = np.unique(np.concatenate([n for n, _ in nodes]), return_inverse=True)
-    bits, weights = np.concatenate([b for _, b in nodes]), np.tile(counts, 8).astype(float)
-    ones = np.bincount(at, weights * bits, len(found))
-    return Level(found, np.bincount(at, weights, len(found)) - ones, ones, None)
+    nodes, totals, ones = [], [], []
+    for node, bits in _decisions(symbols):  # sorted, the grams of a node lie together
+        own = (contexts << 8) | node
+        starts = np.flatnonzero(np.diff(own, prepend=own[:1] - 1))
+        nodes.append(own[starts])
+        totals.append(np.add.reduceat(counts, starts))
+        ones.append(np.add.reduceat(counts * bits, starts))
+    found = np.concatenate(nodes)
+    order = np.argsort(found)
+    total, one = np.concatenate(totals)[order], np.concatenate(ones)[order]
+    return Level(found[order], total - one, one, None)
+
+
+def _levels(group: pd.DataFrame) -> list[Level]:
+    """The levels from ``DEPTH`` up to ``SHARED`` of whole subtrees."""
+    levels = [deepest(group["k1"].to_numpy(np.int64), group["n"].to_numpy(np.int64))]
+    for depth in range(DEPTH - 1, SHARED - 1, -1):
+        levels.append(levels[-1].parent(depth))
+    return levels
+
 
+def _tops(group: pd.DataFrame) -> pd.DataFrame:
+    """The decision nodes of depth ``SHARED``."""
+    top = _levels(group)[-1]
+    return pd.DataFrame({"key": top.keys, "zeros": top.zeros, "ones": top.ones, "weighted": top.weighted})
 
-def _subtrees(group: pd.DataFrame) -> pd.DataFrame:
-    """All depths from 2 on, below one pair of last context bytes.
 
-    Kind 0: a gram with the probabilities of its eight decisions at depth 2. Kind 1: a decision node of depth 2.
+def _log_probability(group: pd.DataFrame, above: pd.DataFrame) -> pd.DataFrame:
+    """log10 probability of the byte of each gram.
+
+    ``above`` has, for the nodes of depth ``SHARED``, what the shorter contexts make of the probability q of a one
+    there: a + b * q.
     """
-    keys, counts = group["k1"].to_numpy(np.int64), group["n"].to_numpy(np.int64)
-    levels = [deepest(keys, counts)]
-    for depth in range(DEPTH - 1, 1, -1):
-        levels.append(levels[-1].parent(depth))
+    keys, levels = group["k1"].to_numpy(np.int64), _levels(group)
+    above = above.sort_values("key")
+    tops, a, b = above["key"].to_numpy(np.int64), above["a"].to_numpy(float), above["b"].to_numpy(float)
     contexts, symbols = keys >> 8, keys & 255
-    odds = []
+    value = np.zeros(len(keys))
     for node, bits in _decisions(symbols):
         p = None
-        for depth, level in zip(range(DEPTH, 1, -1), levels):
+        for depth, level in zip(range(DEPTH, SHARED - 1, -1), levels):
             p = level.mix(contexts & ((1 << (8 * depth)) - 1), node, bits, p)
-        odds.append(p)
-    top = levels[-1]
-    own = pd.DataFrame({"kind": 0, "key": keys, "p": list(np.stack(odds, axis=1))})
-    own = own.assign(zeros=0.0, ones=0.0, weighted=0.0)
-    nodes = pd.DataFrame(
-        {"kind": 1, "key": top.keys, "p": None, "zeros": top.zeros, "ones": top.ones, "weighted": top.weighted}
-    )
-    return pd.concat([own, nodes], ignore_index=True)
-
-
-def _roots(group: pd.DataFrame) -> pd.DataFrame:
-    """Depths 1 and 0 from the summed nodes of depth 1, at most 256 x 255 rows; one row per last byte, as bytes."""
-    group = group.sort_values("key")
-    value = lambda name: group[name].to_numpy(np.float64)
-    first = Level(group["key"].to_numpy(np.int64), value("zeros"), value("ones"), value("weighted"))
-    table = np.stack([first.keys.astype(float), first.zeros, first.ones, first.odds])
-    root = first.parent(0)
-    base = np.stack([root.keys.astype(float), root.zeros, root.ones, root.odds]).tobytes()
-    last = first.keys >> 8
-    rows = [(int(c), table[:, last == c].tobytes(), base) for c in np.unique(last)]
-    return pd.DataFrame(rows, columns=["last", "own", "root"])
-
-
-def _read_level(data: bytes) -> Level:
-    keys, zeros, ones, odds = np.frombuffer(data, np.float64).reshape(4, -1)
-    level = Level.__new__(Level)
-    level.keys, level.zeros, level.ones, level.odds = keys.astype(np.int64), zeros, ones, odds
-    return level
-
-
-@F.pandas_udf(DoubleType())
-def _log_probability(keys: pd.Series, p: pd.Series, own: pd.Series, root: pd.Series) -> pd.Series:
-    """log10 probability of the byte of each gram, from its decisions at depth 2 and the levels above."""
-    keys, longer = keys.to_numpy(np.int64), np.stack(p.to_numpy()) if len(p) else np.zeros((0, 8))
-    out = np.zeros(len(keys))
-    for data in own.unique():
-        rows = np.flatnonzero((own == data).to_numpy())
-        first, base = _read_level(data), _read_level(root.iloc[rows[0]])
-        contexts, symbols = (keys[rows] >> 8) & 255, keys[rows] & 255
-        for k, (node, bits) in enumerate(_decisions(symbols)):
-            q = first.mix(contexts, node, bits, longer[rows, k])
-            out[rows] += np.log10(base.mix(np.zeros(len(rows), np.int64), node, bits, q))
-    return pd.Series(out)
+        at = np.searchsorted(tops, (contexts & ((1 << (8 * SHARED)) - 1)) << 8 | node)
+        value += np.log10(np.where(bits == 1, a[at], 1 - a[at] - b[at]) + b[at] * p)
+    return pd.DataFrame({"k1": keys, "k2": 0, "value": value})
+
+
+@F.pandas_udf(StructType([StructField("weighted", DoubleType()), StructField("odds", DoubleType())]))
+def _weigh(zeros: pd.Series, ones: pd.Series, below: pd.Series) -> pd.DataFrame:
+    level = Level(None, zeros.to_numpy(float), ones.to_numpy(float), below.to_numpy(float))
+    return pd.DataFrame({"weighted": level.weighted, "odds": level.odds})
+
+
+def _above(tops: DataFrame) -> DataFrame:
+    """``key``, ``a`` and ``b`` (see ``_log_probability``) for the nodes of depth ``SHARED``.
+
+    A node has at most 256 nodes below it, so neither an aggregate nor a join has a hot key.
+    """
+    parent = lambda depth: F.expr(f"(shiftright(key, 8) & {(1 << (8 * depth)) - 1}) * 256 + (key & 255)")
+    # Dealt by parent, the nodes are computed once for the aggregates and the join; for that all take all columns.
+    levels = [tops.withColumn("parent", parent(SHARED - 1)).repartition("parent")]
+    for depth in range(SHARED - 1, -1, -1):
+        sums = [F.sum(c).alias(c) for c in ("zeros", "ones", "weighted")]
+        sums = levels[-1].groupBy("parent").agg(*sums, F.max("key").alias("a_key")).where("a_key >= 0")
+        both = sums.withColumnRenamed("parent", "key").withColumn("both", _weigh("zeros", "ones", "weighted"))
+        level = both.select("key", "zeros", "ones", "both.weighted", "both.odds")
+        levels.append(level.withColumn("parent", parent(depth - 1) if depth else F.lit(0).cast("bigint")))
+    stop = 1 / (1 + F.exp(-F.greatest(F.lit(-700.0), F.least(F.lit(700.0), F.col("odds")))))
+    own = (F.col("ones") + 0.5) / (F.col("zeros") + F.col("ones") + 1)
+    mixed = levels.pop().select("key", (stop * own).alias("a"), (1 - stop).alias("b"))
+    while len(levels) > 1:
+        mixed = mixed.withColumnRenamed("key", "parent")
+        level = levels.pop().join(mixed, "parent")
+        mixed = level.select("key", (F.col("a") + F.col("b") * stop * own).alias("a"), (F.col("b") * (1 - stop)).alias("b"))
+    return levels[0].join(mixed.withColumnRenamed("key", "parent"), "parent").drop("parent")
 
 
 def _answer(texts: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
@@ -346,34 +363,19 @@ def score_texts(docs: DataFrame, trains, id_column: str = "doc_id", text_column:
         F.coalesce(F.sum("n"), F.lit(0)).alias("train_tokens"),
         F.count(F.when(F.col("n") > 0, 1)).alias("distinct"),
     )
-    last = F.expr("shiftright(k1, 8) & 65535")
-    trees = (
-        own.select("k1", "n", last.alias("pair"))
-        .groupBy("pair")
-        .applyInPandas(
-            _subtrees, "kind int, key bigint, p array<double>, zeros double, ones double, weighted double"
-        )
-    )
-    first = F.expr("((shiftright(key, 8) & 255) * 256) + (key & 255)")
-    roots = (
-        trees.where("kind = 1")
-        .groupBy(first.alias("key"))
-        .agg(*[F.sum(c).alias(c) for c in ("zeros", "ones", "weighted")])
-        .groupBy()
-        .applyInPandas(_roots, "last bigint, own binary, root binary")
-    )
-    tree_values = (
-        trees.where("kind = 0")
-        .withColumn("last", F.expr("shiftright(key, 8) & 255"))
-        .join(roots, "last")
-        .select(
-            F.col("key").alias("k1"),
-            F.lit(0).cast("bigint").alias("k2"),
-            _log_probability("key", "p", "own", "root").alias("value"),
-        )
+    buckets = max(1, -(-size // BUCKET))
+    context = lambda key: F.expr(f"shiftright({key}, 8) & {(1 << (8 * SHARED)) - 1}")
+    bucket = lambda key: F.pmod(F.xxhash64(context(key)), F.lit(buckets)).cast("int").alias("bucket")
+    subtrees = own.select("k1", "n", bucket("k1")).groupBy("bucket")
+    node = [StructField("key", LongType(), False)]
+    node += [StructField(name, DoubleType(), False) for name in ("zeros", "ones", "weighted")]
+    tops = subtrees.applyInPandas(_tops, StructType(node))
+    tree_values = subtrees.cogroup(_above(tops).select("*", bucket("key")).groupBy("bucket")).applyInPandas(
+        _log_probability, "k1 bigint, k2 bigint, value double"
     )
     values = tree_values.unionByName(words.select("k1", "k2", F.col("n").cast("double").alias("value")))
-    answers = asked.join(values, ["k1", "k2"]).select("block", "k1", "k2", "n", "value")
+    value = F.when(F.col("n") >= 0, F.col("value")).alias("value")  # always; names n, which need not travel back
+    answers = asked.join(values, ["k1", "k2"]).select("block", "k1", "k2", value)
     scored = (
         dealt.groupBy("block")
         .cogroup(answers.groupBy("block"))

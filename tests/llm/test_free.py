@@ -314,6 +314,27 @@ def test_base_scores_match_brute_force_and_probabilities_sum_to_one(spark):
     assert p.sum() == pytest.approx(1.0) and len(probe) == 256
 
 
+def test_scores_match_trees_of_one_piece_and_see_six_bytes_back(spark):
+    texts = ["pabcdex qabcdey " * 20, "Pabcdex", "é😀 漢字 mixed, 12345", None, "", "qabcdey rabcdez " * 9, "pabcdey"]
+    data, trains = [ctw._bytes(t) for t in texts], [i not in (1, 6) for i in range(len(texts))]
+    rows = {r.doc_id: r for r in ctw.score_texts(_docs(spark, texts), ~F.col("doc_id").isin(1, 6)).collect()}
+    grams = [ctw.grams([t]) for t in data]
+    keys = np.unique(np.concatenate(grams))
+    seen = Counter(k for g, t in zip(grams, trains) if t for k in g.tolist())
+    levels = [ctw.deepest(keys, np.array([seen[k] for k in keys.tolist()]))]
+    for depth in range(ctw.DEPTH - 1, -1, -1):
+        levels.append(levels[-1].parent(depth))
+    for i, own in enumerate(grams):
+        expected = 0.0
+        for node, bits in ctw._decisions(own & 255):
+            p = None
+            for depth, level in zip(range(ctw.DEPTH, -1, -1), levels):
+                p = level.mix((own >> 8) & ((1 << (8 * depth)) - 1), node, bits, p)
+            expected += np.log10(p).sum()
+        assert rows[i].score == pytest.approx(expected, rel=1e-9)
+    assert rows[1].score > rows[6].score + 1  # only the sixth byte back tells x from y
+
+
 def test_no_texts_and_no_training_texts(spark):
     assert ctw.score_texts(_docs(spark, []), F.lit(True)).count() == 0
     (row,) = ctw.score_texts(_docs(spark, ["ab"]), F.lit(False)).collect()
