@@ -1,12 +1,14 @@
 """Mixing sources to target weights by subset-sum budget fitting.
 
 Documents are counted by exact word length within their source. Whole repeats of a source and an even share of every
-length cover most of a target; a bounded knapsack over lengths fits the rest to the word. Which documents of a length
-are taken is settled by a seeded hash of their id.
+length cover most of a target, a seeded draw over the lengths what is left above a window, and a bounded knapsack over
+lengths fits the rest to the word. Which documents of a length are taken is settled by a seeded hash of their id.
 """
 
 from __future__ import annotations
 
+import zlib
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -15,7 +17,8 @@ from pyspark.sql import functions as F
 from estrato.llm.common import WORD
 from estrato.session import stage
 
-BUDGET = 1 << 14  # words that the knapsack fits; larger rests are first filled from the longest documents down
+BUDGET = 1 << 14  # words that the knapsack fits at least
+LONGEST = 4  # times the longest document's words that the knapsack fits at least
 SLICES = 1 << 10  # parts of a (source, length) group, by the seeded hash
 
 
@@ -61,11 +64,14 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (5.0, 2.0, 1.0
 def knapsack(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
     """How many documents of each size to take so that their sum is the largest that does not exceed ``budget``."""
     taken = np.zeros(len(sizes), np.int64)
+    unit = int(np.gcd.reduce(sizes[counts > 0], initial=0))
+    budget = min(budget, int((sizes * counts).sum()))
     if budget <= 0:
         return taken
+    sizes, budget = sizes // unit, budget // unit  # only multiples of the unit are sums
     reached = np.zeros(budget + 1, bool)
     reached[0] = True
-    through = np.full(budget + 1, -1, np.int64)
+    through = np.full(budget + 1, -1, np.int32)
     lots: list[tuple[int, int, int]] = []
     for i in np.argsort(-sizes, kind="stable"):
         size = int(sizes[i])
@@ -85,28 +91,48 @@ def knapsack(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
     return taken
 
 
-def fit(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
-    """Documents of each size for ``budget`` words: an even share, the longest that fit, then the knapsack."""
+def fit(sizes: np.ndarray, counts: np.ndarray, budget: int, seed: int = 0) -> np.ndarray:
+    """Documents of each size for ``budget`` words: an even share, a seeded draw, then the knapsack.
+
+    The draw takes a document of every so many lengths, from a seeded start along the sorted lengths, so that short and
+    long ones keep their share. It stops at a window that still holds the longest document several times; there the
+    knapsack finds the best sum of the documents left. If that misses the budget and the budget itself lies within the
+    window, the knapsack chooses among all documents instead of those left by the even share.
+    """
     total = int((sizes * counts).sum())
-    if budget <= 0 or not total:
+    budget = min(budget, total)
+    if budget <= 0:
         return np.zeros(len(sizes), np.int64)
+    window = max(BUDGET, LONGEST * int(sizes[counts > 0].max()))
     taken = np.array([min(int(c), int(c) * budget // total) for c in counts], np.int64)
     rest = budget - int((sizes * taken).sum())
-    for i in np.argsort(-sizes, kind="stable"):
-        size = int(sizes[i])
-        if size and rest > BUDGET:
-            more = min(int(counts[i] - taken[i]), -(-(rest - BUDGET) // size), rest // size)
-            taken[i] += more
-            rest -= more * size
-    if rest <= BUDGET:
-        taken += knapsack(sizes, counts - taken, rest)
+    rng = np.random.default_rng(seed)
+    by_size = np.argsort(sizes, kind="stable")
+    part = (counts * (budget / total) - taken)[by_size].cumsum() + rng.random()
+    drawn = np.floor(part) > np.floor(np.concatenate([[0.0], part[:-1]]))
+    # The lengths drawn in seeded order, then, as shares may round to too few words, the others.
+    mixed = rng.permutation(len(sizes))
+    order = by_size[mixed[np.argsort(~drawn[mixed], kind="stable")]]
+    while rest > window:
+        for i in order:
+            if rest > window and taken[i] < counts[i] and sizes[i]:
+                taken[i] += 1
+                rest -= int(sizes[i])
+    taken += knapsack(sizes, counts - taken, rest)
+    if budget <= window and int((sizes * taken).sum()) < budget:
+        again = knapsack(sizes, counts, budget)
+        if (sizes * again).sum() > (sizes * taken).sum():
+            taken = again
     return taken
 
 
-def _plan(group: pd.DataFrame) -> pd.DataFrame:
-    size, target = int(group.source_size.iloc[0]), float(group.target.iloc[0])
+def _plan(group: pd.DataFrame, seed: int) -> pd.DataFrame:
+    group = group.sort_values("size")
+    size, target, source = int(group.source_size.iloc[0]), float(group.target.iloc[0]), group.source.iloc[0]
     whole = int(target // size) if size else 0
-    extra = fit(group["size"].to_numpy(), group.documents.to_numpy(), round(target - whole * size) if size else 0)
+    seed = zlib.crc32(f"{seed} {source or ''}".encode("utf-8", "surrogatepass"))
+    words = round(target - whole * size) if size else 0
+    extra = fit(group["size"].to_numpy(), group.documents.to_numpy(), words, seed)
     return group.assign(whole=whole, extra=extra)[["source", "size", "source_size", "target", "whole", "extra"]]
 
 
@@ -122,8 +148,8 @@ def mix(
     """One row per row of ``docs``: id, ``source``, ``size``, ``source_size``, ``target``, ``copies`` and ``taken``.
 
     ``size`` is the number of words; ``copies`` how often the mix takes the document, at most ``most`` rounded up;
-    ``taken`` is ``copies * size``. The words taken from a source come within the knapsack's reach of its target,
-    mostly to the word. Null text has size 0; a null source is a source of its own; a source without words has
+    ``taken`` is ``copies * size``. The words taken from a source are the best sum that the documents left by
+    share and draw allow, mostly its target to the word. Null text has size 0; a null source is a source of its own; a source without words has
     target 0. Among documents of one source and length, the smallest seeded hashes of the id are taken, so reruns
     agree; rows with the same id are interchangeable. No rows give no rows; other columns are not read.
 
@@ -149,7 +175,7 @@ def mix(
         .join(targets, ["no_source", "name"])
         .groupBy("no_source", "name")
         .applyInPandas(
-            _plan, "source string, size bigint, source_size bigint, target double, whole bigint, extra bigint"
+            lambda group: _plan(group, seed), "source string, size bigint, source_size bigint, target double, whole bigint, extra bigint"
         )
     )
     plan = stage(named(plan).drop("source"), "mixing-plan")

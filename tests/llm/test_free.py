@@ -133,6 +133,25 @@ def test_a_large_budget_is_filled_before_the_knapsack():
     assert (taken <= counts).all() and (sizes * taken).sum() == 333_333
 
 
+def test_few_very_long_documents_fit_to_the_word():
+    for seed in range(5):
+        assert mixing.fit(np.array([90_000, 61_000, 59_000]), np.ones(3, int), 120_000, seed).tolist() == [0, 1, 1]
+    assert mixing.fit(np.array([50_000, 40_000, 20_000]), np.array([1, 2, 1]), 80_000).tolist() == [0, 2, 0]
+    # The even share, one of each, would leave 10,000 words that nothing fits.
+    assert mixing.fit(np.array([50_000, 40_000]), np.array([2, 2]), 100_000).tolist() == [2, 0]
+    assert mixing.fit(np.array([50_000, 0]), np.array([2, 3]), 200_000).tolist() == [2, 3]
+
+
+def test_the_seed_draws_among_lengths_of_one_document():
+    sizes = np.arange(1_000, 41_000, 10)
+    counts, budget = np.ones(len(sizes), int), 20_000_003
+    a, b = (mixing.fit(sizes, counts, budget, seed) for seed in (1, 2))
+    assert budget - 10 < (sizes * a).sum() <= budget and budget - 10 < (sizes * b).sum() <= budget
+    assert (a != b).sum() > 100 and (a == mixing.fit(sizes, counts, budget, 1)).all()
+    share = budget / sizes.sum()
+    assert all(abs(part.mean() - share) < 0.05 for part in np.split(a, 8))
+
+
 def test_mixed_rows_repeat_and_repeated_ids_stay_rows(spark):
     texts = ["a b", "c d", "e f g h i j k l"] * 5
     docs = _docs(spark, texts, ["x", "x", "y"] * 5).withColumn("doc_id", F.col("doc_id") % 3)
