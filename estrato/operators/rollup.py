@@ -13,15 +13,22 @@ def _exact(name: str) -> Column:
     return F.col(name).try_cast("decimal(28,9)")
 
 
+def _sum(name: str) -> Column:
+    """Of the measures that are decimals, plus those that are none: NaN, infinite or of 1e19 and more."""
+    total, others = F.sum(_exact(name)).cast("double"), F.sum(F.when(_exact(name).isNull(), F.col(name)))
+    return F.when(others.isNull(), total).otherwise(F.coalesce(total, F.lit(0.0)) + others)
+
+
 def _mean(name: str) -> Column:
-    total, rows = F.sum(_exact(name)), F.count(_exact(name))
-    return F.when(rows > 0, total.cast("double") / rows)
+    rows = F.count(name)
+    return F.when(rows > 0, _sum(name) / rows)
 
 
 def sample_rollup(students: DataFrame, by: Sequence[str]) -> DataFrame:
     """Counts, mean proficiency and total weight per group, over identified students of valid municipalities.
 
-    Only plain aggregates, so every map task sends at most one row per group. Sums run over decimals of nine places.
+    Only plain aggregates, so every map task sends at most one row per group. Sums run over decimals of nine places; values
+    that are none (NaN, infinite, very large) are added as they are.
     """
     usable = students.filter(F.col("flag_id_municipio_valido") & F.col("flag_id_aluno_preenchido"))
     return usable.groupBy(*by).agg(
@@ -29,5 +36,5 @@ def sample_rollup(students: DataFrame, by: Sequence[str]) -> DataFrame:
         F.count_if(F.col("alfabetizado") == 1).alias("qtd_alunos_alfabetizados_amostra"),
         F.count_if(F.col("presenca") == 1).alias("qtd_alunos_presentes_amostra"),
         _mean("proficiencia").alias("media_proficiencia_alunos_amostra"),
-        F.sum(_exact("peso_aluno")).cast("double").alias("soma_peso_alunos_amostra"),
+        _sum("peso_aluno").alias("soma_peso_alunos_amostra"),
     )

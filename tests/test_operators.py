@@ -127,6 +127,18 @@ def test_rollup_ignores_unusable_rows_and_missing_values(spark):
     assert tuple(row) == ("m", 2, 1, 1, 10.0, None)
 
 
+def test_rollup_keeps_measures_that_are_no_decimals(spark):
+    nan, inf = float("nan"), float("inf")
+    rows = [(g, True, True, 1, 1, x, x) for g, x in [("big", 2e20), ("big", 2.0), ("inf", inf), ("inf", 1.0), ("nan", nan)]]
+    schema = (
+        "id_municipio string, flag_id_municipio_valido boolean, flag_id_aluno_preenchido boolean, "
+        "alfabetizado int, presenca int, proficiencia double, peso_aluno double"
+    )
+    found = {r[0]: tuple(r[1:]) for r in sample_rollup(spark.createDataFrame(rows, schema), ["id_municipio"]).collect()}
+    assert found["big"] == (2, 2, 2, 1e20, 2e20) and found["inf"] == (2, 2, 2, inf, inf)
+    assert found["nan"][:3] == (1, 1, 1) and all(x != x for x in found["nan"][3:])
+
+
 def test_business_key_is_null_when_a_part_is(spark):
     df = spark.createDataFrame([(2024, "SP"), (None, "SP")], "ano int, uf string")
     assert [r.k for r in df.select(business_key("ano", "uf").alias("k")).collect()] == ["2024_SP", None]
