@@ -5,19 +5,34 @@ from __future__ import annotations
 import json
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from estrato.config import LakeConfig
-from estrato.session import read_text, switch_folder, write_text
+from estrato.session import path_exists, read_text, switch_folder, write_text
 
 PARTITION = "_ingestion_date"
 SCHEMA_FILE = "_schema.json"  # Spark's readers skip names with a leading underscore
 
 
-def _keep_schema(df: DataFrame, path: str) -> None:
-    """Record the columns of ``df`` in the order a reader finds them: the partition column last."""
-    fields = sorted(df.schema.fields, key=lambda f: f.name == PARTITION)
+def _kept_fields(spark: SparkSession, path: str) -> list[T.StructField]:
+    """The columns of the table at ``path``; none where there is no table or an empty folder."""
+    if not path_exists(spark, path):
+        return []
+    try:
+        return read_table(spark, path).schema.fields
+    except AnalysisException as e:
+        if e.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+        return []
+
+
+def _keep_schema(df: DataFrame, path: str, earlier: list[T.StructField]) -> None:
+    """Record the columns of ``df`` and of ``earlier`` files in the order a reader finds them: the partition column last."""
+    new = {f.name.lower(): f for f in df.schema.fields}
+    old = [f for f in earlier if f.name.lower() not in new]
+    fields = sorted([*df.schema.fields, *old], key=lambda f: f.name == PARTITION)
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in fields])
     write_text(df.sparkSession, f"{path.rstrip('/')}/{SCHEMA_FILE}", schema.json())
 
@@ -80,7 +95,8 @@ def write_bronze(
 ) -> None:
     """Write Snappy Parquet partitioned by ingestion date.
 
-    ``overwrite`` replaces the whole table; with ``preserve_history`` only the dates in ``df``. ``register``
+    ``overwrite`` replaces the whole table; with ``preserve_history`` only the dates in ``df``. Where earlier files
+    stay, so do their columns: a column that ``df`` lacks is null in its rows. ``register``
     also records the table in the catalog. A batch has one date and is written as it is; ``many_dates`` first
     gathers rows by date, splitting large dates and merging small ones, so tasks do not write a file per date.
     """
@@ -91,8 +107,10 @@ def write_bronze(
     writer = df.write.format("parquet").mode(mode).option("compression", "snappy").partitionBy(PARTITION)
     if preserve_history:
         writer = writer.option("partitionOverwriteMode", "dynamic")
+    whole = mode == "overwrite" and not preserve_history
+    earlier = [] if whole else _kept_fields(df.sparkSession, path)
     writer.save(path)
-    _keep_schema(df, path)
+    _keep_schema(df, path, earlier)
     if register:
         register_table(df.sparkSession, database, table, path, partitioned=True)
 

@@ -87,6 +87,18 @@ def test_overwrite_replaces_the_table_and_history_can_be_kept(spark, tmp_path):
     assert [tuple(r) for r in read_table(spark, path).collect()] == [(5, "2024-01-04")]
 
 
+@pytest.mark.parametrize("how", [{"mode": "append"}, {"preserve_history": True}])
+def test_a_column_that_a_later_delivery_lacks_stays_readable(spark, tmp_path, how):
+    path = str(tmp_path / "bronze")
+    (tmp_path / "bronze").mkdir()
+    write_bronze(_dated(spark, "2024-01-01", 1).withColumn("y", F.lit("old")), path, **how)
+    write_bronze(_dated(spark, "2024-01-02", 2).withColumn("z", F.lit("new")), path, **how)
+    rows = read_table(spark, path).select("x", "y", "z", "_ingestion_date").collect()
+    assert sorted(map(tuple, rows)) == [(1, "old", None, "2024-01-01"), (2, None, "new", "2024-01-02")]
+    write_bronze(_dated(spark, "2024-01-03", 3), path)
+    assert read_table(spark, path).columns == ["x", "_ingestion_date"]
+
+
 def test_the_ingestion_date_stays_text_and_prunes_folders(spark, tmp_path):
     path = str(tmp_path / "bronze")
     write_bronze(_dated(spark, "2024-01-01", 1).union(_dated(spark, "2024-01-02", 2)), path, many_dates=True)
