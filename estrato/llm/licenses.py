@@ -12,6 +12,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from estrato.llm.license_texts import TEXTS
 from estrato.session import stage
 
 # Texts of well-known licences, without their copyright lines.
@@ -46,7 +47,7 @@ original software. If you use this software in a product, an acknowledgment in t
 appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must not be
 misrepresented as being the original software. 3. This notice may not be removed or altered from any source
 distribution.""",
-}
+} | TEXTS
 
 COPYRIGHT_LINE = r"(?i)(^|\n)[ \t]*(copyright|\(c\))[^\n]*"
 NOT_A_WORD = r"[^\p{L}\p{N}]+"
@@ -79,11 +80,12 @@ def scan_licenses(
 
     ``templates`` has ``template`` and ``text``. Dice is twice the shared bigrams over the sum of both sizes, on
     distinct bigrams; ties go to the template that is first by name. Null or empty texts, and texts of one word, have
-    no bigrams and no template; templates without bigrams are never found. Repeated rows are scanned once and
-    reported each; other columns are not read; no rows give no rows, and without templates every row has none.
+    no bigrams and no template; templates without bigrams are never found. Repeated rows are reported each; other
+    columns are not read; no rows give no rows, and without templates every row has none.
 
-    A document's bigrams are kept only if some template lies in reach of its size. They meet the templates' in an
-    equi-join on size bucket and bigram; equal texts take part once.
+    A document takes part only if some template lies in reach of its size. Bigrams meet the templates' in an equi-join
+    on size bucket and bigram and are counted where they meet; the count of equal texts together is divided by their
+    number. Texts are read twice, so that no list of bigrams is written or moved for a document.
     """
     ratio = (2 - least) / least  # how many times larger a set may be and still reach ``least``
     bucket = lambda size: F.floor(F.ln(size) / F.lit(math.log(ratio) + 1e-9)).cast("int")
@@ -99,17 +101,17 @@ def scan_licenses(
     rows = docs.select(F.col(id_column).alias("id"), normalised(F.col(text_column)).alias("plain"))
     rows = rows.select("id", F.xxhash64("plain").alias("k1"), F.crc32("plain").alias("k2"), bigrams(F.col("plain")).alias("pairs"))
     rows = rows.withColumn("n_bigrams", F.size("pairs")).withColumn("bucket", bucket(F.greatest("n_bigrams", F.lit(1))))
-    rows = rows.join(reach, F.col("bucket") == F.col("near"), "left")
-    kept = F.when(F.col("near").isNotNull() & (F.col("n_bigrams") > 0), F.col("pairs")).alias("pairs")
-    rows = stage(rows.select("id", "k1", "k2", "n_bigrams", "bucket", kept), "licences")
-
-    asked = rows.where("pairs IS NOT NULL").dropDuplicates(["k1", "k2", "n_bigrams"])
+    asked = rows.join(reach, F.col("bucket") == F.col("near"), "left_semi").where("n_bigrams > 0")
     asked = asked.select("k1", "k2", "n_bigrams", "bucket", F.explode("pairs").alias("pair"))
+    rows = stage(rows.select("id", "k1", "k2", "n_bigrams"), "licences")
+    copies = rows.groupBy("k1", "k2", "n_bigrams").agg(F.count(F.lit(1)).alias("copies"))
+
     found = (
         asked.join(known.withColumn("pair", F.explode("pairs")).drop("pairs"), ["bucket", "pair"])
         .groupBy("k1", "k2", "n_bigrams", "template", "template_size")
-        .agg(F.count(F.lit(1)).alias("shared"))
-        .withColumn("dice", 2.0 * F.col("shared") / (F.col("n_bigrams") + F.col("template_size")))
+        .agg(F.count(F.lit(1)).alias("met"))
+        .join(copies, ["k1", "k2", "n_bigrams"])
+        .withColumn("dice", 2.0 * F.expr("met div copies") / (F.col("n_bigrams") + F.col("template_size")))
         .where(F.col("dice") >= least)
         .groupBy("k1", "k2", "n_bigrams")
         .agg(F.min_by(F.struct("template", "dice"), F.struct(-F.col("dice"), F.col("template"))).alias("best"))

@@ -119,6 +119,27 @@ def test_licences_are_found_through_case_punctuation_and_copyright_lines(spark):
     assert [found[i][1] for i in (2, 3, 4, 5)] == [None] * 4 and [found[i][0] for i in (3, 4, 5)] == [0, 0, 0]
 
 
+def test_common_licences_are_known_by_their_own_names(spark):
+    names = ["0BSD", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "CC0-1.0", "GPL-2.0", "GPL-3.0", "ISC"]
+    names += ["LGPL-2.1", "LGPL-3.0", "MIT", "MPL-2.0", "Unlicense", "Zlib"]
+    texts = ["Copyright (c) 2020 Some One\n" + licenses.TEMPLATES[n] for n in names]
+    found = _scan(spark, list(enumerate(texts)), list(licenses.TEMPLATES.items()))
+    assert [found[i][1:] for i in range(len(names))] == [(n, 1.0) for n in names]
+    regents = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions
+are met:
+1. Redistributions of source code must retain the above copyright
+   notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright
+   notice, this list of conditions and the following disclaimer in the
+   documentation and/or other materials provided with the distribution.
+3. Neither the name of the University nor the names of its contributors
+   may be used to endorse or promote products derived from this software
+   without specific prior written permission.
+""" + licenses.TEMPLATES["BSD-2-Clause"].split("distribution. ")[-1].replace("COPYRIGHT HOLDERS", "REGENTS")
+    assert _scan(spark, [(1, regents)], list(licenses.TEMPLATES.items()))[1][1] == "BSD-3-Clause"
+
+
 def test_dice_agrees_with_brute_force_at_every_size(spark):
     base = [f"w{i}" for i in range(60)]
     rows = [(i, " ".join(base[: 20 + i] + [f"x{i}"] * (i % 3))) for i in range(40)]
