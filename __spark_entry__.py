@@ -41,7 +41,7 @@ try:
     import corpus_pipeline  # noqa: E402
     import estrato.llm.queries as llm  # noqa: E402
 except ModuleNotFoundError as missing:  # the rest works without that subpackage
-    if not (missing.name or "").startswith(("estrato.llm", "corpus_pipeline")):
+    if not (missing.name or "").startswith(("estrato.llm", "corpus_pipeline", "public_tokenizers")):
         raise
     llm = None
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import io
 import uuid
 import zipfile
@@ -108,17 +109,30 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def drop_staged(spark: SparkSession) -> None:
-    """Delete every staged table of this application; call it when the frames that read them are done."""
+    """Delete every staged table of this application; call it when the frames that read them are done.
+
+    The shipped package stays: executors may ask for it at any time of the application's life.
+    """
     target, files = _file_system(spark, f"{shared_folder(spark)}/estrato/{spark.sparkContext.applicationId}")
     files.delete(target, True)
-    _shipped.discard(spark.sparkContext.applicationId)
+
+
+def _package_archive(package: Path) -> bytes:
+    """The sources of ``package`` as a zip archive; the same sources give the same bytes at any time."""
+    archive = io.BytesIO()
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            entry = zipfile.ZipInfo(str(source.relative_to(package.parent)), date_time=(1980, 1, 1, 0, 0, 0))
+            out.writestr(entry, source.read_bytes())
+    return archive.getvalue()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Make this package importable in the Python workers of all executors, once per application.
+    """Make this package importable in the Python workers of all executors, once in an application's whole life.
 
-    The sources travel as one archive through the shared folder; machines that have the package installed may use
-    their own copy.
+    The sources travel as one archive through the shared folder, beside the staged tables and named by its content,
+    so another application's archive of the same name holds the same bytes. Machines that have the package installed
+    may use their own copy.
     """
     app = spark.sparkContext.applicationId
     if app in _shipped:
@@ -126,14 +140,12 @@ def ship_package(spark: SparkSession) -> None:
     package = Path(__file__).resolve().parent
     if not package.is_dir():  # already running from an archive
         return
-    archive = io.BytesIO()
-    with zipfile.ZipFile(archive, "w") as out:
-        for source in sorted(package.rglob("*.py")):
-            out.writestr(str(source.relative_to(package.parent)), source.read_text())
-    path = f"{new_folder(spark, 'package')}/{package.name}.zip"
+    content = _package_archive(package)
+    name = f"{package.name}-{hashlib.sha256(content).hexdigest()[:16]}.zip"
+    path = f"{shared_folder(spark)}/estrato-package/{app}/{name}"
     target, files = _file_system(spark, path)
     stream = files.create(target, True)
-    stream.write(bytearray(archive.getvalue()))
+    stream.write(bytearray(content))
     stream.close()
     spark.sparkContext.addPyFile(path)
     _shipped.add(app)

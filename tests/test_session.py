@@ -1,3 +1,4 @@
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
@@ -42,3 +43,17 @@ def test_staged_tables_keep_rows_and_schema(spark):
     assert staged.dtypes == df.dtypes
     assert staged.collect() == df.collect()
     assert "Project" not in staged._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_the_package_ships_once_with_fixed_bytes(spark, tmp_path):
+    package = Path(session.__file__).resolve().parent
+    first = session._package_archive(package)
+    assert first == session._package_archive(package)
+    session.ship_package(spark)
+    spark.range(3).write.parquet(str(tmp_path / "numbers"))
+    for _ in range(2):
+        session.drop_staged(spark)
+        session.ship_package(spark)
+        found = spark.range(4).mapInPandas(lambda frames: (f.assign(id=f.id * 2) for f in frames), "id long")
+        assert sorted(r.id for r in found.collect()) == [0, 2, 4, 6]
+        assert spark.read.parquet(str(tmp_path / "numbers")).count() == 3
