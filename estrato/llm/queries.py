@@ -17,6 +17,7 @@ from estrato.llm import (
     licenses,
     line_rules,
     mixing,
+    phrases,
     quality_gbdt,
     urls,
 )
@@ -116,6 +117,10 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(read(spark, sf_dir, "documents"))
+
+
 OP4_SQL = """
 WITH parts AS (
   SELECT page_id,
@@ -177,6 +182,37 @@ FROM sets LEFT JOIN best ON doc = name WHERE kind = 'd'
 """
 
 
+OP12_SQL = """
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\\x0A-\\x0D]')), '[^ \\t]+') AS w
+  FROM documents),
+totals AS (SELECT lang, sum(len(w)) AS n FROM pieces GROUP BY lang),
+places AS (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM pieces, range(1, 6) s(size)),
+grams AS (
+  SELECT lang, size, array_to_string(list_slice(w, i, i + size - 1), ' ') AS phrase, count(*) AS f
+  FROM places GROUP BY ALL HAVING count(*) >= 100),
+cuts AS (
+  SELECT lang, size, f, phrase, k, array_to_string(string_split(phrase, ' ')[:k], ' ') AS head,
+         array_to_string(string_split(phrase, ' ')[k + 1:], ' ') AS rest
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM grams)),
+scored AS (
+  SELECT c.lang, c.phrase, c.f AS a, x.f AS l, y.f AS r, n,
+         (1000::HUGEINT * c.f * n // (x.f::HUGEINT * y.f)) AS score
+  FROM cuts c JOIN grams x ON x.lang = c.lang AND x.phrase = head JOIN grams y ON y.lang = c.lang AND y.phrase = rest
+  JOIN totals t ON t.lang = c.lang
+  QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY score, k) = 1),
+alone AS (
+  SELECT * FROM scored s WHERE NOT EXISTS (
+    SELECT 1 FROM grams g WHERE g.lang = s.lang AND g.phrase <> s.phrase AND g.size > 1 AND 100 * g.f >= 100 * s.a
+      AND contains(' ' || g.phrase || ' ', ' ' || s.phrase || ' ')))
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase,
+       a, l, r, n::BIGINT AS n, score::BIGINT AS score
+FROM alone QUALIFY rank <= 2000
+"""
+
+
 def _shipped(query):
     """``query`` once the workers can import this package."""
 
@@ -200,9 +236,10 @@ def queries() -> dict:
         "op8_byte_bpe": op8_byte_bpe,
         "op9_context_tree": op9_context_tree,
         "op10_jaccard_join": op10_jaccard_join,
+        "op12_phrases": op12_phrases,
     }
     return {name: _shipped(query) for name, query in found.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_license_scan": OP2_SQL, "op4_url_filter": OP4_SQL, "op6_chat_format": OP6_SQL}
+    return {"op2_license_scan": OP2_SQL, "op4_url_filter": OP4_SQL, "op6_chat_format": OP6_SQL, "op12_phrases": OP12_SQL}
