@@ -19,6 +19,7 @@ from estrato.llm import (
     mixing,
     phrases,
     quality_gbdt,
+    substring_dedup,
     urls,
 )
 from estrato.llm.common import read, remainder_of_id, values
@@ -121,6 +122,11 @@ def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(read(spark, sf_dir, "documents"))
 
 
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = substring_dedup.without_repeats(read(spark, sf_dir, "documents"))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 OP4_SQL = """
 WITH parts AS (
   SELECT page_id,
@@ -213,6 +219,22 @@ FROM alone QUALIFY rank <= 2000
 """
 
 
+OP13_SQL = r"""
+WITH texts AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^ \x09-\x0D]+') AS w FROM documents),
+places AS (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM texts),
+later AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS passage FROM places)
+  QUALIFY row_number() OVER (PARTITION BY passage ORDER BY doc_id, i) > 1),
+gone AS (SELECT DISTINCT doc_id, i + d AS place FROM later, range(0, 20) r(d)),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS place FROM texts),
+kept AS (
+  SELECT doc_id, string_agg(word, ' ' ORDER BY place) AS left_over, count(*) AS n
+  FROM words ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(left_over, '')) AS kept_sha256
+FROM texts LEFT JOIN kept USING (doc_id)
+"""
+
+
 def _shipped(query):
     """``query`` once the workers can import this package."""
 
@@ -237,9 +259,16 @@ def queries() -> dict:
         "op9_context_tree": op9_context_tree,
         "op10_jaccard_join": op10_jaccard_join,
         "op12_phrases": op12_phrases,
+        "op13_substring_dedup": op13_substring_dedup,
     }
     return {name: _shipped(query) for name, query in found.items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_license_scan": OP2_SQL, "op4_url_filter": OP4_SQL, "op6_chat_format": OP6_SQL, "op12_phrases": OP12_SQL}
+    return {
+        "op2_license_scan": OP2_SQL,
+        "op4_url_filter": OP4_SQL,
+        "op6_chat_format": OP6_SQL,
+        "op12_phrases": OP12_SQL,
+        "op13_substring_dedup": OP13_SQL,
+    }
