@@ -12,6 +12,7 @@ from estrato.llm import (
     ann_onebit,
     byte_bpe,
     chat,
+    chat_repair,
     ctw,
     jaccard_join,
     licenses,
@@ -118,6 +119,24 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_chat_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations as damaged by the contract; those of which no row is left come back with zeros."""
+    rows = read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    report, places = chat_repair.repair(chat_repair.damage(rows))
+    hashed = chat_repair.digests(chat_repair.repaired_rows(places, in_order=True))
+    all_ids = rows.select("conv_id").distinct()
+    for found in (report, hashed):
+        own = found.withColumnRenamed("conv_id", "of")
+        all_ids = all_ids.join(own, all_ids["conv_id"].eqNullSafe(own["of"]), "left").drop("of")
+    counts = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return all_ids.select(
+        "conv_id",
+        *[F.coalesce(name, F.lit(0).cast("long")).alias(name) for name in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+    )
+
+
 def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(read(spark, sf_dir, "documents"))
 
@@ -258,6 +277,7 @@ def queries() -> dict:
         "op8_byte_bpe": op8_byte_bpe,
         "op9_context_tree": op9_context_tree,
         "op10_jaccard_join": op10_jaccard_join,
+        "op11_chat_repair": op11_chat_repair,
         "op12_phrases": op12_phrases,
         "op13_substring_dedup": op13_substring_dedup,
     }
