@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,3 +81,34 @@ def word_spans(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     stops = np.cumsum([len(t) + 1 for t in texts])
     counts = np.diff(np.searchsorted(starts, stops), prepend=0)
     return data, starts, ends, counts
+
+
+_CELL = 1 << 17  # bits of a bitmap that one group packs
+
+
+def _packed(group: pa.Table) -> pa.Table:
+    buckets = group["bucket"].to_numpy()
+    cell, place = buckets[0] // _CELL, buckets % _CELL
+    bits = np.zeros(_CELL, np.uint8)
+    bits[place] = 1
+    return pa.table({"cell": pa.array([int(cell)], pa.int64()), "bits": [np.packbits(bits, bitorder="little").tobytes()]})
+
+
+def bitmap(buckets: DataFrame, bits: int) -> np.ndarray:
+    """The numbers in the column ``bucket`` (0 to ``bits`` - 1) as a packed bitmap, made in cells by the executors.
+
+    ``bits`` / 8 bytes reach the driver, however many rows there are.
+    """
+    distinct = buckets.select(F.col("bucket").cast("long").alias("bucket")).distinct()
+    cells = distinct.groupBy((F.col("bucket") / _CELL).cast("long").alias("part")).applyInArrow(
+        lambda group: _packed(group), "cell long, bits binary"
+    )
+    out = np.zeros(max(bits, _CELL) // 8, np.uint8)
+    for row in cells.toLocalIterator():
+        out[row.cell * (_CELL // 8) : (row.cell + 1) * (_CELL // 8)] = np.frombuffer(row.bits, np.uint8)
+    return out
+
+
+def holds(bits: np.ndarray, buckets: np.ndarray) -> np.ndarray:
+    """Which of the numbers are in a packed bitmap."""
+    return bits[buckets >> 3] >> (buckets & 7).astype(np.uint8) & 1 == 1

@@ -1,8 +1,10 @@
 """Collocations of two to five words, from sorted count streams that are merged instead of looked up.
 
-Every place in the corpus gives one context: the words that follow it inside its piece, five at most. The contexts are
-sorted once; in that order all contexts with the same first words are neighbours, so one scan yields the counts of
-phrases of every length. A phrase that crosses the end of a task's range is counted on both sides and added up.
+Every place in the corpus gives one context: the words that follow it inside its piece, five at most. A task sorts the
+contexts of some million words, counts equal ones and deals them by their first word as compact blocks. A group then
+merges the blocks it gets into one sorted stream, in which contexts with the same first words are neighbours, so one
+pass yields the counts of phrases of every length. Contexts that begin with very common words are dealt by further
+words as well; a phrase of such words alone is counted in several groups and added up.
 
 The resulting count stream is then merged with its own cuts: sorted by their first parts for the left counts, by their
 rests for the right counts, and by the phrase less one word at either end for the counts of extensions. All of these
@@ -14,6 +16,7 @@ first; a bitmap of fixed size carries that to the texts. It can let a rare word
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 
@@ -23,7 +26,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from estrato.llm.common import LOWER
+from estrato.llm.common import LOWER, bitmap, holds, mixed
 from estrato.session import stage
 
 MOST_WORDS = 5
@@ -32,8 +35,12 @@ SHARE = 100  # per cent of a phrase's occurrences that a longer candidate must c
 TOP = 2000  # phrases returned for each language
 NO_LANGUAGE = "und"
 
-BYTES = 1 << 23  # bytes of text whose words or contexts a worker counts together, at least one text
+BYTES = 1 << 23  # bytes of text whose words a worker counts together, at least one text
+WORDS = 1 << 21  # words whose contexts a worker counts together, at least one text
+PART = 1 << 20  # contexts that one group merges, about
+HOT = 1 << 19  # occurrences from which a word does not keep its contexts in one group
 BITS = 1 << 26  # size of the bitmap of frequent words, 8 MB as it is broadcast
+HOT_BITS = 1 << 20  # the same for words from HOT occurrences
 
 _PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
 # Lower case, one character for every end of a piece and one for every space between words.
@@ -81,98 +88,191 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _bucket(lang: str, word: bytes) -> int:
-    """The place of a word in the bitmap; ``_bitmap`` computes the same number inside Spark."""
-    return xxhash.xxh64_intdigest(lang.encode() + b"\t" + word, seed=42) % BITS
+def _digest(lang: str, word: bytes) -> int:
+    """64 bits of a word, the same number that ``_buckets`` computes inside Spark."""
+    return xxhash.xxh64_intdigest(lang.encode() + b"\t" + word, seed=42)
+
+
+def _buckets(words: DataFrame, bits: int) -> DataFrame:
+    """The places of words (lang, phrase) in a bitmap."""
+    digest = F.xxhash64(F.concat_ws("\t", "lang", "phrase").cast("binary"))
+    return words.select(F.pmod(digest, F.lit(bits)).alias("bucket"))
+
+
+class _Numbers(dict):
+    """Numbers of the frequent words of a language in a worker's share of the texts; -1 for any other word."""
+
+    def __init__(self, lang: str, frequent: np.ndarray):
+        super().__init__()
+        self.lang, self.frequent = lang, frequent
+        self.words: list[bytes] = []
+        self.digests: list[int] = []
+        self.texts: list[np.ndarray] = []
+
+    def __missing__(self, word: bytes) -> int:
+        digest = _digest(self.lang, word)
+        place = digest % BITS
+        number = -1
+        if self.frequent[place >> 3] >> (place & 7) & 1:
+            number = len(self.words)
+            self.words.append(word)
+            self.digests.append(digest)
+        self[word] = number
+        return number
+
+    def add(self, plain: bytes) -> int:
+        """Take up a text: the numbers of its words, with -1 after every piece. How many there are."""
+        numbers: list[int] = []
+        for piece in plain.split(b"\n"):
+            words = piece.split()
+            if len(words) > 1:
+                numbers += map(self.__getitem__, words)
+                numbers.append(-1)
+        self.texts.append(np.array(numbers, np.int32))
+        return len(numbers)
+
+
+def _sorted_rows(columns: list[np.ndarray]) -> np.ndarray:
+    """The order of rows by their columns; numbers from -1."""
+    keys = []
+    for low in range(0, len(columns), 2):
+        key = (columns[low] + 1).astype(np.uint64) << np.uint64(32)
+        keys.append(key | (columns[low + 1] + 1).astype(np.uint64) if low + 1 < len(columns) else key)
+    return np.lexsort(keys[::-1])
+
+
+def _changes(columns: list[np.ndarray]) -> Iterator[np.ndarray]:
+    """For sorted rows, after each column: where a row differs from the one before in the columns so far."""
+    changed = np.zeros(len(columns[0]), bool)
+    changed[:1] = True
+    for column in columns:
+        changed[1:] |= column[1:] != column[:-1]
+        yield changed
+
+
+_BLOCK = "lang string, part long, words binary, hot binary, width int, places binary, times binary"
+_BLOCK_SCHEMA = pa.schema(
+    [("lang", pa.string()), ("part", pa.int64()), ("words", pa.binary()), ("hot", pa.binary()), ("width", pa.int32()),
+     ("places", pa.binary()), ("times", pa.binary())]
+)
+
+
+def _blocks(numbers: _Numbers, hot_words: np.ndarray, parts: int, most_words: int) -> Iterator[tuple]:
+    """The distinct contexts of some texts with their counts, in one block for each part that gets some."""
+    text = np.concatenate([*numbers.texts, np.full(most_words, -1, np.int32)])
+    size = len(text) - most_words
+    columns, alive = [text[:size]], text[:size] >= 0
+    for k in range(1, most_words):
+        alive = alive & (text[k : k + size] >= 0)
+        columns.append(np.where(alive, text[k : k + size], np.int32(-1)))
+    long_enough = columns[1] >= 0
+    columns = [c[long_enough] for c in columns]
+    if not len(columns[0]):
+        return
+    order = _sorted_rows(columns)
+    columns = [c[order] for c in columns]
+    for changed in _changes(columns):
+        pass
+    starts = np.flatnonzero(changed)
+    times = np.diff(starts, append=len(order)).astype(np.uint32)
+    columns = [c[starts] for c in columns]
+
+    digests = np.array(numbers.digests, np.uint64)
+    hot = holds(hot_words, (digests % np.uint64(HOT_BITS)).astype(np.int64))
+    key, leading = digests[columns[0]], hot[columns[0]]
+    for column in columns[1:]:
+        further = leading & (column >= 0)
+        key = np.where(further, mixed(key + digests[column] * np.uint64(0x9E3779B97F4A7C15)), key)
+        leading = further & hot[column]
+    part = (mixed(key) % np.uint64(parts)).astype(np.int64)
+    dealt = np.argsort(part, kind="stable")
+    edges = np.flatnonzero(np.diff(part[dealt], prepend=-1, append=-1))
+    for low, high in zip(edges[:-1].tolist(), edges[1:].tolist()):
+        rows = dealt[low:high]
+        own = [c[rows] for c in columns]
+        used = np.unique(np.concatenate(own))
+        used = used[used >= 0]
+        width = 2 if len(used) < 65535 else 4
+        kind = np.uint16 if width == 2 else np.uint32
+        places = np.concatenate([np.where(c < 0, 0, np.searchsorted(used, c) + 1) for c in own]).astype(kind)
+        yield (
+            numbers.lang,
+            int(part[rows[0]]),
+            zlib.compress(b"\n".join([numbers.words[u] for u in used.tolist()]), 1),
+            np.packbits(hot[used]).tobytes(),
+            width,
+            zlib.compress(places.tobytes(), 1),
+            zlib.compress(times[rows].tobytes(), 1),
+        )
 
 
-def _bitmap(words: DataFrame) -> np.ndarray:
-    """One bit for every word of ``words`` (lang, phrase): BITS bits, however many words there are."""
-    bucket = F.pmod(F.xxhash64(F.concat_ws("\t", "lang", "phrase").cast("binary")), F.lit(BITS))
-    cells = (
-        words.select(bucket.alias("bucket"))
-        .groupBy(F.expr("shiftright(bucket, 6)").alias("cell"))
-        .agg(F.expr("bit_or(shiftleft(1L, int(bucket & 63)))").alias("bits"))
-        .toPandas()
-    )
-    bits = np.zeros(BITS // 64, np.int64)
-    bits[cells["cell"].to_numpy(np.int64)] = cells["bits"].to_numpy(np.int64)
-    return bits.view(np.uint8)
+def _contexts(docs: DataFrame, frequent: np.ndarray, hot: np.ndarray, parts: int, most_words: int) -> DataFrame:
+    """Blocks of contexts of two to ``most_words`` frequent words with their counts."""
+    shared = docs.sparkSession.sparkContext.broadcast((frequent, hot))
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, hot_words = shared.value
+        found: dict[str, _Numbers] = {}
+        size = 0
 
-def _contexts(docs: DataFrame, known: np.ndarray, most_words: int) -> DataFrame:
-    """Contexts of two to ``most_words`` frequent words with their counts, each word followed by a space.
+        def counted() -> Iterator[pa.RecordBatch]:
+            for numbers in found.values():
+                for block in _blocks(numbers, hot_words, parts, most_words):
+                    yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(block, _BLOCK_SCHEMA)], schema=_BLOCK_SCHEMA)
 
-    The space after the last word keeps contexts together in byte order that start with the same words.
-    """
-    shared = docs.sparkSession.sparkContext.broadcast(known)
+        for batch in batches:
+            for lang, text in zip(batch.column(0), batch.column(1)):
+                name = lang.as_py()
+                if name not in found:
+                    found[name] = _Numbers(name, known)
+                size += found[name].add(text.as_py().translate(_PLAIN))
+                if size >= WORDS:
+                    yield from counted()
+                    found, size = {}, 0
+        yield from counted()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = shared.value
-
-        def frequent(lang: str, word: bytes) -> bool:
-            place = _bucket(lang, word)
-            return bool(bits[place >> 3] >> (place & 7) & 1)
-
-        for found in _by_language(batches):
-            counts: dict[str, Counter] = {}
-            for lang, texts in found.items():
-                body = b"\n".join(texts)
-                passing = {word for word in set(body.split()) if frequent(lang, word)}
-                own = counts[lang] = Counter()
-                for piece in body.split(b"\n"):
-                    words = piece.split()
-                    start = 0
-                    for end in [i for i, word in enumerate(words) if word not in passing] + [len(words)]:
-                        own.update(
-                            b" ".join(words[i : min(i + most_words, end)]) + b" " for i in range(start, end - 1)
-                        )
-                        start = end + 1
-            yield from _rows(counts)
-
-    return docs.mapInArrow(run, "lang string, phrase string, times long")
-
-
-def _scan(least: int, most_words: int):
-    """A scan of sorted contexts that counts their first 2, 3, ... words.
-
-    A phrase below ``least`` is left out unless it touches an end of the task's rows, where the neighbouring task
-    may hold the rest of it.
-    """
+    return docs.mapInArrow(run, _BLOCK)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: list[tuple[str, str, int]] = []
-        lang, words = None, []
-        counts = [0] * (most_words + 1)  # of the current first 1, 2, ... words
-        at_edge = [True] * (most_words + 1)  # no phrase of that length has ended in this task yet
 
-        def close(shared: int, last: bool = False) -> None:
-            for size in range(len(words), max(shared, 1), -1):
-                if last or at_edge[size] or counts[size] >= least:
-                    out.append((lang, " ".join(words[:size]), counts[size]))
-                counts[size], at_edge[size] = 0, False
+def _merged(least: int, most_words: int):
+    """All blocks of one part of a language as one sorted stream: the counts of the phrases its contexts begin with.
 
-        for batch in batches:
-            for row_lang, phrase, times in zip(*(column.to_pylist() for column in batch.columns)):
-                fresh = phrase[:-1].split(" ")
-                shared = 0
-                if row_lang == lang:
-                    for a, b in zip(words, fresh):
-                        if a != b:
-                            break
-                        shared += 1
-                if lang is not None:
-                    close(shared)
-                lang, words = row_lang, fresh
-                for size in range(2, len(fresh) + 1):
-                    counts[size] += times
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], schema=_GRAM)
-                out = []
-        if lang is not None:
-            close(0, last=True)
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out)], schema=_GRAM)
+    Phrases below ``least`` are left out, but for those of hot words alone, of which other parts hold the rest.
+    """
+
+    def run(blocks: pa.Table) -> pa.Table:
+        numbers: dict[bytes, int] = {}
+        hot_of: dict[int, bool] = {}
+        pieces: list[list[np.ndarray]] = [[] for _ in range(most_words)]
+        counted = []
+        for block in blocks.to_pylist():
+            words = zlib.decompress(block["words"]).split(b"\n")
+            own = np.array([-1] + [numbers.setdefault(w, len(numbers)) for w in words], np.int32)
+            hot_of.update(zip(own[1:].tolist(), np.unpackbits(np.frombuffer(block["hot"], np.uint8)).tolist()))
+            places = np.frombuffer(zlib.decompress(block["places"]), np.uint16 if block["width"] == 2 else np.uint32)
+            for piece, column in zip(pieces, np.split(places, most_words)):
+                piece.append(own[column])
+            counted.append(np.frombuffer(zlib.decompress(block["times"]), np.uint32))
+        columns, times = [np.concatenate(p) for p in pieces], np.concatenate(counted).astype(np.int64)
+        order = _sorted_rows(columns)
+        columns, times = [c[order] for c in columns], times[order]
+        words = list(numbers)
+        hot = np.array([bool(hot_of[i]) for i in range(len(words))])
+        phrases, sums = [], []
+        shared_by_all = np.ones(len(times), bool)
+        for size, changed in enumerate(_changes(columns), 1):
+            shared_by_all &= hot[columns[size - 1]]
+            if size == 1:
+                continue
+            starts = np.flatnonzero(changed)
+            total = np.add.reduceat(times, starts)
+            kept = (columns[size - 1][starts] >= 0) & ((total >= least) | shared_by_all[starts])
+            sums += total[kept].tolist()
+            for row in starts[kept].tolist():
+                phrases.append(b" ".join([words[c[row]] for c in columns[:size]]))
+        lang = [blocks["lang"][0].as_py()] * len(sums)
+        texts = pa.array(phrases, pa.binary()).cast(pa.string())
+        return pa.Table.from_arrays([pa.array(lang, pa.string()), texts, pa.array(sums, pa.int64())], schema=_GRAM)
 
     return run
 
@@ -196,11 +296,14 @@ def phrase_counts(
     summed = counted.groupBy("lang", "phrase").agg(F.sum("times").alias("times"))
     words = stage(summed.where(F.col("phrase").isNull() | (F.col("times") >= least)), "words")
     frequent = words.where("phrase IS NOT NULL")
-    contexts = stage(_contexts(texts, _bitmap(frequent), most_words), "contexts")
-    scanned = contexts.orderBy("lang", "phrase").mapInArrow(
-        _scan(least, most_words), "lang string, phrase string, times long"
+    parts = 1 + (words.where("phrase IS NULL").agg(F.sum("times")).first()[0] or 0) // PART
+    known = bitmap(_buckets(frequent, BITS), BITS)
+    hot = bitmap(_buckets(frequent.where(F.col("times") >= HOT), HOT_BITS), HOT_BITS)
+    blocks = _contexts(texts, known, hot, parts, most_words)
+    merged = blocks.groupBy("lang", "part").applyInArrow(
+        _merged(least, most_words), "lang string, phrase string, times long"
     )
-    longer = scanned.groupBy("lang", "phrase").agg(F.sum("times").alias("times")).where(F.col("times") >= least)
+    longer = merged.groupBy("lang", "phrase").agg(F.sum("times").alias("times")).where(F.col("times") >= least)
     counts = frequent.unionByName(longer).withColumn("n_words", F.size(F.split("phrase", " ")))
     return stage(counts, "phrases"), words.where("phrase IS NULL").select("lang", F.col("times").alias("n"))
 

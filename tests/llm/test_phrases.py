@@ -5,8 +5,6 @@ import re
 from collections import Counter, defaultdict
 
 import pytest
-from pyspark.sql import functions as F
-
 from estrato.llm import phrases
 
 RESULT = ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
@@ -61,7 +59,9 @@ def _random_texts(seed, texts):
 
 @pytest.mark.parametrize("parts, share, top", [(1, 100, 2000), (7, 100, 3), (7, 50, 2000)])
 def test_collocations_match_brute_force(spark, monkeypatch, parts, share, top):
-    monkeypatch.setattr(phrases, "BYTES", 500)  # many chunks, so contexts and words are added up
+    monkeypatch.setattr(phrases, "BYTES", 500)  # many chunks, so words and contexts are added up
+    monkeypatch.setattr(phrases, "WORDS", 200)
+    monkeypatch.setattr(phrases, "PART", 500)
     rows = _random_texts(parts, 60)
     docs = spark.createDataFrame([(lang, text, "clash") for lang, text in rows], "lang string, text string, phrase string")
     found = phrases.collocations(docs.repartition(parts), least=3, share=share, top=top)
@@ -83,22 +83,19 @@ def test_no_rows_and_no_candidates(spark):
     assert phrases.collocations(spark.createDataFrame([("en", "a b")], empty.schema)).collect() == []
 
 
-def test_a_phrase_that_spans_many_ranges_is_added_up(spark):
-    """One pair in every text, each time with other words behind it: the scan's ranges cut through its contexts."""
-    rows = [("en", f"hot pair {i % 90} {i} tail") for i in range(900)]
+@pytest.mark.parametrize("hot", [1, 40, 1 << 19])
+def test_phrases_of_hot_words_are_added_up_over_groups(spark, monkeypatch, hot):
+    """One pair in every text, each time with other words behind it: its contexts are dealt over many groups."""
+    monkeypatch.setattr(phrases, "HOT", hot)
+    monkeypatch.setattr(phrases, "PART", 100)
+    monkeypatch.setattr(phrases, "WORDS", 64)
+    rows = [("en", f"hot pair {i % 90} {i % 45} tail") for i in range(900)]
     docs = spark.createDataFrame(rows, "lang string, text string")
-    contexts = phrases._contexts(
-        docs.select("lang", F.col("text").cast("binary")),
-        phrases._bitmap(docs.select("lang", F.explode(F.split("text", " ")).alias("phrase"))),
-        5,
-    )
-    ranges = contexts.repartitionByRange(16, "lang", "phrase").sortWithinPartitions("lang", "phrase")
-    scanned = ranges.mapInArrow(phrases._scan(10, 5), "lang string, phrase string, times long")
-    assert scanned.where("phrase = 'hot pair'").count() > 1
-    total = scanned.groupBy("phrase").agg(F.sum("times").alias("f")).where("f >= 10").collect()
-    assert {r.phrase: r.f for r in total} == {"hot pair": 900} | {f"hot pair {i}": 10 for i in range(90)} | {
-        f"pair {i}": 10 for i in range(90)
-    }
+    found = sorted(tuple(r) for r in phrases.collocations(docs.repartition(6), least=10).collect())
+    assert found == _brute(rows, 10, 5, 100, 2000)
+    counts, totals = phrases.phrase_counts(docs, least=10)
+    assert {r.phrase: r.times for r in counts.collect()}["hot pair"] == 900
+    assert [tuple(r) for r in totals.collect()] == [("en", 4500)]
 
 
 def test_products_beyond_64_bits(spark):
