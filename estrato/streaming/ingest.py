@@ -16,14 +16,12 @@ from estrato.session import path_exists
 from estrato.sources.layers import read_table, stream_table, write_bronze
 from estrato.sources.lineage import LINEAGE, add_stream_lineage
 from estrato.streaming.events import FIELDS, REASON, parse_events, split_valid
+from estrato.streaming.ledger import EVENT_ID, OffsetLedger, spans_of, within, write_once
 
 logger = logging.getLogger(__name__)
 
 BatchSink = Callable[[DataFrame, int], None]
 
-# What names an event of a broker once and for all.
-EVENT_ID = ("topic", "partition", "offset")
-
 
 def kafka_events(
     spark: SparkSession, servers: str, topic: str, per_batch: int = 10_000_000, **options: str
@@ -46,40 +44,48 @@ def kafka_events(
 def not_held(batch: DataFrame, held: DataFrame | None) -> DataFrame:
     """The events of ``batch`` that ``held`` has no row of, by topic, partition and offset.
 
-    Only the offsets that the batch spans are looked up, a filter that reaches the scan of ``held``.
+    Only the offsets that the batch spans in each partition are looked up, a filter that reaches the scan of ``held``.
     """
     events = batch.select(*EVENT_ID, *FIELDS)
-    if held is None:
-        return events
-    span = events.agg(F.min("offset").alias("low"), F.max("offset").alias("high")).first()
-    if span.low is None:
+    spans = spans_of(events) if held is not None else []
+    if not spans:
         return events
-    known = held.where(F.col("offset").between(span.low, span.high)).select(*EVENT_ID)
-    return events.join(known, [*EVENT_ID], "left_anti")
+    return events.join(held.where(within(spans)).select(*EVENT_ID), [*EVENT_ID], "left_anti")
 
 
-def jdbc_mirror(url: str, table: str, properties: Mapping[str, str] | None = None) -> BatchSink:
+def jdbc_mirror(
+    url: str, table: str, properties: Mapping[str, str] | None = None, ledger: str | None = None
+) -> BatchSink:
     """A sink that appends event ids and the 15 business columns to a relational table, one transaction per task.
 
-    The table must exist. A batch that is delivered again, whole or in part, leaves no event twice: rows whose
-    topic, partition and offset the table already holds are left out.
+    The table must exist. A batch that is delivered again, whole or in part, leaves no event twice. With ``ledger``,
+    a folder for the ranges already written, a repeated batch is recognised without reading the table; without it,
+    or for ranges whose write failed, rows are left out whose topic, partition and offset the table holds.
     """
     options = dict(properties or {})
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        held = batch.sparkSession.read.jdbc(url, table, properties=options)
-        not_held(batch, held).write.jdbc(url, table, mode="append", properties=options)
+        held = lambda: batch.sparkSession.read.jdbc(url, table, properties=options)
+        write = lambda rows: rows.write.jdbc(url, table, mode="append", properties=options)
+        if ledger is None:
+            write(not_held(batch, held()))
+        else:
+            write_once(batch.select(*EVENT_ID, *FIELDS), batch_id, OffsetLedger(ledger), held, write)
 
     return append
 
 
-def parquet_mirror(path: str) -> BatchSink:
+def parquet_mirror(path: str, ledger: str | None = None) -> BatchSink:
     """The same mirror as Parquet files."""
 
     def append(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        held = read_table(spark, path) if path_exists(spark, path) else None
-        not_held(batch, held).write.mode("append").parquet(path)
+        held = lambda: read_table(spark, path) if path_exists(spark, path) else None
+        write = lambda rows: rows.write.mode("append").parquet(path)
+        if ledger is None:
+            write(not_held(batch, held()))
+        else:
+            write_once(batch.select(*EVENT_ID, *FIELDS), batch_id, OffsetLedger(ledger), held, write)
 
     return append
 

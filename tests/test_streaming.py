@@ -6,10 +6,12 @@ from pyspark.sql import DataFrameReader, DataFrameWriter
 from pyspark.sql import functions as F
 
 from estrato.plans import silver
+from estrato.session import path_exists
 from estrato.sources.layers import read_layer, read_table
 from estrato.streaming.events import FIELDS, decode, given_fields, has_required, parse_events, split_valid
 from estrato.sources.lineage import LINEAGE, add_stream_lineage
-from estrato.streaming.ingest import EVENT_ID, bronze_sink, deliver, jdbc_mirror, parquet_mirror, start_ingest
+from estrato.streaming.ingest import bronze_sink, deliver, jdbc_mirror, parquet_mirror, start_ingest
+from estrato.streaming.ledger import EVENT_ID, OffsetLedger, offset_ranges, write_once
 
 GOOD = {"ano": 2027, "sigla_uf": "TO", "serie": 4, "rede": 3, "taxa_alfabetizacao": 41.25, "media_portugues": 655.5}
 CAME = datetime(2024, 5, 1, 12, 29, 59, 250000)
@@ -234,3 +236,65 @@ def test_rejects_without_a_sink_are_counted_and_logged(spark, caplog):
     assert sorted(told) == [
         "micro-batch 7: 1 events rejected (required)", "micro-batch 7: 2 events rejected (decode)",
     ]
+
+
+def _spied(path, ledger, read, fail=()):
+    """A mirror with a ledger that notes what it reads and writes; ``fail`` names writes that break half-way."""
+    written = []
+
+    def append(batch, batch_id):
+        def held():
+            read.append(batch_id)
+            return read_table(batch.sparkSession, path) if path_exists(batch.sparkSession, path) else None
+
+        def write(rows):
+            half = rows.where("offset % 2 = 0") if batch_id in fail else rows
+            half.write.mode("append").parquet(path)
+            if batch_id in fail:
+                raise OSError("connection lost")
+            written.append(rows.count())
+
+        write_once(batch.select(*EVENT_ID, *FIELDS), batch_id, OffsetLedger(ledger), held, write)
+
+    return append, written
+
+
+def _events(spark, *places):
+    return spark.createDataFrame(
+        [("events", p, n, CAME, bytearray(json.dumps({**GOOD, "ano": 2000 + n}).encode())) for p, n in places], EVENT_SCHEMA
+    )
+
+
+def test_a_ledger_knows_a_repeated_batch_without_reading_the_mirror(spark, tmp_path):
+    path, read = str(tmp_path / "mirror"), []
+    mirror, written = _spied(path, str(tmp_path / "ledger"), read)
+    batches = [[(0, 1), (0, 2), (1, 900)], [(0, 3), (0, 5), (1, 901)]]
+    for number, places in enumerate(batches):
+        deliver(_events(spark, *places), number, mirror=mirror, bronze=None, rejects=None)
+    deliver(_events(spark, *batches[1]), 1, mirror=mirror, bronze=None, rejects=None)
+    assert (read, written) == ([], [3, 3])
+    # Offset 4 lies between written ones but never came; offset 2 comes again with it, and twice.
+    deliver(_events(spark, (0, 4), (0, 2), (0, 2), (1, 4)), 2, mirror=mirror, bronze=None, rejects=None)
+    assert (read, written) == ([], [3, 3, 2])
+    held = [(r.partition, r.offset) for r in read_table(spark, path).collect()]
+    assert sorted(held) == [(0, 1), (0, 2), (0, 3), (0, 4), (0, 5), (1, 4), (1, 900), (1, 901)]
+
+
+def test_a_write_that_broke_half_way_is_completed(spark, tmp_path):
+    path, ledger, read = str(tmp_path / "mirror"), str(tmp_path / "ledger"), []
+    broken, _ = _spied(path, ledger, read, fail={7})
+    places = [(0, n) for n in range(6)] + [(1, 40), (1, 41)]
+    with pytest.raises(OSError):
+        deliver(_events(spark, *places), 7, mirror=broken, bronze=None, rejects=None)
+    mirror, written = _spied(path, ledger, read)
+    deliver(_events(spark, *places, (0, 6)), 7, mirror=mirror, bronze=None, rejects=None)
+    assert (read, written) == ([7], [5])
+    deliver(_events(spark, *places, (0, 6)), 8, mirror=mirror, bronze=None, rejects=None)
+    assert (read, written) == ([7], [5])
+    assert read_table(spark, path).count() == 9
+
+
+def test_ranges_have_no_gaps(spark):
+    events = spark.createDataFrame([("t", 0, n) for n in (1, 2, 3, 3, 7, 9, 10)] + [("u", 0, 2)], "topic string, partition int, offset long")
+    found = sorted((r.topic, r.low, r.high) for r in offset_ranges(events).collect())
+    assert found == [("t", 1, 3), ("t", 7, 7), ("t", 9, 10), ("u", 2, 2)]
