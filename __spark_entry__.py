@@ -29,6 +29,7 @@ from estrato.operators.rollup import sample_rollup  # noqa: E402
 from estrato.operators.standardize import standardize  # noqa: E402
 from estrato.operators.territory import with_region, with_territory  # noqa: E402
 from estrato.plans import gold, quality, reports, silver, starschema  # noqa: E402
+from estrato.plans.incremental import fold  # noqa: E402
 from estrato.plans.layers import run_layer  # noqa: E402
 from estrato.session import new_folder, path_exists, stage, use_shared_folder  # noqa: E402
 from estrato.sources.batch import ingest  # noqa: E402
@@ -288,6 +289,88 @@ def stream_mirror_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, f"{folder}/mirror").select(*FIELDS)
 
 
+def stream_redelivery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mirror after the whole stream came twice; its ledger knows what was written."""
+    folder = new_folder(spark, "redelivery")
+    mirror = parquet_mirror(f"{folder}/mirror", ledger=f"{folder}/ledger")
+    for delivery in ("first", "second"):
+        events = starschema.broker_events(spark, starschema.event_stream(spark, sf_dir))
+        query = start_ingest(events, f"{folder}/{delivery}", mirror=mirror, available_now=True)
+        query.awaitTermination()
+    return read_table(spark, f"{folder}/mirror").select(*FIELDS)
+
+
+# Years of arrival of three deliveries that are folded into silver one after the other.
+DELIVERIES = (("0000", "1997"), ("1998", "1999"), ("2000", "9999"))
+
+
+def _fold_deliveries(spark: SparkSession, sf_dir: str, label: str):
+    """Each delivery with what folding it did, and the lake."""
+    spec = silver.MUNICIPIO
+    cfg = LakeConfig(root=new_folder(spark, label), environment="prod")
+    year = F.substring("_ingestion_date", 1, 4)
+    done = []
+    for first, last in DELIVERIES:
+        rows = _bronze(spec)(spark, sf_dir).where(year.between(first, last))
+        write_bronze(rows, cfg.path("bronze", spec.name), preserve_history=True, many_dates=True)
+        done.append((rows, fold(spark, cfg, spec, slices=8)))
+    return cfg, done
+
+
+def incremental_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cfg, _ = _fold_deliveries(spark, sf_dir, "incremental")
+    return read_layer(spark, cfg, "silver", silver.MUNICIPIO.name).drop("_slice")
+
+
+def incremental_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows and dates that arrived with each delivery beside those that folding it read."""
+    _, done = _fold_deliveries(spark, sf_dir, "incremental-report")
+    reports_ = [
+        rows.agg(
+            F.lit(number).alias("entrega"),
+            F.count(F.lit(1)).alias("linhas"),
+            F.count_distinct("_ingestion_date").alias("datas"),
+            F.lit(result.bronze_rows).cast("bigint").alias("linhas_lidas"),
+            F.lit(result.folders_read).cast("bigint").alias("datas_lidas"),
+            F.lit(result.whole).alias("completa"),
+        )
+        for number, (rows, result) in enumerate(done, 1)
+    ]
+    return reduce(DataFrame.unionByName, reports_)
+
+
+def step_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each step of the silver layer read, beside the stored bronze table and the sizes of its files."""
+    cfg = _bronze_lake(spark, sf_dir, "statistics")
+    rows = []
+    for step in run_layer(spark, cfg, "silver"):
+        path = cfg.path("bronze", step.table)
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+        sizes = files.agg((F.sum("length") == step.bytes_read).alias("bytes_conferem"))
+        counted = read_layer(spark, cfg, "bronze", step.table).agg(
+            F.lit(step.table).alias("tabela"),
+            F.count(F.lit(1)).alias("linhas_bronze"),
+            F.lit(step.engine.rows_scanned).cast("bigint").alias("linhas_varridas"),
+            F.lit(0 < step.engine.bytes_scanned).alias("com_bytes_varridos"),
+            F.lit(step.engine.engine_ms > 0).alias("com_tempo"),
+        )
+        rows.append(counted.withColumn("um", F.lit(1)).join(sizes.withColumn("um", F.lit(1)), "um").drop("um"))
+    return reduce(DataFrame.unionByName, rows)
+
+
+def catalog_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A registered bronze table that grows by dates, read through the catalog."""
+    spec = silver.META_BRASIL
+    path = new_folder(spark, "catalog-dates")
+    year = F.substring("_ingestion_date", 1, 4)
+    for first, last in DELIVERIES:
+        rows = _bronze(spec)(spark, sf_dir).where(year.between(first, last))
+        where = {"database": "bronze_catalog", "table": f"{spec.name}_by_date", "register": True}
+        write_bronze(rows, path, preserve_history=True, many_dates=True, **where)
+    typed = standardize(spark.table(f"bronze_catalog.{spec.name}_by_date"), spec.casts, passthrough=LINEAGE)
+    return latest_by_key(typed, spec.key, silver.newest_first())
+
+
 def batch_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = starschema.table(spark, sf_dir, "orders")
     return add_batch_lineage(orders, "pedidos", "vendas", "orders", execution_id(AT), AT)
@@ -417,10 +500,15 @@ def queries() -> dict[str, Query]:
         "stream_lineage": stream_lineage,
         "stream_ingest_roundtrip": stream_ingest_roundtrip,
         "stream_mirror_roundtrip": stream_mirror_roundtrip,
+        "stream_redelivery": stream_redelivery,
         "batch_and_stream_silver": batch_and_stream_silver,
         "shared_bronze_silver": shared_bronze_silver,
         "reject_roundtrip": reject_roundtrip,
         "catalog_roundtrip": catalog_roundtrip,
+        "catalog_by_date": catalog_by_date,
+        "incremental_silver": incremental_silver,
+        "incremental_report": incremental_report,
+        "step_statistics": step_statistics,
         "batch_lineage": batch_lineage,
         "bronze_batch_ingest": bronze_batch_ingest,
         "bronze_partitioned_roundtrip": bronze_partitioned_roundtrip,

@@ -5,8 +5,9 @@ from __future__ import annotations
 import io
 import logging
 import time
-from collections.abc import Callable, Mapping, Sequence
-from contextlib import redirect_stdout
+import uuid
+from collections.abc import Callable, Iterator, Mapping, Sequence
+from contextlib import contextmanager, redirect_stdout
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from estrato.config import LakeConfig
 from estrato.plans import gold, quality, silver
-from estrato.session import path_exists, stage
+from estrato.session import file_bytes, path_exists, stage
 from estrato.sources.layers import read_layer, stream_table, write_layer
 
 logger = logging.getLogger(__name__)
@@ -31,6 +32,55 @@ class Step:
     build: Callable[[ReadTable, gold.Keep], DataFrame]
 
 
+@contextmanager
+def job_group(spark: SparkSession, group: str) -> Iterator[None]:
+    """Run the jobs started inside under a group of their own; the caller's group comes back afterwards."""
+    context = spark.sparkContext
+    names = ("spark.jobGroup.id", "spark.job.description", "spark.job.interruptOnCancel")
+    before = [(name, context.getLocalProperty(name)) for name in names]
+    context.setJobGroup(group, group)
+    try:
+        yield
+    finally:
+        for name, value in before:
+            context.setLocalProperty(name, value)
+
+
+@dataclass(frozen=True)
+class EngineStats:
+    """Sums over all tasks of a step: bytes and rows scanned and written, bytes shuffled, milliseconds of run time."""
+
+    bytes_scanned: int
+    rows_scanned: int
+    bytes_written: int
+    bytes_shuffled: int
+    engine_ms: int
+
+
+def engine_stats(spark: SparkSession, group: str) -> EngineStats:
+    """What the jobs of a job group did, from Spark's own record of their stages.
+
+    Scanned bytes are those that tasks took from storage, so columns and row groups that a scan skips do not count.
+    A stage that several jobs share counts once, one that was not needed not at all.
+    """
+    context = spark._jsc.sc()
+    context.listenerBus().waitUntilEmpty()
+    tracker = spark.sparkContext.statusTracker()
+    jobs = [tracker.getJobInfo(job) for job in tracker.getJobIdsForGroup(group)]
+    totals = [0, 0, 0, 0, 0]
+    for stage_id in sorted({s for job in jobs if job for s in job.stageIds}):
+        if tracker.getStageInfo(stage_id) is None:
+            continue
+        done = context.statusStore().lastStageAttempt(stage_id)
+        if done.numCompleteTasks():
+            own = (
+                done.inputBytes(), done.inputRecords(), done.outputBytes(), done.shuffleWriteBytes(),
+                done.executorRunTime(),
+            )
+            totals = [a + b for a, b in zip(totals, own)]
+    return EngineStats(*totals)
+
+
 @dataclass(frozen=True)
 class StepResult:
     layer: str
@@ -39,6 +89,8 @@ class StepResult:
     seconds: float
     path: str | None
     plan: str | None = None
+    bytes_read: int | None = None  # sizes of the stored files the step reads, each file once
+    engine: EngineStats | None = None  # what its tasks did
 
 
 def _one(read: ReadTable, table: str) -> DataFrame:
@@ -108,32 +160,49 @@ def run_layer(
     """Rebuild every table of ``layer`` in order; the first failure stops the run.
 
     A dry run returns the plan of each table, runs no job and writes nothing. Row counts come from the write
-    itself. A stream's bronze table feeds the silver table of its name by itself; ``more_bronze`` names further ones.
+    itself, engine figures from Spark's record of the step's jobs. A stream's bronze table feeds the silver table of its name by itself; ``more_bronze`` names further ones.
     """
     if layer not in STEPS:
         raise ValueError(f"no steps for layer {layer!r}; known: {sorted(STEPS)}")
 
+    inputs: dict[str, list[str]] = {}
+
     def read(source_layer: str, table: str) -> list[DataFrame]:
         names = [table]
         if source_layer == "bronze":
             streamed = stream_table(table)
             names += [streamed] if path_exists(spark, cfg.path("bronze", streamed)) else []
             names += (more_bronze or {}).get(table, ())
-        return [read_layer(spark, cfg, source_layer, name) for name in names]
+        frames = [read_layer(spark, cfg, source_layer, name) for name in names]
+        if not dry_run:
+            inputs.update({f"{source_layer}.{name}": df.inputFiles() for name, df in zip(names, frames)})
+        return frames
 
-    results: list[StepResult] = []
-    for step in STEPS[layer]:
+    def run(step: Step) -> StepResult:
         started = time.monotonic()
-        df = step.build(read, _unstored if dry_run else stage)
+        inputs.clear()
         if dry_run:
-            plan = _plan_text(df)
+            plan = _plan_text(step.build(read, _unstored))
             logger.info("dry run: %s.%s\n%s", layer, step.table, plan)
-            results.append(StepResult(layer, step.table, None, time.monotonic() - started, None, plan))
-            continue
-        seen = Observation(f"{layer}_{step.table}")
-        observed = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-        path = write_layer(observed, cfg, layer, step.table, register=register)
-        result = StepResult(layer, step.table, seen.get["rows"], time.monotonic() - started, path)
-        logger.info("%s.%s: %s rows in %.1f s", layer, step.table, result.rows, result.seconds)
-        results.append(result)
-    return results
+            return StepResult(layer, step.table, None, time.monotonic() - started, None, plan)
+        group = f"{layer}.{step.table}-{uuid.uuid4().hex[:12]}"
+        with job_group(spark, group):
+            seen = Observation(f"{layer}_{step.table}")
+            observed = step.build(read, stage).observe(seen, F.count(F.lit(1)).alias("rows"))
+            path = write_layer(observed, cfg, layer, step.table, register=register)
+        result = StepResult(
+            layer,
+            step.table,
+            seen.get["rows"],
+            time.monotonic() - started,
+            path,
+            bytes_read=file_bytes(spark, {name for names in inputs.values() for name in names}),
+            engine=engine_stats(spark, group),
+        )
+        logger.info(
+            "%s.%s: %s rows in %.1f s; %s bytes in the files read, %s",
+            layer, step.table, result.rows, result.seconds, result.bytes_read, result.engine,
+        )
+        return result
+
+    return [run(step) for step in STEPS[layer]]

@@ -42,16 +42,18 @@ class SilverSpec:
     key_name: str
 
 
-def build(spec: SilverSpec, *bronze: DataFrame) -> DataFrame:
-    """Standardise, keep the newest row per key, then add flags and the composite key.
+def typed(spec: SilverSpec, *bronze: DataFrame) -> DataFrame:
+    """The rows of one or several bronze tables, brought to the same types and united."""
+    return reduce(DataFrame.unionByName, [standardize(b, spec.casts, passthrough=LINEAGE) for b in bronze])
+
+
+def newest(spec: SilverSpec, rows: DataFrame) -> DataFrame:
+    """The newest row of each key among typed rows, with flags and the composite key.
 
-    Several bronze tables (a batch load and a stream, say) are brought to the same types before they are united.
     Flags and key depend on the row alone, so they are computed after deduplication: the shuffle carries
     neither, and rows that are dropped never pay for them.
     """
-    typed = reduce(DataFrame.unionByName, [standardize(b, spec.casts, passthrough=LINEAGE) for b in bronze])
-    newest = latest_by_key(typed, spec.key, newest_first())
-    return newest.select(
+    return latest_by_key(rows, spec.key, newest_first()).select(
         *[c.name for c in spec.casts],
         *[rule().alias(name) for name, rule in spec.flags.items()],
         business_key(*spec.key).alias(spec.key_name),
@@ -59,6 +61,11 @@ def build(spec: SilverSpec, *bronze: DataFrame) -> DataFrame:
     )
 
 
+def build(spec: SilverSpec, *bronze: DataFrame) -> DataFrame:
+    """Standardise (a batch load and a stream, say), keep the newest row per key, then add flags and composite key."""
+    return newest(spec, typed(spec, *bronze))
+
+
 def _percent(name: str) -> Cast:
     return Cast(name, DOUBLE, f"{name}_pct")
 

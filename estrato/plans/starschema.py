@@ -45,6 +45,10 @@ def _lineage(table: str, day: str, later: str = "0") -> str:
         CAST(year({day}) AS STRING) || '1231T' || {hour} || {minute} || '00Z' AS _execution_id"""
 
 
+# Rows with flag R are delivered twice; every row, whatever its flag, once at least.
+RESENT = """JOIN (VALUES (0, 0), (1, 0), (1, 1)) AS deliveries (times, resent)
+        ON CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END = times"""
+
 _ALUNOS = f"""
     SELECT
         CASE WHEN l_quantity = 50 AND l_tax = 0.08 THEN 'n/d' ELSE CAST({_YEAR} AS STRING) END AS ano,
@@ -69,7 +73,7 @@ _ALUNOS = f"""
              ELSE CAST(round(l_discount * 100) / 8e0 AS STRING) END AS peso_aluno,
         {_lineage("alunos", "l_shipdate", "11 * resent")}
     FROM {{lineitem}}
-    JOIN (VALUES ('A', 0), ('N', 0), ('R', 0), ('R', 1)) AS deliveries (flag, resent) ON l_returnflag = flag"""
+    {RESENT}"""
 
 _LEVEL_COUNTS = ",\n            ".join(
     f"sum(CASE WHEN floor((l_quantity - 1) / 6) = {n} THEN 1 ELSE 0 END) AS level_{n}" for n in range(9)

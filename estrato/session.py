@@ -108,6 +108,35 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(target)
 
 
+def child_folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders directly inside ``path``; files below them are not listed."""
+    target, files = _file_system(spark, path)
+    return sorted(f.getPath().getName() for f in files.listStatus(target) if f.isDirectory())
+
+
+def data_files(spark: SparkSession, path: str) -> dict[str, int]:
+    """Files directly inside ``path`` that Spark's readers see, by name with their sizes; none if it is not there."""
+    target, files = _file_system(spark, path)
+    if not files.exists(target):
+        return {}
+    seen = [f for f in files.listStatus(target) if f.isFile()]
+    return {f.getPath().getName(): f.getLen() for f in seen if f.getPath().getName()[0] not in "_."}
+
+
+def file_bytes(spark: SparkSession, files: set[str]) -> int:
+    """Sizes of files named as ``DataFrame.inputFiles`` names them, from one listing of each of their folders."""
+    jvm, total = spark.sparkContext._jvm, 0
+    wanted: dict[str, set[str]] = {}
+    for name in files:
+        folder, _, own = name.rpartition("/")
+        wanted.setdefault(folder, set()).add(own)
+    for folder, names in wanted.items():
+        target = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(folder + "/"))
+        system = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        total += sum(f.getLen() for f in system.listStatus(target) if f.getPath().getName() in names)
+    return total
+
+
 def drop_staged(spark: SparkSession) -> None:
     """Delete every staged table of this application; call it when the frames that read them are done.
 

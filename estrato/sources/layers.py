@@ -4,15 +4,17 @@ from __future__ import annotations
 
 import json
 import uuid
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from estrato.config import LakeConfig
-from estrato.session import path_exists, read_text, switch_folder, write_text
+from estrato.session import child_folders, path_exists, read_text, switch_folder, write_text
 
 PARTITION = "_ingestion_date"
+NO_DATE = "__HIVE_DEFAULT_PARTITION__"
 SCHEMA_FILE = "_schema.json"  # Spark's readers skip names with a leading underscore
 
 
@@ -64,22 +66,56 @@ def read_layer(spark: SparkSession, cfg: LakeConfig, layer: str, table: str) ->
     return read_table(spark, cfg.path(layer, table))
 
 
+def _registered(spark: SparkSession, name: str, path: str, partitioned: bool) -> T.StructType | None:
+    """The columns of the catalog table ``name`` if it lies at ``path``, with or without partitions as asked."""
+    if not spark.catalog.tableExists(name):
+        return None
+    told = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name}").collect()}
+    same_place = told.get("Location", "").split(":", 1)[-1].strip("/") == path.split(":", 1)[-1].strip("/")
+    if not same_place or partitioned != ("# Partition Information" in told):
+        return None
+    return spark.table(name).schema
+
+
+def _partition(day: str) -> str:
+    return f"PARTITION ({PARTITION} = '" + day.replace("\\", "\\\\").replace("'", "\\'") + "')"
+
+
 def register_table(spark: SparkSession, database: str, table: str, path: str, partitioned: bool) -> None:
-    """Point a catalog table at the Parquet files under ``path``, with their schema and partitions of now.
+    """Bring a catalog table in line with the Parquet files under ``path``; it is external, no file is touched.
 
-    The table is external, so replacing an earlier entry touches no files.
+    A table that is there stays there: new columns are added to it, dates that have appeared are added and dates whose
+    folder is gone are dropped, so readers never find it missing and dates that stay are not listed again. Only if a
+    column has gone or changed its type is the table made anew.
     """
     schema = read_table(spark, path).schema
     name = f"`{database}`.`{table}`"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{database}`")
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(
-        f"CREATE TABLE {name} ({schema.toDDL()}) USING parquet "
-        + (f"PARTITIONED BY ({PARTITION}) " if partitioned else "")
-        + "LOCATION '{}'".format(path.replace("\\", "\\\\").replace("'", "\\'"))
-    )
+    known = _registered(spark, name, path, partitioned)
+    types = {f.name: f.dataType for f in schema}
+    if known is None or any(types.get(f.name) != f.dataType for f in known):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.sql(
+            f"CREATE TABLE {name} ({schema.toDDL()}) USING parquet "
+            + (f"PARTITIONED BY ({PARTITION}) " if partitioned else "")
+            + "LOCATION '{}'".format(path.replace("\\", "\\\\").replace("'", "\\'"))
+        )
+    else:
+        fresh = T.StructType([f for f in schema if f.name not in known.names])
+        if fresh:
+            spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({fresh.toDDL()})")
     if partitioned:
-        spark.sql(f"MSCK REPAIR TABLE {name}")
+        there = {d.partition("=")[2] for d in child_folders(spark, path) if d.startswith(f"{PARTITION}=")}
+        listed = {r.partition.partition("=")[2] for r in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+        for verb, days in (("ADD IF NOT EXISTS", there - listed), ("DROP IF EXISTS", listed - there)):
+            days = sorted(unquote(d) for d in days if d != NO_DATE)
+            for low in range(0, len(days), 500):
+                some = [_partition(d) for d in days[low : low + 500]]
+                joined = (" " if verb.startswith("ADD") else ", ").join(some)
+                spark.sql(f"ALTER TABLE {name} {verb} {joined}")
+        if NO_DATE in there - listed:  # rows without a date have a folder that SQL cannot name
+            spark.sql(f"MSCK REPAIR TABLE {name}")
+    spark.catalog.refreshTable(name)
 
 
 def write_bronze(
@@ -116,16 +152,21 @@ def write_bronze(
 
 
 def write_layer(
-    df: DataFrame, cfg: LakeConfig, layer: str, table: str, *, register: bool = False
+    df: DataFrame, cfg: LakeConfig, layer: str, table: str, *, register: bool = False, partition: str | None = None
 ) -> str:
-    """Replace one derived table as unpartitioned Snappy Parquet and return its path. Bronze is refused.
+    """Replace one derived table as Snappy Parquet and return its path. Bronze is refused.
+
+    Without ``partition``, the last column of ``df``, the table has no folders inside.
 
     The table is written aside and then takes the old one's place, so a failed write leaves the old table.
     """
+    if partition and register:
+        raise ValueError("a derived table in folders is not registered")
     path = cfg.path(layer, table)
     cfg.require_rebuildable(path)
     fresh = f"{path.rstrip('/')}.next-{uuid.uuid4().hex[:12]}"
-    df.write.format("parquet").option("compression", "snappy").save(fresh)
+    writer = df.write.format("parquet").option("compression", "snappy")
+    (writer.partitionBy(partition) if partition else writer).save(fresh)
     derived = T.StructType([T.StructField(f.name, f.dataType) for f in df.schema])
     write_text(df.sparkSession, f"{fresh}/{SCHEMA_FILE}", derived.json())
     switch_folder(df.sparkSession, fresh, path)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from estrato.plans.starschema import BRONZE_SQL, EVENTS_SQL
+from estrato.plans.starschema import BRONZE_SQL, EVENTS_SQL, RESENT
 
 
 class Check(NamedTuple):
@@ -513,6 +513,11 @@ STREAM_BRONZE = f"""
     FROM parsed_events WHERE reject_reason IS NULL"""
 
 
+# All rows of lineitem, and those with flag R a second time.
+DELIVERIES = """(
+    SELECT *, 0 AS resent FROM lineitem UNION ALL SELECT *, 1 AS resent FROM lineitem WHERE l_returnflag = 'R')"""
+
+
 def _for_duckdb(text: str) -> str:
     for name in ("lineitem", "events"):
         text = text.replace("{" + name + "}", name)
@@ -523,7 +528,7 @@ def _ctes() -> dict[str, str]:
     """All named steps, each after the steps it reads."""
     steps: dict[str, str] = {"states": STATES_SQL}
     for table in COLUMNS:
-        steps[f"bronze_{table}"] = _for_duckdb(BRONZE_SQL[table])
+        steps[f"bronze_{table}"] = _for_duckdb(BRONZE_SQL[table].replace(f"{{lineitem}}\n    {RESENT}", DELIVERIES))
         steps[f"typed_{table}"] = _typed(table, f"bronze_{table}")
         steps[f"newest_{table}"] = _newest(table, f"typed_{table}")
         steps[f"silver_{table}"] = _with_flags(table, f"newest_{table}")
@@ -643,12 +648,25 @@ def statements() -> dict[str, str]:
         "stream_lineage": "SELECT * EXCLUDE (arrived, arrived_offset) FROM stream_bronze",
         "stream_ingest_roundtrip": "SELECT * FROM silver_stream",
         "stream_mirror_roundtrip": f"SELECT {', '.join(EVENT_TYPES)} FROM parsed_events WHERE reject_reason IS NULL",
+        "stream_redelivery": f"SELECT {', '.join(EVENT_TYPES)} FROM parsed_events WHERE reject_reason IS NULL",
         "batch_and_stream_silver": "SELECT * FROM silver_hybrid",
         "shared_bronze_silver": "SELECT * FROM silver_hybrid",
         "reject_roundtrip": """
             SELECT topic, partition, "offset", "timestamp", reject_reason
             FROM parsed_events WHERE reject_reason IS NOT NULL""",
         "catalog_roundtrip": "SELECT * FROM newest_meta_alfabetizacao_brasil",
+        "catalog_by_date": "SELECT * FROM newest_meta_alfabetizacao_brasil",
+        "incremental_silver": "SELECT * FROM silver_municipio",
+        "incremental_report": """
+            SELECT entrega, count(*) AS linhas, count(DISTINCT _ingestion_date) AS datas, count(*) AS linhas_lidas,
+                count(DISTINCT _ingestion_date) AS datas_lidas, entrega = 1 AS completa
+            FROM (SELECT _ingestion_date, CASE WHEN _ingestion_date < '1998' THEN 1 WHEN _ingestion_date < '2000' THEN 2
+                ELSE 3 END AS entrega FROM bronze_municipio) GROUP BY entrega""",
+        "step_statistics": " UNION ALL ".join(
+            f"""SELECT '{t}' AS tabela, count(*) AS linhas_bronze, count(*) AS linhas_varridas,
+                true AS com_bytes_varridos, true AS com_tempo, true AS bytes_conferem FROM bronze_{t}"""
+            for t in COLUMNS
+        ),
         "batch_lineage": f"SELECT *, {_batch_lineage('pedidos', 'vendas', 'orders')} FROM orders",
         "bronze_batch_ingest": " UNION ALL BY NAME ".join(
             f"SELECT *, {_batch_lineage(t, 'vendas', t)} FROM {t}" for t in ("customer", "supplier")

@@ -81,3 +81,18 @@ def test_registered_layers_are_catalog_tables(spark, loaded):
         assert spark.table("silver.uf").count() == 2
     finally:
         spark.sql("DROP DATABASE silver CASCADE")
+
+
+def test_steps_tell_what_they_read(spark, loaded, tmp_path):
+    spark.sparkContext.setJobGroup("mine", "the caller's group")
+    results = run_layer(spark, loaded, "silver")
+    assert spark.sparkContext.getLocalProperty("spark.jobGroup.id") == "mine"
+    for result in results:
+        files = (tmp_path / "lake/prod/bronze" / result.table).rglob("part-*.parquet")
+        assert result.bytes_read == sum(f.stat().st_size for f in files) > 0
+        assert result.engine.rows_scanned == len(ROWS[result.table])
+        assert result.engine.bytes_scanned > 0 and result.engine.bytes_written > 0 and result.engine.engine_ms > 0
+    gold = {r.table: r for r in run_layer(spark, loaded, "gold")}
+    used = ("uf", "meta_alfabetizacao_uf", "meta_alfabetizacao_brasil")
+    sizes = [f.stat().st_size for t in used for f in (tmp_path / "lake/prod/silver" / t).rglob("part-*.parquet")]
+    assert gold["evolucao_alfabetizacao_uf"].bytes_read == sum(sizes)

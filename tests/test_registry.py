@@ -6,8 +6,10 @@ import re
 import pytest
 from compare import connect, differences
 from frames import plan_of
+from pyspark.sql import functions as F
 
 import __spark_entry__ as registry
+from estrato.plans import starschema
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 ORACLE = registry.oracle_sql()
@@ -21,7 +23,7 @@ WRITES = {
     "regional_inequality", "stream_ingest_roundtrip", "stream_mirror_roundtrip", "batch_and_stream_silver",
     "bronze_batch_ingest", "bronze_partitioned_roundtrip", "rebuild_all_layers", "shared_bronze_silver",
     "reject_roundtrip", "catalog_roundtrip", "stored_gold_metas", "stored_gold_evolucao", "stored_quality_results",
-    "dry_run",
+    "dry_run", "stream_redelivery", "catalog_by_date", "incremental_silver", "incremental_report", "step_statistics",
 }
 
 
@@ -54,3 +56,12 @@ def test_scans_read_only_needed_columns(spark):
     plan = plan_of(QUERIES["priority_band"](spark, SF_DIR))
     scans = [line for line in plan.splitlines() if "FileScan" in line]
     assert scans and all("l_comment" not in s and "l_partkey" not in s and "l_orderkey" not in s for s in scans)
+
+
+def test_every_row_of_lineitem_is_delivered_whatever_its_flag(spark):
+    rows = starschema.table(spark, SF_DIR, "lineitem").limit(9).withColumn(
+        "l_returnflag", F.element_at(F.array(F.lit("R"), F.lit(None), F.lit("Z")), (F.col("l_linenumber") % 3 + 1).cast("int"))
+    )
+    flags = rows.select("l_orderkey", "l_linenumber", "l_returnflag")
+    found = spark.sql(starschema.BRONZE_SQL["alunos"], lineitem=rows)
+    assert found.count() == 9 + flags.where("l_returnflag = 'R'").count()

@@ -1,3 +1,4 @@
+import threading
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -145,3 +146,39 @@ def test_a_rebuilt_table_replaces_the_old_one(spark, cfg):
     write_layer(spark.range(3).withColumn("y", F.lit(1)), cfg, "gold", "t")
     table = read_layer(spark, cfg, "gold", "t")
     assert (table.columns, table.count()) == (["id", "y"], 3)
+
+
+def test_readers_never_miss_a_table_that_is_registered_again(spark, tmp_path):
+    where = {"register": True, "database": "bronze_steady", "table": "t"}
+    path = str(tmp_path / "t")
+    write_bronze(_dated(spark, "2024-01-01", 1), path, **where)
+    failed, stop, reads = [], threading.Event(), []
+
+    def read():
+        while not stop.is_set():
+            try:
+                reads.append(spark.table("bronze_steady.t").where("_ingestion_date = '2024-01-01'").count())
+            except Exception as e:  # noqa: BLE001
+                failed.append(e)
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    try:
+        for day in range(2, 7):
+            delivered = _dated(spark, f"2024-01-0{day}", day)
+            if day > 3:
+                delivered = delivered.withColumn("y", F.lit("new"))
+            write_bronze(delivered, path, preserve_history=True, **where)
+    finally:
+        stop.set()
+        reader.join()
+    try:
+        assert failed == [] and reads and set(reads) == {1}
+        table = spark.table("bronze_steady.t")
+        assert table.columns == ["x", "y", "_ingestion_date"]
+        assert sorted((r.x, r.y) for r in table.collect()) == [(1, None), (2, None), (3, None), (4, "new"), (5, "new"), (6, "new")]
+        odd = spark.createDataFrame([(7, None, "it's 100%"), (8, None, None)], "x int, y string, _ingestion_date string")
+        write_bronze(odd, path, **where)
+        assert sorted((r.x, r._ingestion_date) for r in spark.table("bronze_steady.t").collect()) == [(7, "it's 100%"), (8, None)]
+    finally:
+        spark.sql("DROP DATABASE bronze_steady CASCADE")
