@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from estrato.llm.common import WordHasher, mixed, word_spans
+from estrato.llm.common import WordHasher, bitmap, holds, mixed, word_spans
 from estrato.session import stage
 
 WINDOW = 20  # words of a passage that counts as repeated
@@ -33,7 +33,7 @@ ANCHORS = 1 << 20  # anchors that a worker counts together
 BITS = 1 << 27  # size of the bitmap of repeated anchors, 16 MB as it is broadcast
 SHARD = 1 << 18  # words of a shard, about
 HOT = 1 << 14  # windows under one anchor from which they are dealt by their own content
-SEEN = 1 << 17  # segments whose words a task knows to have sent already
+SENT = 1 << 17  # segments whose words a task knows to have sent already
 
 _hash_words = WordHasher(13)
 _PLACES = np.random.default_rng(14).integers(0, 1 << 64, 256, np.uint64) | np.uint64(1)
@@ -84,6 +84,18 @@ def word_hashes(texts: list[bytes]) -> list[np.ndarray]:
     return out
 
 
+def _slices_of(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
+    """A batch in runs of rows with about ``BYTES`` of text, at least one row each."""
+    if batch.num_rows:
+        sizes = np.cumsum(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False))
+        cuts = np.unique(np.searchsorted(sizes, np.arange(BYTES, sizes[-1] + BYTES, BYTES), "right"))
+        low = 0
+        for high in [*np.clip(cuts, 1, batch.num_rows).tolist(), batch.num_rows]:
+            if high > low:
+                yield batch.slice(low, high - low)
+                low = high
+
+
 def _sliding(values: np.ndarray, width: int, best: np.ufunc) -> np.ndarray:
     """The least or greatest of every ``width`` neighbours."""
     span = 1
@@ -134,10 +146,11 @@ def _anchor_counts(window: int, shingle: int):
             return pa.RecordBatch.from_arrays(columns, ["anchor", "times"])
 
         for batch in batches:
-            for words in word_hashes([t.as_py() for t in batch.column(0)]):
-                found = anchors_of(words, window, shingle)[1]
-                gathered.append(found)
-                size += len(found)
+            for part in _slices_of(batch, "text"):
+                for words in word_hashes(part.column("text").to_pylist()):
+                    found = anchors_of(words, window, shingle)[1]
+                    gathered.append(found)
+                    size += len(found)
                 if size >= ANCHORS:
                     yield counted()
                     gathered, size = [], 0
@@ -147,44 +160,28 @@ def _anchor_counts(window: int, shingle: int):
     return run
 
 
-def _bitmap(anchors: DataFrame) -> np.ndarray:
-    """One bit for every anchor: BITS bits, however many anchors there are."""
-    bucket = F.col("anchor").bitwiseAND(F.lit(BITS - 1))
-    cells = (
-        anchors.select(bucket.alias("bucket"))
-        .groupBy(F.expr("shiftright(bucket, 6)").alias("cell"))
-        .agg(F.expr("bit_or(shiftleft(1L, int(bucket & 63)))").alias("bits"))
-        .toPandas()
-    )
-    bits = np.zeros(BITS // 64, np.uint64)
-    bits[cells["cell"].to_numpy(np.int64)] = cells["bits"].to_numpy(np.int64).view(np.uint64)
-    return bits
-
-
-_SEGMENT = "anchor long, digest binary, doc_id long, twin long, start long, windows int, words binary"
+_SEGMENT = "anchor long, doc_id long, twin long, start long, windows int, words binary"
 
 
 def _segments(docs: DataFrame, bits: np.ndarray, window: int, shingle: int) -> DataFrame:
-    """The segments whose anchors are repeated; a task sends the words of a segment once, then only its digest."""
+    """The segments whose anchors are repeated.
+
+    A task sends the words of a segment with its earliest place so far; later copies come with their place alone.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, seen = shared.value, set()
+        known, sent = shared.value, {}
         for batch in batches:
-            texts = [t.as_py() for t in batch.column(2)]
-            low, size = 0, 0
-            for high, text in enumerate(texts, 1):
-                size += len(text)
-                if size < BYTES and high < len(texts):
-                    continue
+            for part in _slices_of(batch, "text"):
                 out = []
-                ids, twins = batch.column(0)[low:high].to_pylist(), batch.column(1)[low:high].to_pylist()
-                for doc_id, twin, text, words in zip(ids, twins, texts[low:high], word_hashes(texts[low:high])):
+                texts = part.column("text").to_pylist()
+                names = zip(part.column("doc_id").to_pylist(), part.column("twin").to_pylist())
+                for (doc_id, twin), text, words in zip(names, texts, word_hashes(texts)):
                     anchors = anchors_of(words, window, shingle)[0]
                     starts, lengths = runs_of(anchors)
                     own = anchors[starts]
-                    places = own & np.uint64(BITS - 1)
-                    wanted = known[places >> np.uint64(6)] >> (places & np.uint64(63)) & np.uint64(1) == 1
+                    wanted = holds(known, (own & np.uint64(BITS - 1)).astype(np.int64))
                     if not wanted.any():
                         continue
                     spoken = text.split()
@@ -193,11 +190,13 @@ def _segments(docs: DataFrame, bits: np.ndarray, window: int, shingle: int) -> D
                     ):
                         passage = b" ".join(spoken[start : start + length + window - 1])
                         digest = hashlib.blake2b(passage, digest_size=16).digest()
-                        out.append((at, digest, doc_id, twin, start, length, None if digest in seen else passage))
-                        if len(seen) >= SEEN:
-                            seen.clear()
-                        seen.add(digest)
-                low, size = high, 0
+                        place = (doc_id is not None, doc_id or 0, twin, start)
+                        first = digest not in sent or place < sent[digest]
+                        out.append((at, doc_id, twin, start, length, passage if first else None))
+                        if first:
+                            if len(sent) >= SENT:
+                                sent.clear()
+                            sent[digest] = place
                 if out:
                     yield _batch(out, _SEGMENT)
 
@@ -320,11 +319,14 @@ _VERDICT = "doc_id long, twin long, start long, windows int, repeated binary"
 
 
 def _search(window: int):
-    """One shard: its passages in order of place, and for each a bit per window that is repeated."""
+    """One shard: each of its passages at the earliest place, and a bit for every window of it that is repeated."""
 
     def run(shard: pa.Table) -> pa.Table:
         keys = [(name, "ascending") for name in ("doc_id", "twin", "start")]
         shard = shard.take(pc.sort_indices(shard, keys, null_placement="at_start"))
+        known: set[bytes] = set()
+        fresh = [not (words in known or known.add(words)) for words in shard["words"].to_pylist()]
+        shard = shard.filter(pa.array(fresh))
         numbers: dict[bytes, int] = {}
         passages = [
             np.array([numbers.setdefault(w, len(numbers) + 1) for w in words.as_py().split(b" ")])
@@ -339,7 +341,6 @@ def _search(window: int):
 
 def _single_windows(window: int):
     """The windows of a passage one by one, each under the anchor that its own content gives."""
-    schema = "anchor long, digest binary, doc_id long, twin long, start long, windows int, words binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -347,38 +348,54 @@ def _single_windows(window: int):
                 words, out = row["words"].split(b" "), []
                 for i in range(row["windows"]):
                     passage = b" ".join(words[i : i + window])
-                    digest = hashlib.blake2b(passage, digest_size=16).digest()
-                    anchor = int.from_bytes(digest[:8], "big", signed=True)
-                    out.append((anchor, digest, row["doc_id"], row["twin"], row["start"] + i, 1, passage))
-                yield _batch(out, schema)
+                    anchor = int.from_bytes(hashlib.blake2b(passage, digest_size=8).digest(), "big", signed=True)
+                    out.append((anchor, row["doc_id"], row["twin"], row["start"] + i, 1, passage))
+                yield _batch(out, _SEGMENT)
 
-    return run, schema
+    return run
 
 
-def _earliest(segments: DataFrame) -> DataFrame:
+def _earliest(passages: DataFrame) -> DataFrame:
     """Each distinct passage at its earliest place."""
-    place = F.struct("doc_id", "twin", "start")
     return (
-        segments.groupBy("digest")
-        .agg(F.min(place).alias("place"), F.max("words").alias("words"), F.first("anchor").alias("anchor"),
-             F.first("windows").alias("windows"))
-        .select("anchor", "digest", "place.*", "windows", "words")
+        passages.groupBy("anchor", "words")
+        .agg(F.min(F.struct("doc_id", "twin", "start")).alias("place"), F.first("windows").alias("windows"))
+        .select("anchor", "place.*", "windows", "words")
     )
 
 
-def _applied(window: int):
-    """Documents with the places of their repeated segments: what is left of them."""
+def _touched(bits: np.ndarray, rows: DataFrame) -> DataFrame:
+    """The rows whose ``key`` is in a bitmap."""
+    shared = rows.sparkSession.sparkContext.broadcast(bits)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in _slices_of(batch, "text"):
+                yield part.filter(pa.array(holds(shared.value, part.column("key").to_numpy())))
+
+    return rows.mapInArrow(run, rows.schema)
+
+
+def _applied(window: int, found_elsewhere=None):
+    """Documents with the places of their repeated segments: what is left of them.
+
+    With a bitmap of keys, only documents that are not in it, and have no such segments.
+    """
     schema = "doc_id long, n_words long, n_removed long, spans array<struct<start:long,end:long>>, kept string"
     kinds = [pa.int64()] * 3 + [pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])), pa.string()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for low in range(0, batch.num_rows, 64):
+            for part in _slices_of(batch, "text"):
+                if found_elsewhere is not None:
+                    part = part.filter(pa.array(~holds(found_elsewhere.value, part.column("key").to_numpy())))
+                if not part.num_rows:
+                    continue
                 out = []
-                for row in batch.slice(low, 64).to_pylist():
+                for row in part.to_pylist():
                     words = row["text"].split()
                     gone = np.zeros(max(len(words) - window + 1, 0), bool)
-                    found = row["found"] or []
+                    found = row.get("found") or []
                     for f in found:
                         gone[f["start"] : f["start"] + f["windows"]] = True
                     for f in found:
@@ -411,7 +428,7 @@ def without_repeats(
 
     A null id is smaller than all others; rows of one id with different texts are ordered by a hash of the text, and
     rows equal in id and text are one document, so each has the same result. A null text has no words, other columns
-    are not read, no rows give no rows. Texts are read three times; between, only segments with repeated anchors move.
+    are not read, no rows give no rows. Texts are read four times; only segments with repeated anchors move, and texts that hold one.
     """
     rows = docs.select(
         F.col(id_column).cast("long").alias("doc_id"),
@@ -420,16 +437,17 @@ def without_repeats(
     )
     counted = rows.select("text").mapInArrow(_anchor_counts(window, shingle), "anchor long, times int")
     repeated = counted.groupBy("anchor").agg(F.sum("times").alias("times")).where("times > 1")
-    segments = stage(_segments(rows, _bitmap(repeated), window, shingle), "segments")
-
-    passages = stage(_earliest(segments), "passages")
-    crowded = passages.groupBy("anchor").agg(F.sum("windows").alias("n")).where(F.col("n") > HOT).select("anchor")
-    single, schema = _single_windows(window)
-    split = passages.join(crowded, "anchor", "left_semi").select(*passages.columns).mapInArrow(single, schema)
-    indexed = passages.join(crowded, "anchor", "left_anti").unionByName(_earliest(split))
-    indexed = stage(indexed, "indexed")
-    words = indexed.agg(F.sum(F.col("windows") + F.lit(window))).first()[0] or 0
+    known = bitmap(repeated.select(F.col("anchor").bitwiseAND(F.lit(BITS - 1)).alias("bucket")), BITS)
+    segments = stage(_segments(rows, known, window, shingle), "segments")
+
+    passages = segments.where("words IS NOT NULL")
+    sizes = passages.groupBy("anchor").agg(F.sum("windows").alias("n"))
+    crowded = stage(sizes.where(F.col("n") > HOT).select("anchor"), "crowded")
+    split = _earliest(passages.join(crowded, "anchor", "left_semi").select(*passages.columns))
+    split = _earliest(split.select(*passages.columns).mapInArrow(_single_windows(window), _SEGMENT))
+    words = passages.agg(F.sum(F.col("windows") + F.lit(window))).first()[0] or 0
     shards = max(1, -(-words // SHARD))
+    indexed = passages.join(crowded, "anchor", "left_anti").unionByName(split)
     dealt = indexed.withColumn("shard", F.pmod(F.xxhash64("anchor"), F.lit(shards)))
     verdicts = dealt.groupBy("shard").applyInArrow(_search(window), _VERDICT)
 
@@ -440,7 +458,14 @@ def without_repeats(
         .agg(F.collect_list(F.struct("start", "windows", "repeated")).alias("found"))
     )
     of = found.select(F.col("doc_id").alias("of_id"), F.col("twin").alias("of_twin"), "found")
-    joined = rows.join(of, F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("twin") == F.col("of_twin")), "left")
-    applied, schema = _applied(window)
-    done = joined.select("doc_id", "text", "found").mapInArrow(applied, schema)
-    return done.withColumnRenamed("doc_id", id_column)
+    # Texts without a segment need no places and do not move.
+    key = F.xxhash64("doc_id", "twin").bitwiseAND(F.lit(BITS - 1))
+    touched = bitmap(segments.select(key.alias("bucket")), BITS)
+    keyed = rows.withColumn("key", key)
+    same = F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("twin") == F.col("of_twin"))
+    joined = _touched(touched, keyed).join(of, same, "left")
+    run, schema = _applied(window)
+    changed = joined.select("doc_id", "text", "found").mapInArrow(run, schema)
+    run, schema = _applied(window, docs.sparkSession.sparkContext.broadcast(touched))
+    whole = keyed.select("doc_id", "key", "text").mapInArrow(run, schema)
+    return whole.unionByName(changed).withColumnRenamed("doc_id", id_column)

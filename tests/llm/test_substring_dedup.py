@@ -52,7 +52,7 @@ def test_removal_matches_brute_force(spark, monkeypatch, window, shingle, hot, s
     monkeypatch.setattr(sd, "HOT", hot)
     monkeypatch.setattr(sd, "SHARD", shard)
     monkeypatch.setattr(sd, "BYTES", 700)  # texts are cut into slices
-    monkeypatch.setattr(sd, "SEEN", 5)
+    monkeypatch.setattr(sd, "SENT", 5)
     texts = _texts(window + hot, 60)
     rows = [(None if i == 9 else 7 * i - 50, t) for i, t in enumerate(texts)]
     frame = _frame(spark, rows).repartition(5)
