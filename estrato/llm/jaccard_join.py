@@ -6,8 +6,9 @@ sets can only reach the threshold if their prefixes in that order share a token,
 k - 1 tokens, only if they share k. A document whose prefix looks expensive gets a longer one.
 
 Classes that share a prefix token form a list. A list is settled in two steps that never pair up all its members: each
-member is verified against one pivot, and then only members outside the pivot's component meet the others, under the
-position filter and the shared-token count. Members of one component need no further link.
+member meets one pivot, and then only members outside the pivot's component meet the others. Members of one component
+need no further link. In both steps a pair is verified only if its prefixes share as many tokens as prefixes of their
+lengths must, for sets of their sizes; that is one token only for the most unequal sizes.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.types import LongType
 
 from estrato.llm.common import LOWER, WordHasher, mixed, word_spans
@@ -33,6 +35,7 @@ CHUNK = 1 << 21  # tokens that one pass counts together
 COST = 1024  # mean list length of a prefix's tokens up to which it stays as it is; pivots settle shorter lists
 LONGEST = 8  # shared tokens asked for at most
 BITS = 1 << 26  # size of the bitmap of wanted nodes, 8 MB as it is broadcast
+LARGE = 1 << 13  # tokens from which a sketch has 32 bits a token
 PAIRS = 256  # pairs of sets that a worker compares at once
 BYTES = 1 << 18  # bytes of text that are hashed at once, at least one text
 
@@ -206,8 +209,8 @@ def _bitmap(wanted: DataFrame) -> np.ndarray:
     return bitmap
 
 
-def _sets(docs: DataFrame, bitmap: np.ndarray | None) -> DataFrame:
-    """Node, class, size, the first tokens (``head_length``) and all tokens of every text that is wanted.
+def _sets(docs: DataFrame, bitmap: np.ndarray | None, whole: bool) -> DataFrame:
+    """Node, class, size and tokens (``whole``) or their sketch, of every text that is wanted.
 
     A task names a class once, so copies that share an id leave it once.
     """
@@ -224,19 +227,43 @@ def _sets(docs: DataFrame, bitmap: np.ndarray | None) -> DataFrame:
                 place = (node ^ row_id) & (BITS - 1)
                 if len(own) and name not in done and (bits is None or int(bits[place >> 5]) >> (place & 31) & 1):
                     done.add(name)
-                    out.append((node, name, len(own), own[: head_length(len(own))].tobytes(), own.tobytes()))
+                    out.append((node, name, len(own), own.tobytes() if whole else sketch(own)))
             if out:
-                kinds = (pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.binary())
+                kinds = (pa.int64(), pa.binary(), pa.int64(), pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(column, kind) for column, kind in zip(zip(*out), kinds)],
-                    ["node", "class", "n", "head", "tokens"],
+                    [pa.array(column, kind) for column, kind in zip(zip(*out), kinds)], ["node", "class", "n", "data"]
                 )
 
-    return docs.select("key", "text").mapInArrow(run, "node bigint, class binary, n bigint, head binary, tokens binary")
+    return docs.select("key", "text").mapInArrow(run, "node bigint, class binary, n bigint, data binary")
 
 
-def head_length(n: int) -> int:
-    return -(-n // 4)
+def sketch(tokens: np.ndarray) -> bytes:
+    """The last bits of every token, 16 of small sets and 32 of large ones, sorted: two or four bytes a token."""
+    kind = np.uint16 if len(tokens) < LARGE else np.uint32
+    return np.sort(tokens.astype(kind)).tobytes()
+
+
+def _numbered(bits: np.ndarray) -> np.ndarray:
+    """Sorted numbers, equal ones told apart by which of them they are."""
+    fresh = np.ones(len(bits), bool)
+    np.not_equal(bits[1:], bits[:-1], out=fresh[1:])
+    at = np.arange(len(bits))
+    return bits.astype(np.int64) << 31 | at - np.maximum.accumulate(np.where(fresh, at, 0))
+
+
+def _shared_at_most(a: bytes, n: int, b: bytes, m: int) -> int:
+    """No fewer than the tokens that two sets share, from their sketches; equal tokens have equal bits."""
+    x, y = (np.frombuffer(s, np.uint16 if len(s) == 2 * k else np.uint32) for s, k in ((a, n), (b, m)))
+    if x.dtype != y.dtype:
+        x, y = (np.sort(s.astype(np.uint16)) for s in (x, y))
+    both = np.concatenate([_numbered(x), _numbered(y)])
+    both.sort(kind="stable")
+    return int((both[1:] == both[:-1]).sum())
+
+
+@F.pandas_udf(LongType())
+def _bound(a: pd.Series, n: pd.Series, b: pd.Series, m: pd.Series) -> pd.Series:
+    return pd.Series([_shared_at_most(*row) for row in zip(a, n, b, m)], dtype="int64")
 
 
 @F.pandas_udf(LongType())
@@ -271,26 +298,47 @@ def _met(pairs: DataFrame, sets: DataFrame, *columns: str) -> DataFrame:
     return pairs.join(side("a"), "a").join(side("b"), "b")
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _enough_matches(pairs: DataFrame, lists: DataFrame, percent: int) -> DataFrame:
+    """The pairs of nodes (a, b) whose prefixes share as many tokens as sets of their sizes must.
+
+    Sets of n and m tokens that reach the threshold share at least ``o`` tokens, and then prefixes of n - o + k and
+    m - o + k tokens share k. The prefixes are there already, so k follows from their lengths: for sets of one size a
+    good tenth of the tokens, and one more for every token that a prefix was lengthened by.
+    """
+    def side(name: str) -> DataFrame:
+        length = F.col("n") - F.ceil(F.col("n") * percent / 100) + F.col("matches")
+        own = (F.col("node").alias(name), "token", F.col("n").alias(f"n_{name}"), length.alias(f"length_{name}"))
+        return lists.select(*own).hint("merge")
+
+    c = F.col
+    both = pairs.join(side("a"), "a").join(side("b"), ["b", "token"])
+    least = least_overlap(c("n_a"), c("n_b"), percent)
+    asked = F.least(c("length_a") - c("n_a") + least, c("length_b") - c("n_b") + least)
+    counted = both.groupBy("a", "b").agg(F.count(F.lit(1)).alias("found"), F.first(asked).alias("asked"))
+    return counted.where(c("found") >= c("asked")).select("a", "b")
+
+
+def _verified(pairs: DataFrame, sets_of, percent: int) -> DataFrame:
     """The classes, with their nodes, of those pairs of nodes (a, b) that reach the threshold.
 
-    First only the heads meet. Tokens of one set beyond its head bound what the heads do not show: the shared tokens
-    are at most those of the heads and the larger rest. Pairs that cannot reach the threshold end there.
+    First only sketches meet, which bound the shared tokens from above. Whole sets move for what is left.
     """
-    heads = _met(pairs, sets, "n", "head").withColumn("seen", _shared("head_a", "head_b"))
-    rest = F.greatest(F.col("n_a") - F.expr("length(head_a) div 8"), F.col("n_b") - F.expr("length(head_b) div 8"))
-    enough = F.col("seen") + rest >= least_overlap(F.col("n_a"), F.col("n_b"), percent)
+    sketched = _met(pairs, sets_of(_ends(pairs), False), "n", "data")
+    perhaps = _bound("data_a", "n_a", "data_b", "n_b") >= least_overlap(F.col("n_a"), F.col("n_b"), percent)
     with _small_batches(pairs.sparkSession):
-        near = stage(heads.where(enough).select("a", "b"), "near")
-    nodes = near.select(F.col("a").alias("node")).union(near.select("b")).distinct()
-    both = _met(near, sets.join(nodes, "node", "left_semi"), "class", "n", "tokens")
-    both = both.withColumn("shared", _shared("tokens_a", "tokens_b"))
+        near = stage(sketched.where(perhaps).select("a", "b"), "near")
+    both = _met(near, sets_of(_ends(near), True), "class", "n", "data")
+    both = both.withColumn("shared", _shared("data_a", "data_b"))
     union = F.col("n_a") + F.col("n_b") - F.col("shared")
     linked = both.where(F.col("shared") * 100 >= union * percent).select("a", "b", "class_a", "class_b")
     with _small_batches(pairs.sparkSession):
         return stage(linked, "links")
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``node`` and ``label`` (the smallest node it is connected to) of every node in ``edges`` (``u``, ``v``).
 
@@ -310,21 +358,11 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def jaccard_components(
-    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", percent: int = 80
-) -> DataFrame:
-    """Per row of ``docs``: id, ``n_shingles`` (its set's size) and ``component_id``, the smallest reachable id.
+def _classes(rows: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Of rows with id and text: id, class and size of each; and each class with its smallest id and its label.
 
-    Words are lower-cased in A-Z; a set holds the distinct windows of ``WIDTH`` words. Rows are linked when the
-    intersection is at least ``percent`` per cent of the union; equal sets always are. A null text, an empty one or
-    one without words has size 0, is linked with nothing and is its own component. Rows with equal ids stay rows; a
-    null id never names a component unless nothing else can, and other columns are not read. No rows give no rows.
-
-    Texts are read three times: for classes and frequent tokens, for prefixes, and for the sets of classes that meet
-    another. Only the table of the ``FREQUENT`` most frequent tokens is broadcast. It affects order and cost, never
-    the result.
+    Classes of one component have one label.
     """
-    rows = docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text_column).alias("text"))
     survey = stage(_survey(rows), "shingles")
     members = survey.where("kind = 0").select("id", "class", "size")
     frequent = (
@@ -375,31 +413,28 @@ def jaccard_components(
         .select(F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b"))
         .distinct()
     )
-    star = stage(star, "star")
+    star = stage(_enough_matches(star, lists, percent), "star")
     classes = members.where("size > 0").groupBy("class").agg(F.min("id").alias("id"))
     classes = classes.withColumn("node", F.conv(F.hex(F.substring("class", 1, 8)), 16, -10).cast("bigint"))
     key = F.coalesce("id", F.lit(_NO_ID))
 
-    def ends_of(pairs: DataFrame) -> DataFrame:
-        return pairs.select(c("a").alias("node")).union(pairs.select("b")).distinct()
-
-    def sets_of(nodes: DataFrame) -> DataFrame:
-        """The sets of some nodes: picked where the texts lie while a bitmap can tell, else from moved texts."""
+    def sets_of(nodes: DataFrame, whole: bool) -> DataFrame:
+        """The sets of some nodes, or their sketches: picked where the texts lie while a bitmap can tell, else moved."""
         found = classes.join(nodes, "node", "left_semi").select("node", key.alias("id"))
         keyed = rows.select(key.alias("key"), "text")
         if nodes.count() <= BITS // 4:
-            return stage(_sets(keyed, _bitmap(found)), "sets")
+            return stage(_sets(keyed, _bitmap(found), whole), "sets")
         texts = found.select(c("id").alias("key")).distinct()
-        return stage(_sets(keyed.join(texts, "key", "left_semi"), None), "sets")
+        return stage(_sets(keyed.join(texts, "key", "left_semi"), None, whole), "sets")
 
-    sets = sets_of(ends_of(star))
-    edges = _verified(star, sets, percent)
+    edges = _verified(star, sets_of, percent)
     ends = lambda found: found.select(c("class_a").alias("u"), c("class_b").alias("v"))
     labels = components(ends(edges))
 
     # Members outside their pivot's component meet the other components of the list.
     named = labels.select(F.conv(F.hex(F.substring("node", 1, 8)), 16, -10).cast("bigint").alias("node"), "label")
     alone = F.unhex(F.lpad(F.hex("node"), 16, "0"))
+    all_lists = lists
     lists = lists.where("members > 2").join(named, "node", "left").withColumn("label", F.coalesce("label", alone))
     pivots = named.select(c("node").alias("pivot"), c("label").alias("pivot_label"))
     lists = lists.join(pivots, "pivot", "left").withColumn(
@@ -413,39 +448,72 @@ def jaccard_components(
         outside.join(others, "token")
         .where("x.label != y.label AND (y.label = y.pivot_label OR x.node < y.node)")
         .where(possible(c("x.n"), c("x.place"), c("y.n"), c("y.place"), matches))
-        .select(
-            F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"), matches.alias("matches")
-        )
-        .groupBy("a", "b")
-        .agg(F.count(F.lit(1)).alias("found"), F.max("matches").alias("matches"))
-        .where("found >= matches")
-        .select("a", "b")
+        .select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"))
+        .distinct()
     )
-    rest = stage(rest, "rest")
+    rest = stage(_enough_matches(rest, all_lists, percent), "rest")
     if not rest.isEmpty():
-        later = sets_of(ends_of(rest).join(ends_of(star), "node", "left_anti"))
-        more = _verified(rest, sets.unionByName(later), percent)
+        more = _verified(rest, sets_of, percent)
         labels = components(ends(edges).unionByName(ends(more)))
 
-    # The smallest id of a class, then of a component, then back to the rows.
     classes = classes.select("class", "id").join(labels.withColumnRenamed("node", "class"), "class", "left")
-    classes = classes.withColumn("label", F.coalesce("label", "class"))
+    return members, classes.withColumn("label", F.coalesce("label", "class"))
+
+
+def jaccard_components(
+    docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", percent: int = 80
+) -> DataFrame:
+    """Per row of ``docs``: id, ``n_shingles`` (its set's size) and ``component_id``, the smallest reachable id.
+
+    Words are lower-cased in A-Z; a set holds the distinct windows of ``WIDTH`` words. Rows are linked when the
+    intersection is at least ``percent`` per cent of the union; equal sets always are. A null text, an empty one or
+    one without words has size 0, is linked with nothing and is its own component. Rows with equal ids stay rows; a
+    null id never names a component unless nothing else can, and other columns are not read. No rows give no rows.
+
+    Texts are read for classes and frequent tokens, for prefixes, and in both steps for the sketches of classes that
+    meet another and the sets of those that may be linked. Only the table of the ``FREQUENT`` most frequent tokens is broadcast. It affects order and cost, never
+    the result.
+    """
+    rows = docs.select(F.col(id_column).cast("bigint").alias("id"), F.col(text_column).alias("text"))
+    members, classes = _classes(rows, percent)
     smallest = classes.groupBy("label").agg(F.min("id").alias("component"))
     classes = classes.join(smallest, "label").select("class", "component")
-    joined = members.withColumn("class", F.when(c("size") > 0, c("class"))).join(classes, "class", "left")
+    joined = members.withColumn("class", F.when(F.col("size") > 0, F.col("class"))).join(classes, "class", "left")
     return joined.select(
-        c("id").alias(id_column),
-        c("size").alias("n_shingles"),
+        F.col("id").alias(id_column),
+        F.col("size").alias("n_shingles"),
         F.coalesce("component", "id").alias("component_id"),
     )
 
 
+def _with_class(docs: DataFrame) -> DataFrame:
+    """``docs`` with the class of every row's text, null without words."""
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = [class_of(own) if len(own) else None for own in shingle_sets(_texts(batch.column(at)))]
+            columns = [*batch.columns, pa.array(names, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "__class"])
+
+    return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("__class", T.BinaryType())]))
+
+
 def one_of_each(docs: DataFrame, percent: int = 80) -> DataFrame:
-    """One row of ``docs`` (with doc_id and text) for each component, the one its id names; all columns kept.
+    """One row of ``docs`` (with doc_id and text) for each component, all columns kept; no component is lost.
 
-    Of rows with the same id one stays. A row without id cannot be named and stays.
+    It is a row of the component's smallest id, null counting as greatest; of several texts with that id the one with
+    the smallest class, and of several rows of that class the one with the smallest hash of all columns. Which rows
+    stay does not depend on how the data are split. Rows without words are in no component and all stay.
     """
-    found = jaccard_components(docs, percent=percent)
-    keep = found.where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.where("doc_id IS NULL")).select(docs.columns)
+    members, classes = _classes(docs.select(F.col("doc_id").cast("bigint").alias("id"), "text"), percent)
+    of = classes.select("class", "label")
+    order = F.struct(F.col("id").isNull().alias("last"), "id", "class")
+    best = members.where("size > 0").join(of, "class").groupBy("label").agg(F.min(order).alias("best"))
+    chosen = best.select(F.col("best.id").alias("__id"), F.col("best.class").alias("__chosen"))
+    rows = _with_class(docs)
+    same = (F.col("__class") == F.col("__chosen")) & F.col("doc_id").cast("bigint").eqNullSafe(F.col("__id"))
+    first = Window.partitionBy("__chosen").orderBy(F.xxhash64(*docs.columns))
+    found = rows.where("__class IS NOT NULL").join(chosen, same).withColumn("__place", F.row_number().over(first))
+    without = rows.where("__class IS NULL")
+    return found.where("__place = 1").select(docs.columns).unionByName(without.select(docs.columns))

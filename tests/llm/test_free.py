@@ -404,6 +404,9 @@ def test_components_match_brute_force(spark, monkeypatch, seed):
     monkeypatch.setattr(jaccard_join, "COST", [1, 4, 1024][seed])
     found = jaccard_join.jaccard_components(_docs(spark, texts).repartition(3)).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == _components(texts)
+    monkeypatch.setattr(jaccard_join, "BITS", 64)  # more wanted sets than the bitmap can tell: texts move instead
+    moved = jaccard_join.jaccard_components(_docs(spark, texts).repartition(3)).collect()
+    assert sorted(map(tuple, moved)) == sorted(map(tuple, found))
 
 
 def test_a_chain_of_links_is_one_component_and_a_large_group_is_settled(spark):
@@ -423,7 +426,28 @@ def test_missing_and_repeated_ids(spark):
     assert found == sorted([(None, 2, 3), (3, 2, 3), (3, 1, 3), (None, 0, None), (4, 1, 4), (4, 1, 4)], key=str)
     assert jaccard_join.jaccard_components(docs.limit(0)).count() == 0
     kept = jaccard_join.one_of_each(docs).collect()
-    assert Counter(r.doc_id for r in kept) == {3: 1, 4: 1, None: 2}
+    assert Counter((r.doc_id, r.text) for r in kept) == {(3, "a b c d e f"): 1, (3, "x y"): 1, (4, "q r"): 1, (None, None): 1}
+
+
+@pytest.mark.parametrize("parts", [1, 2, 3])
+def test_no_component_is_lost_where_ids_repeat(spark, parts):
+    words = [f"w{i}" for i in range(80)]
+    near = " ".join(["new", *words[1:]])
+    rows = [(3, " ".join(words)), (7, near), (3, "another text of six words here"), (None, near), (None, "of nobody at all")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts)
+    kept = sorted(((r.doc_id, r.text) for r in jaccard_join.one_of_each(docs).collect()), key=str)
+    assert kept == sorted([rows[0], rows[2], rows[4]], key=str)
+
+
+@pytest.mark.parametrize("large", [4, 1 << 13])
+def test_sketches_bound_the_shared_tokens(monkeypatch, large):
+    monkeypatch.setattr(jaccard_join, "LARGE", large)
+    rng = np.random.default_rng(large)
+    for n, m, both in ((1, 1, 0), (3, 9, 2), (500, 600, 450), (40, 40, 40)):
+        tokens = rng.integers(-(1 << 62), 1 << 62, n + m - both)
+        x, y = np.sort(tokens[:n]), np.sort(tokens[n - both :])
+        found = jaccard_join._shared_at_most(jaccard_join.sketch(x), n, jaccard_join.sketch(y), m)
+        assert both <= found <= min(n, m) and found <= both + 10
 
 
 def test_shingles_are_distinct_windows_in_any_chunking():
