@@ -7,13 +7,15 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from estrato.llm.common import words_of
 
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\x0b\x0c\r"
+SLICE = 256  # rows that are judged and rewritten at once
 
 RESULT = (
     "struct<n_words:bigint,word_chars:bigint,n_symbols:bigint,n_dup_lines:bigint,n_repeat_words:bigint,"
@@ -149,9 +151,26 @@ def quality_lines(docs: DataFrame, text_column: str = "text", rules: LineRules =
 
 
 def cleaned_documents(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
-    """The kept rows of ``docs`` with their cleaned texts and their lengths; other columns as they were."""
-    judged: Column = line_rules(rules)(F.col("text"))
-    kept = docs.withColumn("__quality", judged).where("__quality.kept")
-    return kept.withColumns(
-        {"text": F.col("__quality.cleaned"), "n_chars": F.length("__quality.cleaned").cast("bigint")}
-    ).select(docs.columns)
+    """The kept rows of ``docs`` with their cleaned texts and their lengths; other columns as they were.
+
+    One pass judges a text, drops it or rewrites it, some ``SLICE`` rows at a time. Null, empty and wordless texts are
+    not kept. ``docs`` has text and perhaps n_chars; names of other columns are free.
+    """
+    text = docs.columns.index("text")
+    length = docs.columns.index("n_chars") if "n_chars" in docs.columns else None
+    verdict = [field.split(":")[0] for field in RESULT[7:-1].split(",")].index("kept")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for low in range(0, batch.num_rows, SLICE):
+                part = batch.slice(low, SLICE)
+                judged = [judge(t.as_py(), rules) for t in part.column(text)]
+                kept = pa.array([row[verdict] for row in judged], pa.bool_())
+                cleaned = [row[-1] for row in judged if row[verdict]]
+                columns = part.filter(kept).columns
+                columns[text] = pa.array(cleaned, part.schema.field(text).type)
+                if length is not None:
+                    columns[length] = pa.array([len(t) for t in cleaned], part.schema.field(length).type)
+                yield pa.RecordBatch.from_arrays(columns, schema=part.schema)
+
+    return docs.mapInArrow(run, docs.schema)
