@@ -21,8 +21,10 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], newest_first: Sequence[str
     """
     named = [c for c in newest_first if isinstance(c, str)]
     rest = [c for c in df.columns if c not in keys and c not in named]
-    newest = [F.col(c) if isinstance(c, str) else c for c in newest_first]
+    # Expressions become columns first: a sort would work them out again in every comparison.
+    made = {f"_newest_{n}": c for n, c in enumerate(newest_first) if not isinstance(c, str)}
+    newest = [F.col(c) if isinstance(c, str) else F.col(f"_newest_{n}") for n, c in enumerate(newest_first)]
     order = [c.desc_nulls_last() for c in newest] + [F.col(c).asc_nulls_last() for c in rest]
     place = F.row_number().over(Window.partitionBy("_key_hash", *keys).orderBy(*order))
-    hashed = df.withColumn("_key_hash", F.xxhash64(*keys))
-    return hashed.withColumn("_place", place).filter(F.col("_place") == 1).drop("_place", "_key_hash")
+    hashed = df.withColumns({"_key_hash": F.xxhash64(*keys), **made})
+    return hashed.withColumn("_place", place).filter(F.col("_place") == 1).drop("_place", "_key_hash", *made)

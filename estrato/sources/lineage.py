@@ -54,7 +54,8 @@ def add_batch_lineage(
 
 def stream_offset() -> Column:
     """The offset that a stream's execution id names, as a number; NULL for a batch row."""
-    return F.regexp_extract("_execution_id", r"_offset(\d+)$", 1).try_cast("bigint")
+    # A failing cast costs an exception a row, so the empty text of a batch row becomes NULL before it.
+    return F.nullif(F.regexp_extract("_execution_id", r"_offset(\d+)$", 1), F.lit("")).try_cast("bigint")
 
 
 def add_stream_lineage(
