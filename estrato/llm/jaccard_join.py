@@ -279,7 +279,7 @@ def _shared(a: pd.Series, b: pd.Series) -> pd.Series:
 
 @contextmanager
 def _small_batches(spark: SparkSession) -> Iterator[None]:
-    """Rows with whole sets go to Python ``PAIRS`` at a time, while a table is staged inside."""
+    """Rows with texts or sets go to Python ``PAIRS`` at a time, while a table is staged inside."""
     setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(setting)
     spark.conf.set(setting, str(PAIRS))
@@ -363,7 +363,8 @@ def _classes(rows: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
 
     Classes of one component have one label.
     """
-    survey = stage(_survey(rows), "shingles")
+    with _small_batches(rows.sparkSession):
+        survey = stage(_survey(rows), "shingles")
     members = survey.where("kind = 0").select("id", "class", "size")
     frequent = (
         survey.where("kind = 1")
@@ -399,7 +400,8 @@ def _classes(rows: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
             F.expr("pivot.packed & 15").alias("pivot_matches"),
         )
     )
-    lists = stage(lists, "lists")
+    with _small_batches(rows.sparkSession):
+        lists = stage(lists, "lists")
 
     def possible(n, place, m, other, matches) -> Column:
         """Whether sets with a shared token at these places can reach the threshold, it being one of the first ones."""
@@ -422,10 +424,11 @@ def _classes(rows: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
         """The sets of some nodes, or their sketches: picked where the texts lie while a bitmap can tell, else moved."""
         found = classes.join(nodes, "node", "left_semi").select("node", key.alias("id"))
         keyed = rows.select(key.alias("key"), "text")
-        if nodes.count() <= BITS // 4:
-            return stage(_sets(keyed, _bitmap(found), whole), "sets")
-        texts = found.select(c("id").alias("key")).distinct()
-        return stage(_sets(keyed.join(texts, "key", "left_semi"), None, whole), "sets")
+        with _small_batches(rows.sparkSession):
+            if nodes.count() <= BITS // 4:
+                return stage(_sets(keyed, _bitmap(found), whole), "sets")
+            texts = found.select(c("id").alias("key")).distinct()
+            return stage(_sets(keyed.join(texts, "key", "left_semi"), None, whole), "sets")
 
     edges = _verified(star, sets_of, percent)
     ends = lambda found: found.select(c("class_a").alias("u"), c("class_b").alias("v"))
@@ -492,9 +495,11 @@ def _with_class(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            names = [class_of(own) if len(own) else None for own in shingle_sets(_texts(batch.column(at)))]
-            columns = [*batch.columns, pa.array(names, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "__class"])
+            for low in range(0, batch.num_rows, PAIRS):
+                part = batch.slice(low, PAIRS)
+                names = [class_of(own) if len(own) else None for own in shingle_sets(_texts(part.column(at)))]
+                columns = [*part.columns, pa.array(names, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, [*part.schema.names, "__class"])
 
     return docs.mapInArrow(run, T.StructType([*docs.schema.fields, T.StructField("__class", T.BinaryType())]))
 
