@@ -3,31 +3,33 @@
 A byte is coded as eight binary decisions; each decision node has its own context tree over the preceding bytes. At
 every context the Krichevsky-Trofimov estimate is weighed against the product of its longer contexts, over all depths
 from 0 to ``DEPTH``. Counts of (context, byte) grams come from all training texts. Subtrees below the last ``SHARED``
-context bytes are computed in buckets of whole subtrees, so a task holds about ``BUCKET`` grams or one subtree; the
-shorter contexts are aggregates and joins by key.
+context bytes are computed in buckets of whole subtrees, so a task holds about the distinct grams of ``BUCKET`` bytes
+of text or one subtree; the shorter contexts are aggregates and joins by key.
 
 Documents do not fetch the model word by word: texts are dealt into blocks, a block asks once for every distinct gram
-and word it has, and the answers travel back to the block.
+and word it has. All it asks of a bucket is one row: the sorted keys by their differences and their counts, compressed.
+The bucket merges the rows of all blocks and answers each with an array of values in the order of its keys, which the
+block finds again from its texts; keys do not travel back.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, IntegerType, LongType, StructField, StructType
+from pyspark.sql.types import BinaryType, DoubleType, IntegerType, LongType, StructField, StructType
 
-from estrato.llm.common import LOWER, WordHasher, word_spans
+from estrato.llm.common import LOWER, WordHasher, mixed, word_spans
 
 DEPTH = 6  # preceding bytes of the longest context; with the coded byte, 56 bits of a key
 SHARED = 3  # last context bytes on which the grams of a subtree agree
 BLOCK = 16 << 20  # bytes of text that share their questions
-BUCKET = 1 << 21  # grams, before equal ones are merged, whose subtrees are computed at once
-ROWS = 1 << 16  # questions that leave a worker at once
+BUCKET = 4 << 20  # bytes of text whose grams make a bucket of subtrees, on average
 CHUNK = 1 << 18  # bytes that are turned into grams at once, at least one text
 
 _END = (0, 1)  # the key of the token after the last word
@@ -81,18 +83,76 @@ def _chunks(texts: list[bytes]) -> Iterator[tuple[int, list[bytes]]]:
             first, size = i + 1, 0
 
 
+def _packed(numbers: np.ndarray) -> bytes:
+    """64-bit numbers by planes of equal bytes, compressed."""
+    if not len(numbers):
+        return b""
+    planes = np.ascontiguousarray(numbers).view(np.uint8).reshape(-1, 8).T
+    return pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpacked(data: bytes, size: int, kind: type = np.int64) -> np.ndarray:
+    if not size:
+        return np.zeros(0, kind)
+    planes = np.frombuffer(pa.decompress(data, 8 * size, codec="zstd", asbytes=True), np.uint8).reshape(8, size)
+    return np.ascontiguousarray(planes.T).reshape(-1).view(kind)
+
+
+def _packed_sorted(keys: np.ndarray) -> bytes:
+    return _packed(np.diff(keys.view(np.uint64), prepend=np.uint64(0)))  # modulo 2**64
+
+
+def _unpacked_sorted(data: bytes, size: int) -> np.ndarray:
+    return np.cumsum(_unpacked(data, size, np.uint64), dtype=np.uint64).view(np.int64)
+
+
+def _rounded(values: np.ndarray) -> np.ndarray:
+    """Doubles to 36 binary digits, an error of 1e-11 of a value, so that two of their eight bytes are zero."""
+    return ((values.view(np.uint64) + np.uint64(1 << 15)) & np.uint64(0xFFFFFFFFFFFF0000)).view(float)
+
+
+_TOP, _REST = 8 * SHARED, 8 * (DEPTH - SHARED)
+
+
+def _turned(keys: np.ndarray) -> np.ndarray:
+    """Grams with their last ``SHARED`` context bytes first, so that those of a subtree lie close together."""
+    subtree, older = (keys >> 8) & ((1 << _TOP) - 1), keys >> (8 + _TOP)
+    return (((subtree << _REST) | older) << 8) | (keys & 255)
+
+
+def _turned_back(keys: np.ndarray) -> np.ndarray:
+    subtree, older = keys >> (8 + _REST), (keys >> 8) & ((1 << _REST) - 1)
+    return (((older << _TOP) | subtree) << 8) | (keys & 255)
+
+
+def _places(buckets: np.ndarray) -> dict[int, np.ndarray]:
+    """For each bucket the places that hold it, ascending."""
+    order = np.argsort(buckets, kind="stable")
+    found, starts = np.unique(buckets[order], return_index=True)
+    return dict(zip(found.tolist(), np.split(order, starts[1:])))
+
+
+QUESTION = StructType(
+    [StructField(name, IntegerType(), False) for name in ("block", "bucket")]
+    + [StructField(name, LongType(), False) for name in ("n_words", "n_grams")]
+    + [StructField(name, BinaryType(), False) for name in ("words", "seconds", "grams", "counts")]
+)
+
+
 class _Questions:
-    """The distinct words and grams of one block, with their counts in training texts."""
+    """The distinct words and grams of one block, with their counts in training texts.
+
+    Words are sorted by the first half of their hash and grams as turned, whatever the order of the texts.
+    """
 
     def __init__(self) -> None:
         none = np.zeros(0, np.int64)
         self.words, self.grams = [(none, none, none)], [(none, none)]
         self.pending: list[tuple[bytes, bool]] = []
-        self.size = self.training = 0
+        self.size = 0
 
     def add(self, text: bytes, trains: bool) -> None:
         self.pending.append((text, trains))
-        self.training += trains
         self.size += len(text) + 1
         if self.size >= CHUNK:
             self.flush()
@@ -105,9 +165,10 @@ class _Questions:
             place = np.zeros(len(keys), np.int64)
             place[codes[::-1]] = np.arange(len(codes))[::-1]
             self.words.append((keys, second[place], np.bincount(codes, np.repeat(trains, counts), len(keys))))
+            self.words.append((np.array([_END[0]]), np.array([_END[1]]), np.array([trains.sum()])))
             codes, keys = pd.factorize(grams(texts))
             weights = np.repeat(trains, [len(t) + 1 for t in texts])
-            self.grams.append((keys, np.bincount(codes, weights, len(keys))))
+            self.grams.append((_turned(keys), np.bincount(codes, weights, len(keys))))
             self.pending, self.size = [], 0
         if len(self.grams) > 24:
             self.merge()
@@ -122,23 +183,31 @@ class _Questions:
         starts = np.flatnonzero(np.diff(keys, prepend=keys[:1] - 1))
         self.grams = [(keys[starts], np.add.reduceat(counts, starts).astype(np.int64) if len(keys) else counts)]
 
-    def rows(self, block: int) -> Iterator[pa.RecordBatch]:
+    def by_bucket(self, buckets: int) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+        """For each bucket the places of its words and of its grams."""
         self.flush()
         self.merge()
+        number = lambda keys: (mixed(keys.view(np.uint64)) % np.uint64(buckets)).astype(np.int64)
+        words, found = _places(number(self.words[0][0])), _places(number(self.grams[0][0] >> (8 + _REST)))
+        none = np.zeros(0, np.int64)
+        return {b: (words.get(b, none), found.get(b, none)) for b in sorted(words.keys() | found.keys())}
+
+    def rows(self, block: int, buckets: int) -> pa.RecordBatch:
+        places = self.by_bucket(buckets)
         (words, second, counts), (found, sums) = self.words[0], self.grams[0]
-        first = np.concatenate([[_END[0]], words, found])
-        second = np.concatenate([[_END[1]], second, np.zeros(len(found), np.int64)])
-        counts = np.concatenate([[self.training], counts, sums])
-        for at in range(0, len(first), ROWS):
-            part = slice(at, at + ROWS)
-            blocks = pa.array(np.full(len(first[part]), block, np.int32))
-            yield pa.RecordBatch.from_arrays(
-                [blocks, pa.array(first[part]), pa.array(second[part]), pa.array(counts[part])],
-                ["block", "k1", "k2", "n"],
+        rows = [
+            (
+                block, bucket, len(w), len(g), _packed_sorted(words[w]), _packed(second[w]), _packed_sorted(found[g]),
+                _packed(np.concatenate([counts[w], sums[g]])),
             )
+            for bucket, (w, g) in places.items()
+        ]
+        kinds = [pa.int32()] * 2 + [pa.int64()] * 2 + [pa.binary()] * 4
+        columns = [pa.array(column, kind) for column, kind in zip(zip(*rows), kinds)]
+        return pa.RecordBatch.from_arrays(columns, QUESTION.names)
 
 
-def _ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _ask(buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     open_blocks: dict[int, _Questions] = {}
     for batch in batches:
         columns = [batch.column(i) for i in range(batch.num_columns)]
@@ -146,7 +215,48 @@ def _ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             open_blocks.setdefault(block.as_py(), _Questions()).add(_bytes(text.as_py()), trains.as_py())
     while open_blocks:
         block, questions = open_blocks.popitem()
-        yield from questions.rows(block)
+        yield questions.rows(block, buckets)
+
+
+class _Bucket:
+    """What all blocks ask of one bucket: distinct words' counts, distinct grams and counts, and who asked which."""
+
+    def __init__(self, rows: pd.DataFrame):
+        rows = rows.sort_values("block")
+        self.blocks, self.n_words, self.n_grams = (rows[c].to_numpy(np.int64) for c in ("block", "n_words", "n_grams"))
+        sizes = list(zip(rows["n_words"], rows["n_grams"]))
+        first = np.concatenate([_unpacked_sorted(d, w) for d, (w, _) in zip(rows["words"], sizes)])
+        second = np.concatenate([_unpacked(d, w) for d, (w, _) in zip(rows["seconds"], sizes)])
+        counts = [_unpacked(d, w + g) for d, (w, g) in zip(rows["counts"], sizes)]
+        order = np.lexsort((second, first))
+        new = np.ones(len(order), bool)
+        new[1:] = (np.diff(first[order]) != 0) | (np.diff(second[order]) != 0)
+        self.word_at = np.zeros(len(order), np.int64)
+        self.word_at[order] = np.cumsum(new) - 1
+        own = np.concatenate([c[:w] for c, (w, _) in zip(counts, sizes)])
+        self.words = np.bincount(self.word_at, own, int(new.sum())).astype(np.int64)
+        keys = np.concatenate([_unpacked_sorted(d, g) for d, (_, g) in zip(rows["grams"], sizes)])
+        found, self.gram_at = np.unique(keys, return_inverse=True)
+        own = np.concatenate([c[w:] for c, (w, _) in zip(counts, sizes)])
+        self.grams, self.counts = _turned_back(found), np.bincount(self.gram_at, own, len(found))
+
+    def levels(self) -> list[Level]:
+        """The levels from ``DEPTH`` up to ``SHARED`` of the bucket's subtrees."""
+        levels = [deepest(self.grams, self.counts)]
+        for depth in range(DEPTH - 1, SHARED - 1, -1):
+            levels.append(levels[-1].parent(depth))
+        return levels
+
+    def answers(self, bucket: int, logs: np.ndarray) -> pd.DataFrame:
+        split = lambda values, at, sizes: np.split(values[at], np.cumsum(sizes)[:-1])
+        return pd.DataFrame(
+            {
+                "block": self.blocks,
+                "bucket": bucket,
+                "counts": [_packed(v) for v in split(self.words, self.word_at, self.n_words)],
+                "logs": [_packed(v) for v in split(_rounded(logs), self.gram_at, self.n_grams)],
+            }
+        )
 
 
 def _log_gamma(x: np.ndarray) -> np.ndarray:
@@ -217,38 +327,36 @@ def deepest(keys: np.ndarray, counts: np.ndarray) -> Level:
     return Level(found[order], total - one, one, None)
 
 
-def _levels(group: pd.DataFrame) -> list[Level]:
-    """The levels from ``DEPTH`` up to ``SHARED`` of whole subtrees."""
-    levels = [deepest(group["k1"].to_numpy(np.int64), group["n"].to_numpy(np.int64))]
-    for depth in range(DEPTH - 1, SHARED - 1, -1):
-        levels.append(levels[-1].parent(depth))
-    return levels
-
+def _tops(rows: pd.DataFrame) -> pd.DataFrame:
+    """The decision nodes of depth ``SHARED`` of one bucket, and under key -1 its training tokens and distinct ones."""
+    bucket = _Bucket(rows)
+    top = [-1], [float(bucket.words.sum())], [float((bucket.words > 0).sum())], [0.0]
+    if len(bucket.grams):
+        level = bucket.levels()[-1]
+        top = [np.concatenate(c) for c in zip(top, (level.keys, level.zeros, level.ones, level.weighted))]
+    return pd.DataFrame({"bucket": rows["bucket"].iloc[0], **dict(zip(("key", "zeros", "ones", "weighted"), top))})
 
-def _tops(group: pd.DataFrame) -> pd.DataFrame:
-    """The decision nodes of depth ``SHARED``."""
-    top = _levels(group)[-1]
-    return pd.DataFrame({"key": top.keys, "zeros": top.zeros, "ones": top.ones, "weighted": top.weighted})
 
-
-def _log_probability(group: pd.DataFrame, above: pd.DataFrame) -> pd.DataFrame:
-    """log10 probability of the byte of each gram.
+def _log_probability(rows: pd.DataFrame, above: pd.DataFrame) -> pd.DataFrame:
+    """The answers of one bucket: counts of words, log10 probabilities of the bytes of grams.
 
     ``above`` has, for the nodes of depth ``SHARED``, what the shorter contexts make of the probability q of a one
     there: a + b * q.
     """
-    keys, levels = group["k1"].to_numpy(np.int64), _levels(group)
-    above = above.sort_values("key")
-    tops, a, b = above["key"].to_numpy(np.int64), above["a"].to_numpy(float), above["b"].to_numpy(float)
-    contexts, symbols = keys >> 8, keys & 255
-    value = np.zeros(len(keys))
-    for node, bits in _decisions(symbols):
-        p = None
-        for depth, level in zip(range(DEPTH, SHARED - 1, -1), levels):
-            p = level.mix(contexts & ((1 << (8 * depth)) - 1), node, bits, p)
-        at = np.searchsorted(tops, (contexts & ((1 << (8 * SHARED)) - 1)) << 8 | node)
-        value += np.log10(np.where(bits == 1, a[at], 1 - a[at] - b[at]) + b[at] * p)
-    return pd.DataFrame({"k1": keys, "k2": 0, "value": value})
+    bucket = _Bucket(rows)
+    value = np.zeros(len(bucket.grams))
+    if len(bucket.grams):
+        levels = bucket.levels()
+        above = above.sort_values("key")
+        tops, a, b = above["key"].to_numpy(np.int64), above["a"].to_numpy(float), above["b"].to_numpy(float)
+        contexts, symbols = bucket.grams >> 8, bucket.grams & 255
+        for node, bits in _decisions(symbols):
+            p = None
+            for depth, level in zip(range(DEPTH, SHARED - 1, -1), levels):
+                p = level.mix(contexts & ((1 << (8 * depth)) - 1), node, bits, p)
+            at = np.searchsorted(tops, (contexts & ((1 << (8 * SHARED)) - 1)) << 8 | node)
+            value += np.log10(np.where(bits == 1, a[at], 1 - a[at] - b[at]) + b[at] * p)
+    return bucket.answers(int(rows["bucket"].iloc[0]), value)
 
 
 @F.pandas_udf(StructType([StructField("weighted", DoubleType()), StructField("odds", DoubleType())]))
@@ -257,17 +365,22 @@ def _weigh(zeros: pd.Series, ones: pd.Series, below: pd.Series) -> pd.DataFrame:
     return pd.DataFrame({"weighted": level.weighted, "odds": level.odds})
 
 
-def _above(tops: DataFrame) -> DataFrame:
-    """``key``, ``a`` and ``b`` (see ``_log_probability``) for the nodes of depth ``SHARED``.
+def _above(tops: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``key``, ``a`` and ``b`` (see ``_log_probability``) for the nodes of depth ``SHARED``; and the word totals.
 
-    A node has at most 256 nodes below it, so neither an aggregate nor a join has a hot key.
+    A node has at most 256 nodes below it and the totals a row per bucket, so neither an aggregate nor a join has a hot
+    key.
     """
     parent = lambda depth: F.expr(f"(shiftright(key, 8) & {(1 << (8 * depth)) - 1}) * 256 + (key & 255)")
     # Dealt by parent, the nodes are computed once for the aggregates and the join; for that all take all columns.
-    levels = [tops.withColumn("parent", parent(SHARED - 1)).repartition("parent")]
+    below = F.when(F.col("key") >= 0, parent(SHARED - 1)).otherwise(F.lit(-1))
+    levels = [tops.withColumn("parent", below).repartition("parent")]
+    totals = None
     for depth in range(SHARED - 1, -1, -1):
         sums = [F.sum(c).alias(c) for c in ("zeros", "ones", "weighted")]
-        sums = levels[-1].groupBy("parent").agg(*sums, F.max("key").alias("a_key")).where("a_key >= 0")
+        sums = levels[-1].groupBy("parent").agg(*sums, F.max("key").alias("a_key"))
+        totals = totals or sums.where("a_key < 0").select("zeros", "ones")
+        sums = sums.where("a_key >= 0")
         both = sums.withColumnRenamed("parent", "key").withColumn("both", _weigh("zeros", "ones", "weighted"))
         level = both.select("key", "zeros", "ones", "both.weighted", "both.odds")
         levels.append(level.withColumn("parent", parent(depth - 1) if depth else F.lit(0).cast("bigint")))
@@ -278,37 +391,36 @@ def _above(tops: DataFrame) -> DataFrame:
         mixed = mixed.withColumnRenamed("key", "parent")
         level = levels.pop().join(mixed, "parent")
         mixed = level.select("key", (F.col("a") + F.col("b") * stop * own).alias("a"), (F.col("b") * (1 - stop)).alias("b"))
-    return levels[0].join(mixed.withColumnRenamed("key", "parent"), "parent").drop("parent")
+    return levels[0].join(mixed.withColumnRenamed("key", "parent"), "parent").drop("parent"), totals
 
 
-def _answer(texts: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
+def _answer(buckets: int, texts: pd.DataFrame, answers: pd.DataFrame) -> pd.DataFrame:
     data = [_bytes(t) for t in texts["text"]]
-    is_word = answers["k2"].to_numpy(np.int64) != 0
-    table = answers[is_word].sort_values("k1", kind="stable")
-    first, second, counts = (table[name].to_numpy() for name in ("k1", "k2", "value"))
-    end = float(counts[(first == _END[0]) & (second == _END[1])][0])
-    table = answers[~is_word].sort_values("k1", kind="stable")
-    keys, logs = table["k1"].to_numpy(np.int64), table["value"].to_numpy(float)
-    del table, answers
+    questions = _Questions()
+    for text in data:
+        questions.add(text, False)
+    places = questions.by_bucket(buckets)
+    first, keys = questions.words[0][0], questions.grams[0][0]
+    counts, logs = np.zeros(len(first)), np.zeros(len(keys))
+    for bucket, own_counts, own_logs in zip(answers["bucket"], answers["counts"], answers["logs"]):
+        w, g = places[bucket]
+        counts[w], logs[g] = _unpacked(own_counts, len(w)), _unpacked(own_logs, len(g), float)
+    end = float(counts[np.searchsorted(first, _END[0])])
+    del questions, places, answers
 
     size = len(data)
     n_words, n_known = np.zeros(size, np.int64), np.full(size, int(end > 0))
     base, score = np.full(size, np.log10(end + 1)), np.zeros(size)
     for start, chunk in _chunks(data):
         rows = slice(start, start + len(chunk))
-        one, two, spoken = word_keys(chunk)
+        one, _, spoken = word_keys(chunk)
         codes, own = pd.factorize(one)
-        at = np.searchsorted(first, own)
-        place = np.zeros(len(own), np.int64)
-        place[codes[::-1]] = np.arange(len(codes))[::-1]
-        while (wrong := second[at] != two[place]).any():  # words that share a first half
-            at[wrong] += 1
-        found, text = counts[at][codes], np.repeat(np.arange(len(chunk)), spoken)
+        found, text = counts[np.searchsorted(first, own)][codes], np.repeat(np.arange(len(chunk)), spoken)
         n_words[rows] = spoken
         base[rows] += np.bincount(text, np.log10(found + 1), len(chunk))
         n_known[rows] += np.bincount(text, found > 0, len(chunk)).astype(np.int64)
         codes, own = pd.factorize(grams(chunk))
-        each = logs[np.searchsorted(keys, own)][codes]
+        each = logs[np.searchsorted(keys, _turned(own))][codes]
         sizes = np.array([len(t) + 1 for t in chunk])
         score[rows] = np.add.reduceat(each, np.cumsum(sizes) - sizes)
     return pd.DataFrame(
@@ -334,9 +446,9 @@ def score_texts(docs: DataFrame, trains, id_column: str = "doc_id", text_column:
     training rows N and V are 0 and every decision has probability 1/2. Rows are scored each, equal texts alike; other
     columns are not read; no rows give no rows.
 
-    The texts move once, into blocks by a hash of id and text. Their distinct words and grams move once by key, where
-    counts and answers are joined, and once back to the blocks. Neither a word nor a gram has more than a row per
-    block, so no key is hot.
+    The texts move once, into blocks by a hash of id and text. What a block asks of a bucket moves as one row, and so
+    do the answers back; logarithms travel with 36 binary digits. A bucket gets a row per block, never a row per word or
+    gram, so no key is hot.
     """
     rows = docs.select(
         F.col(id_column).cast("bigint").alias("id"),
@@ -348,39 +460,25 @@ def score_texts(docs: DataFrame, trains, id_column: str = "doc_id", text_column:
     block = F.pmod(F.xxhash64("id", "text"), F.lit(blocks)).cast("int").alias("block")
     dealt = rows.select(block, "id", "text", "trains").repartition("block")
 
-    # Every use below takes all columns of ``asked`` and filters only what it has aggregated: so the plans beneath stay
-    # equal, and Spark deals the texts, asks and deals the questions once for all of them.
-    question = StructType(
-        [StructField("block", IntegerType(), False)]
-        + [StructField(name, LongType(), False) for name in ("k1", "k2", "n")]
-    )
-    asked = dealt.mapInArrow(_ask, question).repartition("k1", "k2")
-    counted = asked.groupBy("k1", "k2").agg(
-        F.sum("n").alias("n"), F.max(F.col("k2") != 0).alias("is_word"), F.max("block").alias("a_block")
-    )
-    words, own = counted.where("is_word AND a_block >= 0"), counted.where("NOT is_word AND a_block >= 0")
-    totals = words.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("train_tokens"),
-        F.count(F.when(F.col("n") > 0, 1)).alias("distinct"),
-    )
+    # Both uses below take all columns of ``asked``: so the plans beneath stay equal, and Spark deals the texts, asks
+    # and deals the questions once for both.
     buckets = max(1, -(-size // BUCKET))
-    context = lambda key: F.expr(f"shiftright({key}, 8) & {(1 << (8 * SHARED)) - 1}")
-    bucket = lambda key: F.pmod(F.xxhash64(context(key)), F.lit(buckets)).cast("int").alias("bucket")
-    subtrees = own.select("k1", "n", bucket("k1")).groupBy("bucket")
-    node = [StructField("key", LongType(), False)]
+    asked = dealt.mapInArrow(partial(_ask, buckets), QUESTION).repartition("bucket").groupBy("bucket")
+    node = [StructField("bucket", IntegerType(), False), StructField("key", LongType(), False)]
     node += [StructField(name, DoubleType(), False) for name in ("zeros", "ones", "weighted")]
-    tops = subtrees.applyInPandas(_tops, StructType(node))
-    tree_values = subtrees.cogroup(_above(tops).select("*", bucket("key")).groupBy("bucket")).applyInPandas(
-        _log_probability, "k1 bigint, k2 bigint, value double"
+    above, found = _above(asked.applyInPandas(_tops, StructType(node)))
+    totals = found.agg(
+        F.coalesce(F.sum("zeros"), F.lit(0)).cast("bigint").alias("train_tokens"),
+        F.coalesce(F.sum("ones"), F.lit(0)).cast("bigint").alias("distinct"),
+    )
+    answers = asked.cogroup(above.groupBy("bucket")).applyInPandas(
+        _log_probability, "block int, bucket int, counts binary, logs binary"
     )
-    values = tree_values.unionByName(words.select("k1", "k2", F.col("n").cast("double").alias("value")))
-    value = F.when(F.col("n") >= 0, F.col("value")).alias("value")  # always; names n, which need not travel back
-    answers = asked.join(values, ["k1", "k2"]).select("block", "k1", "k2", value)
     scored = (
         dealt.groupBy("block")
         .cogroup(answers.groupBy("block"))
         .applyInPandas(
-            _answer,
+            partial(_answer, buckets),
             "id bigint, held_out boolean, n_tokens bigint, n_known bigint, known_score double, score double, "
             "n_bytes bigint",
         )
