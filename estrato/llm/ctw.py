@@ -28,7 +28,7 @@ from estrato.llm.common import LOWER, WordHasher, mixed, word_spans
 
 DEPTH = 6  # preceding bytes of the longest context; with the coded byte, 56 bits of a key
 SHARED = 3  # last context bytes on which the grams of a subtree agree
-BLOCK = 16 << 20  # bytes of text that share their questions
+BLOCK = 8 << 20  # bytes of text that share their questions
 BUCKET = 4 << 20  # bytes of text whose grams make a bucket of subtrees, on average
 CHUNK = 1 << 18  # bytes that are turned into grams at once, at least one text
 
@@ -166,11 +166,12 @@ class _Questions:
             place[codes[::-1]] = np.arange(len(codes))[::-1]
             self.words.append((keys, second[place], np.bincount(codes, np.repeat(trains, counts), len(keys))))
             self.words.append((np.array([_END[0]]), np.array([_END[1]]), np.array([trains.sum()])))
-            codes, keys = pd.factorize(grams(texts))
-            weights = np.repeat(trains, [len(t) + 1 for t in texts])
-            self.grams.append((_turned(keys), np.bincount(codes, weights, len(keys))))
+            keys = _turned(grams(texts)) << 1 | np.repeat(trains.astype(np.int64), [len(t) + 1 for t in texts])
+            keys.sort()
+            starts = np.flatnonzero(np.diff(keys >> 1, prepend=-1))
+            self.grams.append((keys[starts] >> 1, np.add.reduceat(keys & 1, starts)))
             self.pending, self.size = [], 0
-        if len(self.grams) > 24:
+        if len(self.grams) > 12:
             self.merge()
 
     def merge(self) -> None:
@@ -178,7 +179,7 @@ class _Questions:
         keys, places, sums = _distinct(first, counts)
         self.words = [(keys, second[places], sums)]
         keys, counts = (np.concatenate(parts) for parts in zip(*self.grams))
-        order = np.argsort(keys)
+        order = np.argsort(keys, kind="stable")  # merges the sorted parts
         keys, counts = keys[order], counts[order]
         starts = np.flatnonzero(np.diff(keys, prepend=keys[:1] - 1))
         self.grams = [(keys[starts], np.add.reduceat(counts, starts).astype(np.int64) if len(keys) else counts)]
@@ -208,14 +209,18 @@ class _Questions:
 
 
 def _ask(buckets: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    open_blocks: dict[int, _Questions] = {}
+    """The questions of texts sorted by block, one block in memory at a time."""
+    current, questions = None, _Questions()
     for batch in batches:
-        columns = [batch.column(i) for i in range(batch.num_columns)]
-        for block, text, trains in zip(columns[0], columns[2], columns[3]):
-            open_blocks.setdefault(block.as_py(), _Questions()).add(_bytes(text.as_py()), trains.as_py())
-    while open_blocks:
-        block, questions = open_blocks.popitem()
-        yield questions.rows(block, buckets)
+        columns = [batch.column(i) for i in (0, 2, 3)]
+        for block, text, trains in zip(*columns):
+            if block.as_py() != current:
+                if current is not None:
+                    yield questions.rows(current, buckets)
+                current, questions = block.as_py(), _Questions()
+            questions.add(_bytes(text.as_py()), trains.as_py())
+    if current is not None:
+        yield questions.rows(current, buckets)
 
 
 class _Bucket:
@@ -268,10 +273,21 @@ def _log_gamma(x: np.ndarray) -> np.ndarray:
     return (y - 0.5) * np.log(y) - y + 0.5 * np.log(2 * np.pi) + 1 / (12 * y) - 1 / (360 * y**3) - steps
 
 
+def _log_gamma_of(counts: np.ndarray, more: float, table: np.ndarray) -> np.ndarray:
+    """``_log_gamma(counts + more)``, small counts from ``table``."""
+    values = table[np.minimum(counts, len(table) - 1).astype(np.int64)]
+    large = np.flatnonzero(counts >= len(table))
+    values[large] = _log_gamma(counts[large] + more)
+    return values
+
+
+_HALVES, _WHOLES = _log_gamma(np.arange(4096) + 0.5), _log_gamma(np.arange(4096) + 1.0)
+
+
 def block_probability(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     """Natural log of the Krichevsky-Trofimov probability of so many zeros and ones."""
-    half = np.log(np.pi)
-    return _log_gamma(zeros + 0.5) + _log_gamma(ones + 0.5) - half - _log_gamma(zeros + ones + 1.0)
+    both = _log_gamma_of(zeros, 0.5, _HALVES) + _log_gamma_of(ones, 0.5, _HALVES)
+    return both - np.log(np.pi) - _log_gamma_of(zeros + ones, 1.0, _WHOLES)
 
 
 class Level:
@@ -286,10 +302,20 @@ class Level:
     def parent(self, depth: int) -> Level:
         """The level with contexts of ``depth`` bytes, one less than here."""
         shorter = ((self.keys >> 8) & ((1 << (8 * depth)) - 1)) << 8 | (self.keys & 255)
-        keys, at = np.unique(shorter, return_inverse=True)
+        keys, self.up = np.unique(shorter, return_inverse=True)  # the place of each node's parent
+        at = self.up
         total = lambda v: np.bincount(at, v, len(keys))
         return Level(keys, total(self.zeros), total(self.ones), total(self.weighted))
 
+    def mixed_with(self, at: np.ndarray, longer: np.ndarray) -> np.ndarray:
+        """Probabilities of a zero and a one (two rows) at the nodes ``at``, given those of their longer contexts."""
+        stop = 1.0 / (1.0 + np.exp(-np.clip(self.odds, -700, 700)))
+        return (stop * self.own())[:, at] + (1 - stop)[at] * longer
+
+    def own(self) -> np.ndarray:
+        """Probabilities of a zero and of a one (two rows) by the counts of each node alone."""
+        return (np.stack([self.zeros, self.ones]) + 0.5) / (self.zeros + self.ones + 1.0)
+
     def mix(self, contexts: np.ndarray, nodes: np.ndarray, bits: np.ndarray, longer: np.ndarray | None) -> np.ndarray:
         """Probability of ``bits``, given that of the longer contexts; 1/2 where nothing was seen."""
         wanted = (contexts << 8) | nodes
@@ -347,15 +373,18 @@ def _log_probability(rows: pd.DataFrame, above: pd.DataFrame) -> pd.DataFrame:
     value = np.zeros(len(bucket.grams))
     if len(bucket.grams):
         levels = bucket.levels()
+        p, at = levels[0].own(), np.arange(len(levels[0].keys))
+        for longer, level in zip(levels, levels[1:]):
+            at = longer.up[at]
+            p = level.mixed_with(at, p)
         above = above.sort_values("key")
-        tops, a, b = above["key"].to_numpy(np.int64), above["a"].to_numpy(float), above["b"].to_numpy(float)
-        contexts, symbols = bucket.grams >> 8, bucket.grams & 255
-        for node, bits in _decisions(symbols):
-            p = None
-            for depth, level in zip(range(DEPTH, SHARED - 1, -1), levels):
-                p = level.mix(contexts & ((1 << (8 * depth)) - 1), node, bits, p)
-            at = np.searchsorted(tops, (contexts & ((1 << (8 * SHARED)) - 1)) << 8 | node)
-            value += np.log10(np.where(bits == 1, a[at], 1 - a[at] - b[at]) + b[at] * p)
+        place = np.searchsorted(above["key"].to_numpy(np.int64), levels[-1].keys)
+        a, b = above["a"].to_numpy(float)[place], above["b"].to_numpy(float)[place]
+        logs = np.log10(np.stack([1 - a - b, a])[:, at] + b[at] * p)
+        contexts = bucket.grams >> 8 << 8
+        for node, bits in _decisions(bucket.grams & 255):
+            at = np.searchsorted(levels[0].keys, contexts | node)
+            value += logs[bits, at]
     return bucket.answers(int(rows["bucket"].iloc[0]), value)
 
 
@@ -399,6 +428,7 @@ def _answer(buckets: int, texts: pd.DataFrame, answers: pd.DataFrame) -> pd.Data
     questions = _Questions()
     for text in data:
         questions.add(text, False)
+    texts = texts.drop(columns="text")
     places = questions.by_bucket(buckets)
     first, keys = questions.words[0][0], questions.grams[0][0]
     counts, logs = np.zeros(len(first)), np.zeros(len(keys))
@@ -419,8 +449,8 @@ def _answer(buckets: int, texts: pd.DataFrame, answers: pd.DataFrame) -> pd.Data
         n_words[rows] = spoken
         base[rows] += np.bincount(text, np.log10(found + 1), len(chunk))
         n_known[rows] += np.bincount(text, found > 0, len(chunk)).astype(np.int64)
-        codes, own = pd.factorize(grams(chunk))
-        each = logs[np.searchsorted(keys, _turned(own))][codes]
+        own, codes = np.unique(_turned(grams(chunk)), return_inverse=True)
+        each = logs[np.searchsorted(keys, own)][codes]  # a search for sorted keys stays in near memory
         sizes = np.array([len(t) + 1 for t in chunk])
         score[rows] = np.add.reduceat(each, np.cumsum(sizes) - sizes)
     return pd.DataFrame(
@@ -463,7 +493,7 @@ def score_texts(docs: DataFrame, trains, id_column: str = "doc_id", text_column:
     # Both uses below take all columns of ``asked``: so the plans beneath stay equal, and Spark deals the texts, asks
     # and deals the questions once for both.
     buckets = max(1, -(-size // BUCKET))
-    asked = dealt.mapInArrow(partial(_ask, buckets), QUESTION).repartition("bucket").groupBy("bucket")
+    asked = dealt.sortWithinPartitions("block").mapInArrow(partial(_ask, buckets), QUESTION).repartition("bucket").groupBy("bucket")
     node = [StructField("bucket", IntegerType(), False), StructField("key", LongType(), False)]
     node += [StructField(name, DoubleType(), False) for name in ("zeros", "ones", "weighted")]
     above, found = _above(asked.applyInPandas(_tops, StructType(node)))
