@@ -11,9 +11,9 @@ from contextlib import contextmanager, redirect_stdout
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
 
 from estrato.config import LakeConfig
+from estrato.operators.checks import Measures, row_measures
 from estrato.plans import gold, quality, silver
 from estrato.session import file_bytes, path_exists, stage
 from estrato.sources.layers import read_layer, stream_table, write_layer
@@ -29,7 +29,7 @@ class Step:
 
     layer: str
     table: str
-    build: Callable[[ReadTable, gold.Keep], DataFrame]
+    build: Callable[[ReadTable, gold.Keep, Mapping[str, Measures]], DataFrame]
 
 
 @contextmanager
@@ -91,6 +91,7 @@ class StepResult:
     plan: str | None = None
     bytes_read: int | None = None  # sizes of the stored files the step reads, each file once
     engine: EngineStats | None = None  # what its tasks did
+    measured: Measures | None = None  # numbers of the row checks, taken from the rows as they were written
 
 
 def _one(read: ReadTable, table: str) -> DataFrame:
@@ -98,7 +99,7 @@ def _one(read: ReadTable, table: str) -> DataFrame:
 
 
 def _silver_step(spec: silver.SilverSpec) -> Step:
-    return Step("silver", spec.name, lambda read, keep: silver.build(spec, *read("bronze", spec.name)))
+    return Step("silver", spec.name, lambda read, keep, measured: silver.build(spec, *read("bronze", spec.name)))
 
 
 STEPS = {
@@ -107,19 +108,19 @@ STEPS = {
         Step(
             "gold",
             "indicador_municipio",
-            lambda read, keep: gold.indicador_municipio(_one(read, "municipio"), _one(read, "alunos")),
+            lambda read, keep, measured: gold.indicador_municipio(_one(read, "municipio"), _one(read, "alunos")),
         ),
         Step(
             "gold",
             "metas_vs_resultados_municipio",
-            lambda read, keep: gold.metas_vs_resultados_municipio(
+            lambda read, keep, measured: gold.metas_vs_resultados_municipio(
                 _one(read, "municipio"), _one(read, "meta_alfabetizacao_municipio")
             ),
         ),
         Step(
             "gold",
             "evolucao_alfabetizacao_uf",
-            lambda read, keep: gold.evolucao_alfabetizacao_uf(
+            lambda read, keep, measured: gold.evolucao_alfabetizacao_uf(
                 _one(read, "uf"),
                 _one(read, "meta_alfabetizacao_uf"),
                 _one(read, "meta_alfabetizacao_brasil"),
@@ -131,7 +132,9 @@ STEPS = {
         Step(
             "quality",
             "validation_results",
-            lambda read, keep: quality.validation_results({s.name: _one(read, s.name) for s in silver.SILVER}),
+            lambda read, keep, measured: quality.validation_results(
+                {s.name: _one(read, s.name) for s in silver.SILVER}, measured=measured
+            ),
         ),
     ),
 }
@@ -156,16 +159,22 @@ def run_layer(
     dry_run: bool = False,
     register: bool = False,
     more_bronze: Mapping[str, Sequence[str]] | None = None,
+    measured: Sequence[StepResult] = (),
 ) -> list[StepResult]:
     """Rebuild every table of ``layer`` in order; the first failure stops the run.
 
     A dry run returns the plan of each table, runs no job and writes nothing. Row counts come from the write
-    itself, engine figures from Spark's record of the step's jobs. A stream's bronze table feeds the silver table of its name by itself; ``more_bronze`` names further ones.
+    itself, engine figures from Spark's record of the step's jobs. A stream's bronze table feeds the silver table of
+    its name by itself; ``more_bronze`` names further ones.
+
+    The write of a silver table also measures its row checks. With the results of that run as ``measured``, the
+    quality layer reports them without reading the tables again; give only results of the tables as they are now.
     """
     if layer not in STEPS:
         raise ValueError(f"no steps for layer {layer!r}; known: {sorted(STEPS)}")
 
     inputs: dict[str, list[str]] = {}
+    numbers = {r.table: r.measured for r in measured if r.layer == "silver" and r.measured is not None}
 
     def read(source_layer: str, table: str) -> list[DataFrame]:
         names = [table]
@@ -182,22 +191,25 @@ def run_layer(
         started = time.monotonic()
         inputs.clear()
         if dry_run:
-            plan = _plan_text(step.build(read, _unstored))
+            plan = _plan_text(step.build(read, _unstored, numbers))
             logger.info("dry run: %s.%s\n%s", layer, step.table, plan)
             return StepResult(layer, step.table, None, time.monotonic() - started, None, plan)
         group = f"{layer}.{step.table}-{uuid.uuid4().hex[:12]}"
         with job_group(spark, group):
             seen = Observation(f"{layer}_{step.table}")
-            observed = step.build(read, stage).observe(seen, F.count(F.lit(1)).alias("rows"))
+            # Nothing is shuffled between here and the files, so a task that runs again is not counted again.
+            checks = quality.row_checks_of(step.table) if layer == "silver" else []
+            observed = step.build(read, stage, numbers).observe(seen, *row_measures(checks))
             path = write_layer(observed, cfg, layer, step.table, register=register)
         result = StepResult(
             layer,
             step.table,
-            seen.get["rows"],
+            seen.get["total_records"],
             time.monotonic() - started,
             path,
             bytes_read=file_bytes(spark, {name for names in inputs.values() for name in names}),
             engine=engine_stats(spark, group),
+            measured=dict(seen.get) if layer == "silver" else None,
         )
         logger.info(
             "%s.%s: %s rows in %.1f s; %s bytes in the files read, %s",

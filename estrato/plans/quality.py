@@ -7,7 +7,7 @@ from collections.abc import Callable, Mapping
 from pyspark.sql import Column, DataFrame
 
 from estrato.functions import flags
-from estrato.operators.checks import CheckSpec, run_checks
+from estrato.operators.checks import CheckSpec, Measures, run_checks
 
 _RATE = "taxa_alfabetizacao_pct"
 _PARTICIPATION = "percentual_participacao_pct"
@@ -223,6 +223,18 @@ CHECKS = (
 )
 
 
-def validation_results(silver: Mapping[str, DataFrame], executed_at: Column | None = None) -> DataFrame:
-    """All checks over the silver tables, given by name. Each is read several times: pass stored tables."""
-    return run_checks(silver, CHECKS, executed_at)
+def row_checks_of(table: str) -> list[CheckSpec]:
+    """The checks on single rows of one silver table, which a write can measure."""
+    return [c for c in CHECKS if c.table == table and c.fails is not None]
+
+
+def validation_results(
+    silver: Mapping[str, DataFrame],
+    executed_at: Column | None = None,
+    measured: Mapping[str, Measures] | None = None,
+) -> DataFrame:
+    """All checks over the silver tables, given by name. Each is read several times: pass stored tables.
+
+    ``measured`` holds numbers of row checks taken when a table was written; see ``run_checks``.
+    """
+    return run_checks(silver, CHECKS, executed_at, measured)

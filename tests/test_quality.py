@@ -1,9 +1,10 @@
 from datetime import datetime, timedelta, timezone
 
 from frames import bronze, plan_of
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from estrato.operators.checks import duplicate_groups, orphan_rows, run_checks
+from estrato.operators.checks import duplicate_groups, orphan_rows, row_measures, run_checks
 from estrato.plans import quality, silver
 
 
@@ -109,3 +110,25 @@ def test_the_execution_time_is_utc_text_whatever_the_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     assert abs(datetime.fromisoformat(row) - datetime.now(timezone.utc).replace(tzinfo=None)) < timedelta(minutes=5)
+
+
+def test_measured_row_checks_read_no_table_and_equal_the_scanned_ones(spark, tmp_path):
+    specs = [c for c in quality.CHECKS if c.fails is not None]
+    tables = {}
+    for spec in silver.SILVER:
+        path = str(tmp_path / spec.name)
+        silver.build(spec, bronze(spark, spec, [])).write.parquet(path)
+        tables[spec.name] = spark.read.parquet(path)
+    measured = {}
+    for name, table in tables.items():
+        seen = Observation(f"measured-{name}")
+        table.observe(seen, *row_measures(quality.row_checks_of(name))).write.format("noop").mode("overwrite").save()
+        measured[name] = seen.get
+    stamp = F.lit("t")
+    found = run_checks(tables, specs, stamp, measured)
+    assert "FileScan" not in plan_of(found)
+    assert sorted(map(str, found.collect())) == sorted(map(str, run_checks(tables, specs, stamp).collect()))
+    assert {r.failed_records for r in found.collect()} == {None}  # empty tables: no count, as when they are scanned
+    some = {"uf": {"total_records": 8, **{c.name: 2 for c in specs if c.table == "uf"}}}
+    rows = [r for r in run_checks(tables, specs, stamp, some).collect() if r.table_name == "uf"]
+    assert {(r.total_records, r.failed_records, r.failed_pct, r.status) for r in rows} == {(8, 2, 25.0, "FAIL")}
