@@ -37,6 +37,7 @@ from estrato.sources.layers import read_layer, read_table, stream_table, write_b
 from estrato.sources.lineage import LINEAGE, add_batch_lineage, add_stream_lineage, execution_id  # noqa: E402
 from estrato.streaming.events import FIELDS, parse_events, split_valid  # noqa: E402
 from estrato.streaming.ingest import bronze_sink, parquet_mirror, start_ingest  # noqa: E402
+from estrato.streaming.newest import newest_only  # noqa: E402
 
 try:
     import corpus_pipeline  # noqa: E402
@@ -289,6 +290,24 @@ def stream_mirror_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, f"{folder}/mirror").select(*FIELDS)
 
 
+def stream_newest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Only events that may be the newest of their key, in shuffled micro-batches, with a restart and all of them again."""
+    folder = new_folder(spark, "stream-newest")
+    cfg = LakeConfig(root=f"{folder}/lake", environment="prod")
+    events = starschema.table(spark, sf_dir, "events")
+    source = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 3).option("recursiveFileLookup", True)
+    for delivery in ("first", "second"):
+        events.repartition(9, F.xxhash64("event_id")).write.parquet(f"{folder}/events/{delivery}")
+        query = start_ingest(
+            newest_only(starschema.broker_events(spark, source.parquet(f"{folder}/events")), silver.UF.key),
+            f"{folder}/checkpoint",
+            bronze=bronze_sink(cfg, "uf", _clock),
+            available_now=True,
+        )
+        query.awaitTermination()
+    return silver.build(silver.UF, read_layer(spark, cfg, "bronze", stream_table("uf")))
+
+
 def stream_redelivery(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The mirror after the whole stream came twice; its ledger knows what was written."""
     folder = new_folder(spark, "redelivery")
@@ -453,6 +472,13 @@ def rebuild_all_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, counts)
 
 
+def measured_quality_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored report whose row checks were measured while the silver tables were written."""
+    cfg = _bronze_lake(spark, sf_dir, "measured")
+    run_layer(spark, cfg, "quality", measured=run_layer(spark, cfg, "silver"))
+    return read_layer(spark, cfg, "quality", "validation_results").drop("execution_timestamp_utc")
+
+
 def _with_folder(query: Query) -> Query:
     """``query`` in a session that may leave ``spark.checkpoint.dir`` unset: the warehouse is shared as well."""
 
@@ -501,6 +527,7 @@ def queries() -> dict[str, Query]:
         "stream_ingest_roundtrip": stream_ingest_roundtrip,
         "stream_mirror_roundtrip": stream_mirror_roundtrip,
         "stream_redelivery": stream_redelivery,
+        "stream_newest": stream_newest,
         "batch_and_stream_silver": batch_and_stream_silver,
         "shared_bronze_silver": shared_bronze_silver,
         "reject_roundtrip": reject_roundtrip,
@@ -516,6 +543,7 @@ def queries() -> dict[str, Query]:
         "stored_gold_metas": _stored("gold", "metas_vs_resultados_municipio"),
         "stored_gold_evolucao": _stored("gold", "evolucao_alfabetizacao_uf"),
         "stored_quality_results": _stored("quality", "validation_results"),
+        "measured_quality_results": measured_quality_results,
         "dry_run": dry_run,
         **(llm.queries() | {"pipeline": corpus_pipeline.run} if llm else {}),
     }

@@ -20,6 +20,8 @@ from estrato.streaming.ledger import EVENT_ID, OffsetLedger, spans_of, within, w
 
 logger = logging.getLogger(__name__)
 
+EMPTY_BATCHES = "spark.sql.streaming.noDataMicroBatches.enabled"
+
 BatchSink = Callable[[DataFrame, int], None]
 
 
@@ -152,7 +154,11 @@ def start_ingest(
     available_now: bool = False,
     processing_time: str = "10 seconds",
 ) -> StreamingQuery:
-    """Start the query. ``events`` has Kafka's columns; leave a sink out to switch it off."""
+    """Start the query. ``events`` has Kafka's columns; leave a sink out to switch it off.
+
+    With ``available_now`` the query ends with the data there is: no micro-batches without data follow, which a state
+    with time-outs would ask for without end.
+    """
 
     def run(batch: DataFrame, batch_id: int) -> None:
         deliver(
@@ -160,6 +166,12 @@ def start_ingest(
         )
 
     trigger = {"availableNow": True} if available_now else {"processingTime": processing_time}
-    return (
-        events.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(**trigger).start()
-    )
+    writer = events.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint).trigger(**trigger)
+    conf = events.sparkSession.conf
+    before = conf.get(EMPTY_BATCHES)
+    try:
+        if available_now:
+            conf.set(EMPTY_BATCHES, "false")  # the query takes its settings from the session as it starts
+        return writer.start()
+    finally:
+        conf.set(EMPTY_BATCHES, before)

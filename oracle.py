@@ -649,6 +649,7 @@ def statements() -> dict[str, str]:
         "stream_ingest_roundtrip": "SELECT * FROM silver_stream",
         "stream_mirror_roundtrip": f"SELECT {', '.join(EVENT_TYPES)} FROM parsed_events WHERE reject_reason IS NULL",
         "stream_redelivery": f"SELECT {', '.join(EVENT_TYPES)} FROM parsed_events WHERE reject_reason IS NULL",
+        "stream_newest": "SELECT * FROM silver_stream",
         "batch_and_stream_silver": "SELECT * FROM silver_hybrid",
         "shared_bronze_silver": "SELECT * FROM silver_hybrid",
         "reject_roundtrip": """
@@ -686,6 +687,7 @@ def statements() -> dict[str, str]:
         "stored_gold_metas": "SELECT * FROM gold_metas",
         "stored_gold_evolucao": "SELECT * FROM gold_evolucao",
         "stored_quality_results": f"SELECT * EXCLUDE (execution_timestamp_utc), true AS carimbo_recente FROM ({QUALITY})",
+        "measured_quality_results": f"SELECT * EXCLUDE (execution_timestamp_utc) FROM ({QUALITY})",
         "dry_run": " UNION ALL ".join(
             f"SELECT '{t}' AS tabela, count(*) AS linhas_bronze, true AS so_planejada, false AS gravada FROM bronze_{t}"
             for t in COLUMNS

@@ -24,6 +24,7 @@ WRITES = {
     "bronze_batch_ingest", "bronze_partitioned_roundtrip", "rebuild_all_layers", "shared_bronze_silver",
     "reject_roundtrip", "catalog_roundtrip", "stored_gold_metas", "stored_gold_evolucao", "stored_quality_results",
     "dry_run", "stream_redelivery", "catalog_by_date", "incremental_silver", "incremental_report", "step_statistics",
+    "measured_quality_results", "stream_newest",
 }
 
 
