@@ -11,7 +11,8 @@ from estrato.sources.layers import read_layer, read_table
 from estrato.streaming.events import FIELDS, decode, given_fields, has_required, parse_events, split_valid
 from estrato.sources.lineage import LINEAGE, add_stream_lineage
 from estrato.streaming.ingest import bronze_sink, deliver, jdbc_mirror, parquet_mirror, start_ingest
-from estrato.streaming.ledger import EVENT_ID, OffsetLedger, offset_ranges, write_once
+from estrato.streaming.ledger import EVENT_ID, OffsetLedger, _covered, offset_ranges, write_once
+from frames import plan_of
 
 GOOD = {"ano": 2027, "sigla_uf": "TO", "serie": 4, "rede": 3, "taxa_alfabetizacao": 41.25, "media_portugues": 655.5}
 CAME = datetime(2024, 5, 1, 12, 29, 59, 250000)
@@ -298,3 +299,34 @@ def test_ranges_have_no_gaps(spark):
     events = spark.createDataFrame([("t", 0, n) for n in (1, 2, 3, 3, 7, 9, 10)] + [("u", 0, 2)], "topic string, partition int, offset long")
     found = sorted((r.topic, r.low, r.high) for r in offset_ranges(events).collect())
     assert found == [("t", 1, 3), ("t", 7, 7), ("t", 9, 10), ("u", 2, 2)]
+
+
+def test_a_ledger_of_scattered_offsets_is_never_paired_with_the_events(spark, tmp_path):
+    # Every second offset and block borders: the ranges are as many as the events.
+    some = spark.range(0, 400_000, 2).selectExpr("'events' AS topic", "CAST(id % 4 AS INT) AS partition", "id AS offset")
+    schema = "topic string, partition int, offset long"
+    edges = spark.createDataFrame([("events", 9, n) for n in (-70_000, -1, 0, 65_535, 65_536, 131_072)] + [(None, 1, 7)], schema)
+    first = some.union(edges)
+    again = first.union(first).union(
+        spark.createDataFrame([("events", 9, -2), ("events", 9, 65_537), (None, 1, 8), ("events", 1, None)], schema)
+    )
+    written = []
+
+    def write(rows):
+        plan = plan_of(rows)
+        assert "Join" not in plan, plan
+        written.append(sorted((r.topic or "", r.partition, r.offset or 0) for r in rows.where("partition in (1, 9)").collect()))
+
+    for number, events in enumerate((first, again)):
+        write_once(events, number, OffsetLedger(str(tmp_path / "ledger")), lambda: None, write)
+    assert written[0] == sorted([("events", 9, n) for n in (-70_000, -1, 0, 65_535, 65_536, 131_072)] + [("", 1, 7)])
+    assert written[1] == [("", 1, 8), ("events", 1, 0), ("events", 9, -2), ("events", 9, 65_537)]
+
+
+def test_a_range_over_several_blocks_covers_all_of_its_offsets(spark):
+    ranges = spark.createDataFrame([("t", 0, 5, 200_000), ("t", 0, 10, 12), ("t", 1, None, None)], "topic string, partition int, low long, high long")
+    places = [("t", 0, n) for n in (4, 5, 11, 70_000, 140_000, 200_000, 200_001)] + [("t", 1, 9), ("u", 0, 9)]
+    events = spark.createDataFrame(places, "topic string, partition int, offset long")
+    outside = {tuple(r) for r in _covered(events, ranges, False).collect()}
+    assert outside == {("t", 0, 4), ("t", 0, 200_001), ("t", 1, 9), ("u", 0, 9)}
+    assert {tuple(r) for r in _covered(events, ranges, True).collect()} == set(places) - outside
