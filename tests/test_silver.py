@@ -151,3 +151,14 @@ def test_every_table_ends_with_its_key_and_the_lineage(spark, spec):
     assert columns[-7:] == list(silver.LINEAGE)
     assert columns[-8] == spec.key_name
     assert [c for c in columns if c.startswith("flag_")] == list(spec.flags)
+
+
+def test_keys_that_name_rows_are_sorted_once_and_missing_ones_are_still_trimmed(spark):
+    rows = [(n % 5, None if n % 3 == 0 else f"s{n // 4}", f"t{n % 7}", n % 2) for n in range(400)] * 2
+    df = spark.createDataFrame(rows, "a int, b string, ts string, v int").repartition(6)
+    once = latest_by_key(df, ["a", "b"], ["ts"], names_rows=True)
+    plain = latest_by_key(df, ["a", "b"], ["ts"])
+    below = [part.split("Exchange", 1)[1] for part in plan_of(once).split("Window [")[1:]]
+    assert ["Partial" in part for part in below] == [False, True]
+    assert sorted(map(repr, once.collect())) == sorted(map(repr, plain.collect()))
+    assert silver.ALUNOS.names_rows and not any(s.names_rows for s in silver.SILVER if s is not silver.ALUNOS)
