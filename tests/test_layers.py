@@ -1,8 +1,15 @@
+import threading
+import time
+from functools import partial
+
+import __spark_entry__ as registry
 import pytest
 from frames import bronze, lineage
 
+from estrato.operators.latest import latest_by_key
 from estrato.plans import silver
-from estrato.plans.layers import STEPS, run_layer
+from estrato.plans.layers import STEPS, engine_stats, job_group, run_layer
+from estrato.session import run_at_once
 from estrato.sources.layers import read_layer, write_bronze
 
 PLACE = {"ano": 2024, "id_municipio": "3550308", "serie": 2, "rede": 3, "taxa_alfabetizacao": 50}
@@ -108,3 +115,51 @@ def test_the_quality_layer_takes_what_the_silver_writes_measured(spark, loaded):
     # One scan of each table less; the numbers of a table are one row of a range, which counts as read.
     saved = sum(r.rows for r in done) - len(done)
     assert scanned.engine.rows_scanned - measured.engine.rows_scanned == saved
+
+
+def test_tables_of_a_layer_are_built_at_once_with_the_same_results(spark, loaded):
+    together = threading.Barrier(2, timeout=60)
+    assert run_at_once(spark, [together.wait] * 2, 2) in ([0, 1], [1, 0])
+    plain = run_layer(spark, loaded, "silver")
+    rows = {r.table: sorted(map(str, read_layer(spark, loaded, "silver", r.table).collect())) for r in plain}
+    at_once = run_layer(spark, loaded, "silver", at_once=3)
+    told = [[(r.table, r.rows, r.bytes_read, r.engine.rows_scanned, r.measured) for r in run] for run in (plain, at_once)]
+    assert told[0] == told[1]
+    for result in at_once:
+        assert sorted(map(str, read_layer(spark, loaded, "silver", result.table).collect())) == rows[result.table]
+
+
+def test_after_a_failure_no_further_work_begins(spark):
+    begun = []
+
+    def work(n):
+        begun.append(n)
+        if n == 0:
+            raise RuntimeError("first")
+        time.sleep(0.5)
+
+    with pytest.raises(RuntimeError, match="first"):
+        run_at_once(spark, [partial(work, n) for n in range(8)], 2)
+    assert len(begun) < 8
+
+
+def test_deliveries_of_a_date_a_year_are_stored_without_a_shuffle(spark, cfg):
+    rows = bronze(spark, silver.ALUNOS, [{"_ingestion_date": f"{2020 + n % 3}-12-31", "id_aluno": n} for n in range(30)])
+    with job_group(spark, "deliveries"):
+        registry._write_deliveries(spark, cfg, {"alunos": rows})
+    done = engine_stats(spark, "deliveries")
+    assert done.bytes_shuffled == 0 < done.bytes_written
+    assert read_layer(spark, cfg, "bronze", "alunos").groupBy("_ingestion_date").count().count() == 3
+
+
+def test_students_are_read_once_whether_or_not_their_key_is_whole(spark, cfg):
+    some = [{"ano": 2024, "id_municipio": "3550308", "id_escola": "1", "id_aluno": n % 5 or None} for n in range(40)]
+    rows = bronze(spark, silver.ALUNOS, [{**row, "proficiencia": n} for n, row in enumerate(some)])
+    write_bronze(rows.repartition(4), cfg.path("bronze", "alunos"))
+    stored = read_layer(spark, cfg, "bronze", "alunos")
+    with job_group(spark, "students"):
+        found = silver.build(silver.ALUNOS, stored).collect()
+    assert engine_stats(spark, "students").rows_scanned == 40
+    plain = latest_by_key(silver.typed(silver.ALUNOS, stored), silver.ALUNOS.key, silver.newest_first()).collect()
+    told = [sorted((r.id_aluno or "", r.proficiencia) for r in rows) for rows in (found, plain)]
+    assert told[0] == told[1] and len(found) == 5
