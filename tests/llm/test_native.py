@@ -149,3 +149,32 @@ def test_dice_agrees_with_brute_force_at_every_size(spark):
         best = max(((_dice(text, t), [-ord(c) for c in n], n) for n, t in templates[:3]), default=None)
         assert found[i][1:] == ((best[2], best[0]) if best[0] >= 0.7 else (None, None))
     assert _scan(spark, rows[:2], [("none", "one")]) == {0: (19, None, None), 1: (21, None, None)}
+
+
+def test_the_licence_scan_reads_each_text_once_and_builds_its_bigrams_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = [(i, licenses.TEMPLATES["MIT"] if i % 2 else f"some text number {i}") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, body string")
+    known = spark.createDataFrame(list(licenses.TEMPLATES.items()), "template string, text string")
+    found = licenses.scan_licenses(docs.mapInArrow(counted, docs.schema), known, text_column="body").collect()
+    assert sorted(r.doc_id for r in found if r.template == "MIT") == list(range(1, 40, 2)) and len(found) == 40
+    assert seen.value == 40
+
+    plan = licenses.scan_licenses(docs, known, text_column="body")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("coalesce(body#") == 1  # no filter below repeats the work
+
+
+def test_repeated_rows_are_reported_each_with_the_dice_of_one(spark):
+    mit = licenses.TEMPLATES["MIT"]
+    rows = [(1, mit)] * 3 + [(1, mit + " and more")] + [(None, mit)] * 2 + [(2, "some other text")] * 2 + [(3, None)] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    known = spark.createDataFrame([("MIT", mit), ("none", "one")], "template string, text string")
+    found = sorted(((r.doc_id, r.template, r.dice) for r in licenses.scan_licenses(docs, known).collect()), key=str)
+    assert [f[:2] for f in found] == [(1, "MIT")] * 4 + [(2, None)] * 2 + [(3, None)] * 2 + [(None, "MIT")] * 2
+    assert [f[2] for f in found if f[1]].count(1.0) == 5 and 0.97 < min(f[2] for f in found if f[1]) < 1
